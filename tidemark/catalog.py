@@ -41,8 +41,8 @@ def publish(df: DataFrame) -> DataFrame:
         t = f.dataType
         if isinstance(t, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(t, T.TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        elif isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         elif isinstance(t, T.DecimalType):
             c = c.cast("double")
         elif isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
@@ -59,7 +59,7 @@ def sql_publish(cols: list[tuple[str, str]]) -> str:
         if kind == "date":
             out.append(f"STRFTIME({expr}, '%Y-%m-%d') AS {name}")
         elif kind == "ts":
-            out.append(f"STRFTIME({expr}, '%Y-%m-%d %H:%M:%S') AS {name}")
+            out.append(f"STRFTIME({expr}, '%Y-%m-%d %H:%M:%S.%f') AS {name}")
         elif kind == "double":
             out.append(f"CAST({expr} AS DOUBLE) AS {name}")
         elif kind == "bigint":

@@ -25,14 +25,16 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
-def dedup_by_key(df: DataFrame, keys: list[str]) -> DataFrame:
+def dedup_by_key(df: DataFrame, keys: list[str], first: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest row in column order (nulls first).
 
-    Same survivor as ``row_number() over (partition by keys order by <other columns>) = 1``
-    but computed as ``min(struct(...))``, an aggregate with a partial (map-side) step,
-    so a key holding a large share of the rows is reduced before the shuffle.
+    Same survivor as ``row_number() over (partition by keys order by <first>, <other
+    columns>) = 1`` but computed as ``min(struct(...))``, an aggregate with a partial
+    (map-side) step, so a key holding a large share of the rows is reduced before the
+    shuffle instead of being sorted in one task.
     """
-    rest = [c for c in df.columns if c not in keys]
+    first = [c for c in (first or []) if c not in keys]
+    rest = first + [c for c in df.columns if c not in keys and c not in first]
     if not rest:
         return df.dropDuplicates(keys)
     best = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_best"))
@@ -45,19 +47,21 @@ def ref_check_semi(df: DataFrame, ref: DataFrame, key: str, ref_key: str) -> Dat
     return df.join(r, df[key] == r["_ref_key"], "left_semi")
 
 
-def bounded_broadcast(keys_df: DataFrame, max_rows: int) -> DataFrame | None:
+def bounded_broadcast(keys_df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame | None:
     """``broadcast(keys_df)`` if it has at most ``max_rows`` rows, else ``None``.
 
-    Counting costs one pass over an already projected key set; callers pass a batch
-    that is persisted anyway.
+    ``known_rows`` is an upper bound the caller already has (the landed batch's row count
+    recorded by the bad-row gate); without it the key set is counted, which costs one
+    pass over the (persisted) batch.
     """
-    n = keys_df.limit(max_rows + 1).count()
+    n = known_rows if known_rows is not None else keys_df.limit(max_rows + 1).count()
     return F.broadcast(keys_df) if n <= max_rows else None
 
 
-def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str], max_rows: int) -> tuple[DataFrame, bool]:
+def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str], max_rows: int,
+               batch_rows: int | None) -> tuple[DataFrame, bool]:
     batch_keys = batch.select(*keys).dropna().dropDuplicates()
-    small = bounded_broadcast(batch_keys, max_rows)
+    small = bounded_broadcast(batch_keys, max_rows, batch_rows)
     if small is None:
         return existing.select(*keys).dropDuplicates(), False
     # Shrink: scan the big table once, keep only keys of this batch, never shuffle it.
@@ -66,16 +70,21 @@ def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str], max_rows:
 
 
 def new_rows_anti(batch: DataFrame, existing: DataFrame, keys: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing`` ("not yet loaded")."""
-    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows)
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, batch_rows: int | None = None) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing`` ("not yet loaded").
+
+    Small batch (``batch_rows`` or a count ≤ ``max_broadcast_rows``): the batch keys are
+    broadcast and the big table is only scanned and filtered, never shuffled. Otherwise
+    both sides take a regular shuffle anti join.
+    """
+    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows, batch_rows)
     return batch.join(F.broadcast(seen) if small else seen, keys, "left_anti")
 
 
 def dup_rows_semi(batch: DataFrame, existing: DataFrame, keys: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose key is already in ``existing`` (repeats → quarantine)."""
-    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows)
+    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows, batch_rows)
     return batch.join(F.broadcast(seen) if small else seen, keys, "left_semi")
 
 

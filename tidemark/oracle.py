@@ -146,7 +146,7 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         return f"(SELECT * FROM {before[name]} UNION ALL SELECT * FROM {acc})"
 
     users = (f"SELECT {CUST_COLS} FROM (SELECT {CUST_COLS}, ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY "
-             f"name NULLS FIRST, email NULLS FIRST, city NULLS FIRST, country NULLS FIRST, join_date NULLS FIRST) AS rn "
+             f"commit_version NULLS FIRST, name NULLS FIRST, email NULLS FIRST, city NULLS FIRST, country NULLS FIRST, join_date NULLS FIRST) AS rn "
              f"FROM {batch['customers']}) WHERE rn = 1")
     v[f"{p}_users"] = users
     v[f"{p}_customers"] = anti(f"SELECT * FROM {p}_users", "customer_id", "customers")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G
 from tidemark.plans import silver as S
+from tidemark.session import scratch_path
 from tidemark.sources import commerce
 
 AS_OF = "2001-08-01 00:00:00"  # fixed scoring time for reproducible churn labels
@@ -34,41 +35,66 @@ def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return landed(spark, sf_dir, name).accepted
 
 
+class Landing:
+    """The landed commits of every entity, ingested once and shared by all lakes built on them."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._landed: dict[str, B.Landed] = {}
+        self._rows: dict[str, int] = {}
+
+    def landed(self, name: str) -> B.Landed:
+        if name not in self._landed:
+            self._landed[name] = landed(self.spark, self.sf_dir, name)
+        return self._landed[name]
+
+    def rows(self, name: str) -> int:
+        """Rows of the landed batch, read from the gate's one-row aggregate (a scan of the
+        landed table only): the proven bound for broadcasting the batch's keys."""
+        if name not in self._rows:
+            self._rows[name] = int(self.landed(name).gate.first()["rows"])
+        return self._rows[name]
+
+
 class Lake:
     """Silver tables of one flow, built once per instance (plans are shared, not data)."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, before: dict[str, DataFrame] | None = None,
-                 batch_filter: Column | None = None):
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, landing: Landing, before: dict[str, DataFrame] | None = None,
+                 batch_filter: Column | None = None, materialize: bool = True):
+        self.landing = landing
+        self.materialize = materialize
+        self.spark, self.sf_dir = landing.spark, landing.sf_dir
         self.before = before or {}
         self.batch_filter = batch_filter
         self._cleaned: dict[str, S.Cleaned] = {}
-        self._batches: dict[str, DataFrame] = {}
 
     def batch(self, name: str) -> DataFrame:
-        if name not in self._batches:
-            df = bronze_table(self.spark, self.sf_dir, name)
-            self._batches[name] = df if self.batch_filter is None else df.filter(self.batch_filter)
-        return self._batches[name]
+        df = self.landing.landed(name).accepted
+        return df if self.batch_filter is None else df.filter(self.batch_filter)
 
     def cleaned(self, name: str) -> S.Cleaned:
         if name not in self._cleaned:
             before = self.before.get(name)
             b = self.batch(name)
+            n = self.landing.rows(name) if before is not None else None
             if name == "customers":
-                out = S.silver_customers(b, before)
+                out = S.silver_customers(b, before, n)
             elif name == "products":
-                out = S.silver_products(b, before)
+                out = S.silver_products(b, before, n)
             elif name == "order_items":
-                out = S.silver_order_items(b, before, self.silver("products"))
+                out = S.silver_order_items(b, before, self.silver("products"), n)
             elif name == "orders":
-                out = S.silver_orders(b, before, self.silver("customers"), self.silver("order_items"))
+                out = S.silver_orders(b, before, self.silver("customers"), self.silver("order_items"), n)
             elif name == "inventory":
-                out = S.silver_inventory(b, before, self.silver("products"))
+                out = S.silver_inventory(b, before, self.silver("products"), n)
             elif name == "order_status_log":
-                out = S.silver_order_status_log(b, before, self.silver("orders"))
+                out = S.silver_order_status_log(b, before, self.silver("orders"), n)
             else:
                 raise KeyError(name)
+            if self.materialize:
+                # Later steps read this table several times: write it once as parquet in the
+                # shared folder and scan that, instead of re-planning its whole lineage.
+                out = S.Cleaned(write_and_read(out.accepted, f"silver-{name}"), out.quarantined)
             self._cleaned[name] = out
         return self._cleaned[name]
 
@@ -79,21 +105,51 @@ class Lake:
         return acc if before is None else before.unionByName(acc)
 
 
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` as parquet below the shared checkpoint folder, scan it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+# Lakes are memoised per (application, scale dir): every query of a session reads the
+# same materialised silver tables, as queries over a real lake read its written tables.
+_LAKES: dict[tuple[str, str, str], Lake] = {}
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> Lake:
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _LAKES:
+        _LAKES[key] = build()
+    return _LAKES[key]
+
+
 def fresh_lake(spark: SparkSession, sf_dir: str) -> Lake:
-    return Lake(spark, sf_dir)
+    return _memo("fresh", spark, sf_dir, lambda: Lake(landing_of(spark, sf_dir)))
+
+
+def landing_of(spark: SparkSession, sf_dir: str) -> Landing:
+    key = (spark.sparkContext.applicationId, sf_dir, "landing")
+    if key not in _LAKES:
+        _LAKES[key] = Landing(spark, sf_dir)  # type: ignore[assignment]
+    return _LAKES[key]  # type: ignore[return-value]
 
 
 def replay_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Silver already holds commit 0 (cleaned on its own); the batch is commits 0..2."""
-    first = Lake(spark, sf_dir, batch_filter=F.col("commit_version") == 0)
-    names = ["customers", "products", "order_items", "orders", "inventory", "order_status_log"]
-    before = {n: first.silver(n) for n in names}
-    return Lake(spark, sf_dir, before=before)
+    def build() -> Lake:
+        landing = landing_of(spark, sf_dir)
+        first = Lake(landing, batch_filter=F.col("commit_version") == 0)
+        names = ["customers", "products", "order_items", "orders", "inventory", "order_status_log"]
+        before = {n: first.silver(n) for n in names}
+        return Lake(landing, before=before)
+    return _memo("replay", spark, sf_dir, build)
 
 
 def with_sink(c: S.Cleaned) -> DataFrame:
+    """Accepted and quarantined rows of one cleaning step, tagged by destination."""
     return c.accepted.withColumn("sink", F.lit("silver")).unionByName(
-        c.quarantined.withColumn("sink", F.lit("quarantine")))
+        c.quarantined.withColumn("sink", F.lit("quarantine"))).drop("commit_version")
 
 
 # ---- gold over the fresh lake ---------------------------------------------------------------
@@ -105,7 +161,7 @@ def product_days(lake: Lake) -> DataFrame:
 
 
 def customer_360(lake: Lake, as_of: Column | None = None) -> DataFrame:
-    orders = lake.silver("orders")
+    orders = lake.silver("orders").drop("commit_version")
     return G.customer_360(None, orders, orders, lake.silver("customers"), as_of if as_of is not None else as_of_col())
 
 

@@ -86,9 +86,9 @@ def customer_360(mart: DataFrame | None, silver_orders: DataFrame, batch_orders:
 DAILY_STATE_COLS = ["order_date", "order_count", "total_amount", "discount_sum", "discount_n", "net_revenue"]
 
 
-def daily_sales_batch(orders: DataFrame) -> DataFrame:
-    """Mergeable per-day partials of one batch of orders."""
-    return orders.groupBy(F.col("order_date").cast("date").alias("order_date")).agg(
+def daily_sales_batch(orders: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Mergeable per-day partials of a batch of orders (optionally per commit too)."""
+    return orders.groupBy(*by, F.col("order_date").cast("date").alias("order_date")).agg(
         F.count("oid").alias("order_count"),
         F.sum("total_amount").cast("decimal(28,2)").alias("total_amount"),
         F.sum("discount_applied").cast("decimal(28,6)").alias("discount_sum"),
@@ -124,20 +124,22 @@ def publish_daily_sales(state: DataFrame) -> DataFrame:
 # daily_product_sales
 
 
-def product_day_partials(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
-    """Per (product, day): units and gross sales.
+def product_day_partials(orders: DataFrame, items: DataFrame, products: DataFrame,
+                         by: tuple[str, ...] = ()) -> DataFrame:
+    """Per (product, day): units and gross sales (optionally per commit of the order too).
 
     Items meet their order's date first and are aggregated per (product_id, day) before the
     product attributes are attached, so the product join runs on product-days, not items.
     """
-    dated = items.join(orders.select(F.col("oid").alias("order_id"), "order_date"), "order_id")
-    per_day = dated.groupBy("product_id", "order_date").agg(
+    dated = items.select("order_id", "product_id", "quantity", "gross_amount").join(
+        orders.select(F.col("oid").alias("order_id"), "order_date", *by), "order_id")
+    per_day = dated.groupBy(*by, "product_id", "order_date").agg(
         F.sum("quantity").alias("sales_count"),
         F.sum("gross_amount").cast("decimal(28,2)").alias("total_sales_amount"),
     )
     attrs = products.select("pid", "product_name", "category", "sub_category", "brand", "base_price")
     return per_day.join(attrs, per_day["product_id"] == attrs["pid"]).select(
-        *DAILY_PRODUCT_SALES_KEYS, "sales_count", "total_sales_amount")
+        *by, *DAILY_PRODUCT_SALES_KEYS, "sales_count", "total_sales_amount")
 
 
 def compact_product_days(partials: DataFrame) -> DataFrame:

@@ -32,13 +32,9 @@ DSS_SQL = DSS_SQL.replace("{mean}", hu("discount_sum", 6, "discount_n", 6))
 @register("daily_sales_summary", DSS_SQL)
 def daily_sales_summary(spark: SparkSession, d: str) -> DataFrame:
     """Per-day mart maintained incrementally: one partial per commit, merged exactly."""
-    lake = flow.fresh_lake(spark, d)
-    orders = lake.silver("orders").join(
-        commerce.committed(spark, d, "orders").select("oid", "commit_version"), "oid")
-    state = None
-    for v in range(3):
-        state = G.merge_daily_sales(state, G.daily_sales_batch(orders.filter(F.col("commit_version") == v)))
-    return G.publish_daily_sales(state)
+    orders = flow.fresh_lake(spark, d).silver("orders")
+    partials = G.daily_sales_batch(orders, by=("commit_version",))
+    return G.publish_daily_sales(G.merge_daily_sales(None, partials))
 
 
 @register("daily_sales_batch", f"""
@@ -49,9 +45,7 @@ FROM (SELECT c.commit_version, o.order_date, COUNT(o.oid) AS order_count, SUM(o.
       FROM f_orders o JOIN s_orders c ON o.oid = c.oid GROUP BY c.commit_version, o.order_date)""")
 def daily_sales_batch(spark: SparkSession, d: str) -> DataFrame:
     """Mergeable per-day partials of each commit (grouped by a cast date)."""
-    lake = flow.fresh_lake(spark, d)
-    orders = lake.silver("orders").join(
-        commerce.committed(spark, d, "orders").select("oid", "commit_version"), "oid")
+    orders = flow.fresh_lake(spark, d).silver("orders")
     parts = orders.groupBy("commit_version", F.col("order_date").cast("date").alias("order_date")).agg(
         F.count("oid").alias("order_count"),
         F.sum("total_amount").alias("total_amount"),
@@ -69,7 +63,7 @@ def order_totals(spark: SparkSession, d: str) -> DataFrame:
     """Per order: sum(unit price x qty), mean item discount, sum(line totals)."""
     from tidemark.plans.silver import order_totals as ot
     lake = flow.fresh_lake(spark, d)
-    return ot(lake.batch("orders"), lake.silver("order_items"))
+    return ot(lake.batch("orders"), lake.silver("order_items").drop("commit_version"))
 
 
 @register("customer_aggregates", f"""
@@ -85,10 +79,8 @@ WHERE EXISTS (SELECT 1 FROM f_orders b JOIN s_orders c ON b.oid = c.oid
               WHERE c.commit_version = 2 AND b.customer_id = o.customer_id)""")
 def affected_keys_semi(spark: SparkSession, d: str) -> DataFrame:
     """Full order history of the customers touched by the last commit."""
-    lake = flow.fresh_lake(spark, d)
-    orders = lake.silver("orders")
-    last = orders.join(commerce.committed(spark, d, "orders").filter("commit_version = 2").select("oid"), "oid")
-    return G.affected_customers(orders, last)
+    orders = flow.fresh_lake(spark, d).silver("orders")
+    return G.affected_customers(orders, orders.filter(F.col("commit_version") == 2)).drop("commit_version")
 
 
 @register("customer_tiers", f"""
@@ -140,13 +132,8 @@ def daily_product_sales(spark: SparkSession, d: str) -> DataFrame:
 def daily_product_sales_compact(spark: SparkSession, d: str) -> DataFrame:
     """Per-commit partials appended, then compacted to one row per product-day."""
     lake = flow.fresh_lake(spark, d)
-    orders = lake.silver("orders").join(
-        commerce.committed(spark, d, "orders").select("oid", "commit_version"), "oid")
-    items, products = lake.silver("order_items"), lake.silver("products")
-    parts = None
-    for v in range(3):
-        p = G.product_day_partials(orders.filter(F.col("commit_version") == v), items, products)
-        parts = p if parts is None else parts.unionByName(p)
+    parts = G.product_day_partials(lake.silver("orders"), lake.silver("order_items"), lake.silver("products"),
+                                   by=("commit_version",))
     return G.compact_product_days(parts)
 
 

@@ -53,18 +53,34 @@ class Cleaned:
     quarantined: DataFrame
 
 
+CV = "commit_version"
+
+
 def _empty_like(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).limit(0)
 
 
-def silver_customers(batch: DataFrame, silver_before: DataFrame | None) -> Cleaned:
+def _keep(df: DataFrame, cols: list[str]) -> list[str]:
+    """The entity columns plus ``commit_version`` when the batch carries it."""
+    return cols + ([CV] if CV in df.columns else [])
+
+
+def _dedup_rows(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Exact duplicates dropped; a row landed in several commits keeps the earliest."""
+    if CV not in df.columns:
+        return dedup_rows(df.select(*cols))
+    return df.groupBy(*cols).agg(F.min(CV).alias(CV))
+
+
+def silver_customers(batch: DataFrame, silver_before: DataFrame | None, batch_rows: int | None = None) -> Cleaned:
     """One survivor per customer_id, then only ids not yet in silver; repeats quarantined."""
-    users = dedup_by_key(batch.select(*CUSTOMER_COLS), ["customer_id"])
+    cols = _keep(batch, CUSTOMER_COLS)
+    users = dedup_by_key(batch.select(*cols), ["customer_id"], first=[CV] if CV in cols else [])
     if silver_before is None:
-        return Cleaned(users, _empty_like(users, CUSTOMER_COLS))
+        return Cleaned(users, _empty_like(users, cols))
     return Cleaned(
-        new_rows_anti(users, silver_before, ["customer_id"]).select(*CUSTOMER_COLS),
-        dup_rows_semi(users, silver_before, ["customer_id"]).select(*CUSTOMER_COLS),
+        new_rows_anti(users, silver_before, ["customer_id"], batch_rows=batch_rows).select(*cols),
+        dup_rows_semi(users, silver_before, ["customer_id"], batch_rows=batch_rows).select(*cols),
     )
 
 
@@ -72,14 +88,15 @@ def product_ranges_ok() -> F.Column:
     return (F.col("base_price") > 0) & (F.col("current_stock") >= 0)
 
 
-def silver_products(batch: DataFrame, silver_before: DataFrame | None) -> Cleaned:
+def silver_products(batch: DataFrame, silver_before: DataFrame | None, batch_rows: int | None = None) -> Cleaned:
     """Exact duplicates dropped; new pids repaired and range-checked (failures dropped)."""
-    prods = dedup_rows(batch.select(*PRODUCT_COLS))
-    fresh = prods if silver_before is None else new_rows_anti(prods, silver_before, ["pid"])
+    cols = _keep(batch, PRODUCT_COLS)
+    prods = _dedup_rows(batch, PRODUCT_COLS)
+    fresh = prods if silver_before is None else new_rows_anti(prods, silver_before, ["pid"], batch_rows=batch_rows)
     accepted = fill_defaults(fresh, PRODUCT_DEFAULTS).filter(product_ranges_ok())
-    quarantined = (_empty_like(prods, PRODUCT_COLS) if silver_before is None
-                   else dup_rows_semi(prods, silver_before, ["pid"]))
-    return Cleaned(accepted.select(*PRODUCT_COLS), quarantined.select(*PRODUCT_COLS))
+    quarantined = (_empty_like(prods, cols) if silver_before is None
+                   else dup_rows_semi(prods, silver_before, ["pid"], batch_rows=batch_rows))
+    return Cleaned(accepted.select(*cols), quarantined.select(*cols))
 
 
 def item_accept() -> F.Column:
@@ -100,25 +117,27 @@ def with_gross(items: DataFrame) -> DataFrame:
     )
 
 
-def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:
+def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame,
+                       batch_rows: int | None = None) -> Cleaned:
     """Known product and any plausible number → accepted; orphan or any bad number → quarantine.
 
     The two predicates overlap on purpose (a row with quantity 0 but a positive price is
     both accepted and quarantined); already-loaded ids are quarantined as repeats.
     """
-    items = with_gross(batch).select(*ITEM_COLS)
+    cols = _keep(batch, ITEM_COLS)
+    items = with_gross(batch).select(*cols)
     valid = ref_check_semi(items, products, "product_id", "pid").filter(item_accept())
-    accepted = valid if silver_before is None else new_rows_anti(valid, silver_before, ["order_item_id"])
+    accepted = valid if silver_before is None else new_rows_anti(valid, silver_before, ["order_item_id"], batch_rows=batch_rows)
     known = products.select(F.col("pid").alias("_pid")).dropDuplicates()
     rejected = (
         items.join(known, items["product_id"] == known["_pid"], "left")
         .filter(F.col("_pid").isNull() | item_reject())
-        .select(*ITEM_COLS)
+        .select(*cols)
     )
     quarantined = rejected
     if silver_before is not None:
-        quarantined = rejected.unionByName(dup_rows_semi(valid, silver_before, ["order_item_id"]))
-    return Cleaned(accepted.select(*ITEM_COLS), quarantined)
+        quarantined = rejected.unionByName(dup_rows_semi(valid, silver_before, ["order_item_id"], batch_rows=batch_rows))
+    return Cleaned(accepted.select(*cols), quarantined)
 
 
 def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -138,10 +157,11 @@ def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def silver_orders(batch: DataFrame, silver_before: DataFrame | None, customers: DataFrame,
-                  items: DataFrame) -> Cleaned:
+                  items: DataFrame, batch_rows: int | None = None) -> Cleaned:
     """Known customer, repaired, amounts recomputed from silver items; an order without
     items is rejected; ids already in silver are dropped; rejects = batch − accepted."""
-    orders = dedup_rows(batch.select(*ORDER_COLS))
+    cols = _keep(batch, ORDER_COLS)
+    orders = _dedup_rows(batch, ORDER_COLS)
     clean = (
         ref_check_semi(orders, customers, "customer_id", "customer_id")
         .withColumn("order_date", F.col("order_date").cast("date"))
@@ -149,31 +169,35 @@ def silver_orders(batch: DataFrame, silver_before: DataFrame | None, customers:
     )
     totals = order_totals(orders, items)
     joined = clean.drop("total_amount", "discount_applied", "final_amount").join(totals, "oid")
-    final = joined if silver_before is None else new_rows_anti(joined, silver_before, ["oid"])
-    final = final.select(*ORDER_COLS)
-    return Cleaned(final, rejected_rows_anti(orders, final, ["oid"]))
+    final = joined if silver_before is None else new_rows_anti(joined, silver_before, ["oid"], batch_rows=batch_rows)
+    final = final.select(*cols)
+    return Cleaned(final, rejected_rows_anti(orders, final, ["oid"]).select(*cols))
 
 
-def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:
-    inv = batch.select(*INVENTORY_COLS)
+def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame,
+                     batch_rows: int | None = None) -> Cleaned:
+    cols = _keep(batch, INVENTORY_COLS)
+    inv = batch.select(*cols)
     main = (
         ref_check_semi(inv, products, "product_id", "pid")
         .filter((F.col("quantity_on_hand") >= 0) & (F.col("reorder_threshold") >= 0))
         .withColumn("last_restocked_at", F.col("last_restocked_at").cast("date"))
         .transform(lambda d: fill_defaults(d, INVENTORY_DEFAULTS))
     )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["inventory_id"])
-    final = final.select(*INVENTORY_COLS)
+    final = main if silver_before is None else new_rows_anti(main, silver_before, ["inventory_id"], batch_rows=batch_rows)
+    final = final.select(*cols)
     return Cleaned(final, rejected_rows_anti(inv, final, ["inventory_id"]))
 
 
-def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, orders: DataFrame) -> Cleaned:
-    logs = batch.select(*LOG_COLS)
+def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, orders: DataFrame,
+                            batch_rows: int | None = None) -> Cleaned:
+    cols = _keep(batch, LOG_COLS)
+    logs = batch.select(*cols)
     main = (
         ref_check_semi(logs, orders, "order_id", "oid")
         .transform(lambda d: fill_defaults(d, LOG_DEFAULTS))
         .withColumn("changed_at", F.col("changed_at").cast("timestamp"))
     )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["log_id"])
-    final = final.select(*LOG_COLS)
+    final = main if silver_before is None else new_rows_anti(main, silver_before, ["log_id"], batch_rows=batch_rows)
+    final = final.select(*cols)
     return Cleaned(final, rejected_rows_anti(logs, final, ["log_id"]))
