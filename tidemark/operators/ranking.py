@@ -66,15 +66,27 @@ def distributed_ntile(df: DataFrame, order: list[Column], k: int, out: str = "nt
     return ranked.withColumn(out, ntile_of(F.col(RANK), F.col(TOTAL), k)).drop(RANK, TOTAL)
 
 
-def assign_pages(df: DataFrame, order: list[Column], limit: int, num_partitions: int | None = None) -> DataFrame:
+def assign_pages(df: DataFrame, order: list[Column], limit: int, group_by: list[str] | None = None,
+                 num_partitions: int | None = None) -> DataFrame:
     """All pages of a paged listing in one pass.
 
     page = floor(rank / limit) + 1, total_pages = ceil(N / limit); equal to issuing
-    ``ORDER BY ... LIMIT limit OFFSET (page-1)*limit`` for every page.
+    ``ORDER BY ... LIMIT limit OFFSET (page-1)*limit`` for every page. With ``group_by``
+    each group (e.g. a business date) is paged on its own: the global rank over
+    (group, order) minus the group's first rank, and the group's own row count.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
-    ranked = distributed_rank(df, order, num_partitions)
+    group_by = list(group_by or [])
+    ranked = distributed_rank(df, [F.col(g) for g in group_by] + list(order), num_partitions)
+    if group_by:
+        # One row per group; joined back on the group key (a shuffle-free broadcast when
+        # the groups are few, which AQE decides from the measured size).
+        starts = ranked.groupBy(*group_by).agg(F.min(RANK).alias("_start"), F.count(F.lit(1)).alias("_n"))
+        ranked = (ranked.join(starts, group_by)
+                  .withColumn(RANK, F.col(RANK) - F.col("_start"))
+                  .withColumn(TOTAL, F.col("_n"))
+                  .drop("_start", "_n"))
     return (
         ranked.withColumn("page", (F.floor(F.col(RANK) / limit) + 1).cast("bigint"))
         .withColumn("total_pages", F.ceil(F.col(TOTAL) / limit).cast("bigint"))

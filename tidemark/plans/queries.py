@@ -279,3 +279,451 @@ def _silver_query(name: str):
 
 for _n in ENTITIES:
     register(f"silver_{_n}", _silver_sql(_n))(_silver_query(_n))
+
+
+# =============================================================================================
+# joins, dedup and repair on the landed / cleaned tables
+
+
+@register("ref_check_semi", f"""
+SELECT {sql_publish(cols(SPEC["order_items"]))} FROM b_items i
+WHERE EXISTS (SELECT 1 FROM f_products p WHERE p.pid = i.product_id)""")
+def ref_check_semi(spark: SparkSession, d: str) -> DataFrame:
+    """Referential check: landed items whose product exists in silver."""
+    from tidemark.operators.cleaning import ref_check_semi as rc
+    from tidemark.plans.silver import ITEM_COLS
+    lake = flow.fresh_lake(spark, d)
+    return rc(lake.batch("order_items").select(*ITEM_COLS), lake.silver("products"), "product_id", "pid")
+
+
+def _replay_parts(spark: SparkSession, d: str):
+    from tidemark.plans.silver import ORDER_COLS
+    lake = flow.replay_lake(spark, d)
+    batch = lake.batch("orders").select(*ORDER_COLS)
+    return batch, lake.before["orders"], lake.landing.rows("orders")
+
+
+@register("new_rows_anti", f"""
+SELECT {sql_publish(cols(SPEC["orders"]))} FROM b_orders b
+WHERE NOT EXISTS (SELECT 1 FROM z_orders s WHERE s.oid = b.oid)""")
+def new_rows_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Landed orders not yet in silver (silver holds commit 0): shrink-then-anti join."""
+    from tidemark.operators.cleaning import new_rows_anti as nra
+    batch, before, n = _replay_parts(spark, d)
+    return nra(batch, before, ["oid"], batch_rows=n)
+
+
+@register("dup_rows_semi", f"""
+SELECT {sql_publish(cols(SPEC["orders"]))} FROM b_orders b
+WHERE EXISTS (SELECT 1 FROM z_orders s WHERE s.oid = b.oid)""")
+def dup_rows_semi(spark: SparkSession, d: str) -> DataFrame:
+    """Landed orders already in silver (repeats, to quarantine)."""
+    from tidemark.operators.cleaning import dup_rows_semi as drs
+    batch, before, n = _replay_parts(spark, d)
+    return drs(batch, before, ["oid"], batch_rows=n)
+
+
+@register("rejected_rows_anti", f"SELECT {sql_publish(cols(SPEC['orders']))} FROM f_orders_q")
+def rejected_rows_anti(spark: SparkSession, d: str) -> DataFrame:
+    """Landed orders minus accepted orders (no items, unknown customer, null key)."""
+    return flow.fresh_lake(spark, d).cleaned("orders").quarantined.drop("commit_version")
+
+
+@register("orders_without_items", f"""
+SELECT {sql_publish(cols(SPEC["orders"]))} FROM s_orders o
+WHERE NOT EXISTS (SELECT 1 FROM s_items i WHERE i.order_id = o.oid)""")
+def orders_without_items(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import orders_without_items as owi
+    return owi(commerce.orders(spark, d), commerce.order_items(spark, d))
+
+
+@register("dedup_rows", f"SELECT DISTINCT {sql_publish(cols(SPEC['order_items']))} FROM b_items")
+def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.operators.cleaning import dedup_rows as dr
+    from tidemark.plans.silver import ITEM_COLS
+    return dr(flow.fresh_lake(spark, d).batch("order_items").select(*ITEM_COLS))
+
+
+_ITEM_REST = ["order_id", "product_id", "quantity", "unit_price_at_order", "discount_at_order", "line_total",
+              "gross_amount"]
+
+
+@register("dedup_by_key", f"""
+SELECT {sql_publish(cols(SPEC["order_items"]))} FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY order_item_id ORDER BY {", ".join(c + " NULLS FIRST" for c in _ITEM_REST)}) AS rn
+  FROM b_items) WHERE rn = 1""")
+def dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
+    """One deterministic survivor per order_item_id (the id repeats in the landed items)."""
+    from tidemark.operators.cleaning import dedup_by_key as dk
+    from tidemark.plans.silver import ITEM_COLS
+    return dk(flow.fresh_lake(spark, d).batch("order_items").select(*ITEM_COLS), ["order_item_id"])
+
+
+@register("fill_defaults", f"""
+SELECT log_id, order_id, COALESCE(old_status, 'Unknown') AS old_status, COALESCE(new_status, 'Unknown') AS new_status,
+       {sql_publish(cols("changed_at:ts"))}, COALESCE(changed_by, 'Unknown') AS changed_by,
+       COALESCE(remarks, 'N/A') AS remarks FROM b_logs""")
+def fill_defaults(spark: SparkSession, d: str) -> DataFrame:
+    """Null repair of the status log (first log of an order has no old status)."""
+    from tidemark.operators.cleaning import fill_defaults as fd
+    from tidemark.plans.silver import LOG_COLS, LOG_DEFAULTS
+    return fd(flow.fresh_lake(spark, d).batch("order_status_log").select(*LOG_COLS), LOG_DEFAULTS)
+
+
+@register("price_list", "SELECT DISTINCT pid, base_price, discount_pct FROM f_products")
+def price_list(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import price_list as pl
+    return pl(flow.fresh_lake(spark, d).silver("products"))
+
+
+@register("line_pricing", """
+SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, p.base_price, p.discount_pct,
+       CAST(ROUND(CAST(i.quantity AS DECIMAL(12,0)) * CAST(p.base_price AS DECIMAL(12,2))
+             * (100 - CAST(p.discount_pct AS DECIMAL(5,2))) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS list_line_total
+FROM f_order_items i JOIN (SELECT DISTINCT pid, base_price, discount_pct FROM f_products) p ON i.product_id = p.pid""")
+def line_pricing(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import line_pricing as lp
+    from tidemark.plans.checks import price_list as pl
+    lake = flow.fresh_lake(spark, d)
+    return lp(lake.silver("order_items"), pl(lake.silver("products")))
+
+
+@register("product_last_restock", """
+SELECT p.pid, STRFTIME(MIN(COALESCE(i.last_restocked_at, p.created_at)), '%Y-%m-%d') AS last_date
+FROM f_products p LEFT JOIN f_inventory i ON p.pid = i.product_id GROUP BY p.pid""")
+def product_last_restock(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import product_last_restock as plr
+    lake = flow.fresh_lake(spark, d)
+    return plr(lake.silver("products"), lake.silver("inventory"))
+
+
+@register("eligible_customers", """
+SELECT STRFTIME(d.order_date, '%Y-%m-%d') AS order_date,
+       (SELECT COUNT(*) FROM f_customers c WHERE c.join_date <= d.order_date) AS eligible_customers
+FROM (SELECT DISTINCT order_date FROM f_orders) d""")
+def eligible_customers(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import eligible_customers as ec
+    lake = flow.fresh_lake(spark, d)
+    return ec(lake.silver("customers"), lake.silver("orders"))
+
+
+@register("status_transitions", f"""
+SELECT log_id, order_id, old_status, new_status, {sql_publish(cols("changed_at:ts, prev_changed_at:ts"))},
+       illegal_transition, not_after_previous FROM (
+  SELECT l.*, l.old_status IS NOT NULL AND t.old_status IS NULL AS illegal_transition,
+         prev_changed_at IS NOT NULL AND l.changed_at <= prev_changed_at AS not_after_previous
+  FROM (SELECT log_id, order_id, old_status, new_status, changed_at,
+               LAG(changed_at) OVER (PARTITION BY order_id ORDER BY log_id) AS prev_changed_at FROM f_order_status_log) l
+  LEFT JOIN (VALUES ('pending','confirmed'), ('pending','cancelled'), ('confirmed','shipped'), ('confirmed','cancelled'),
+                    ('shipped','delivered'), ('shipped','returned'), ('delivered','returned')) t(old_status, new_status)
+    ON l.old_status = t.old_status AND l.new_status = t.new_status)
+WHERE illegal_transition OR not_after_previous""")
+def status_transitions(spark: SparkSession, d: str) -> DataFrame:
+    """Illegal transitions and non-increasing change times in the cleaned status log."""
+    from tidemark.plans.checks import status_transitions as st
+    return st(flow.fresh_lake(spark, d).silver("order_status_log"))
+
+
+@register("table_counts", " UNION ALL ".join(
+    [f"SELECT 'bronze' AS layer, '{n}' AS table_name, COUNT(*) AS rows FROM {_B[n]}" for n in ENTITIES]
+    + [f"SELECT 'silver' AS layer, '{n}' AS table_name, COUNT(*) AS rows FROM f_{n}" for n in ENTITIES]))
+def table_counts(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans.checks import table_counts as tc
+    lake = flow.fresh_lake(spark, d)
+    tables = {("bronze", n): lake.batch(n) for n in ENTITIES}
+    tables.update({("silver", n): lake.silver(n) for n in ENTITIES})
+    return tc(tables)
+
+
+# =============================================================================================
+# paged extracts
+
+
+def _page_sql(view: str, name: str, spec: str, key: str, limit: int, other: list[str]) -> str:
+    order = ", ".join([f"{key} NULLS FIRST"] + [f"{c} NULLS FIRST" for c in other])
+    return f"""
+SELECT {sql_publish(cols(spec))}, CAST((rn - 1) // {limit} + 1 AS BIGINT) AS page,
+       CAST(CEIL(n / {limit}) AS BIGINT) AS total_pages, CAST((rn - 1) % {limit} + 1 AS BIGINT) AS row_in_page
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS rn, COUNT(*) OVER () AS n FROM {view})"""
+
+
+_PAGE_SOURCES = {"customers": "f_customers", "products": "f_products", "orders": "f_orders",
+                 "order_items": "f_order_items", "order_status_log": "f_order_status_log", "inventory": "f_inventory"}
+
+
+def _page_query(name: str):
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        from tidemark.plans import extracts as X
+        lake = flow.fresh_lake(spark, d)
+        df = lake.silver(name).drop("commit_version")
+        if name == "customers":
+            return X.page_customers(df)
+        if name == "products":
+            return X.page_products(df)
+        if name == "orders":
+            return X.page_orders(df)
+        if name == "order_items":
+            return X.page_order_items(df, lake.silver("orders"))
+        if name == "order_status_log":
+            return X.page_order_status_log(df, lake.silver("orders"))
+        return X.page_inventory(df)
+    q.__doc__ = f"Every page of the {name} listing, assigned in one pass."
+    return q
+
+
+def _page_spec(name: str) -> tuple[str, str, list[str]]:
+    from tidemark.plans.extracts import PRIMARY_KEYS
+    spec = SPEC[name]
+    key = PRIMARY_KEYS[name]
+    names = [c.split(":")[0].strip() for c in spec.split(",")]
+    return spec, key, [c for c in names if c != key]
+
+
+for _n in ENTITIES:
+    from tidemark.plans.extracts import PAGE_LIMITS
+    _spec, _key, _other = _page_spec(_n)
+    register(f"page_{_n}", _page_sql(_PAGE_SOURCES[_n], _n, _spec, _key, PAGE_LIMITS[_n], _other))(_page_query(_n))
+
+
+@register("page_counts", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, COUNT({k}) AS rows, CAST({lim} AS BIGINT) AS page_limit, "
+    f"CAST(CEIL(COUNT({k}) / {lim}) AS BIGINT) AS total_pages FROM {_PAGE_SOURCES[n]}"
+    for n, k, lim in [(n, _page_spec(n)[1], __import__("tidemark.plans.extracts", fromlist=["x"]).PAGE_LIMITS[n])
+                      for n in ENTITIES]))
+def page_counts(spark: SparkSession, d: str) -> DataFrame:
+    from tidemark.plans import extracts as X
+    lake = flow.fresh_lake(spark, d)
+    out = None
+    for n in ENTITIES:
+        c = X.page_counts(lake.silver(n), n)
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def _dated_sql(view: str, name: str, date_col: str, limit: int) -> str:
+    spec, key, other = _page_spec(name)
+    order = ", ".join([f"{key} NULLS FIRST"] + [f"{c} NULLS FIRST" for c in other])
+    return f"""
+SELECT {sql_publish(cols(spec))}, dt, CAST((rn - 1) // {limit} + 1 AS BIGINT) AS page,
+       CAST(CEIL(n / {limit}) AS BIGINT) AS total_pages, CAST((rn - 1) % {limit} + 1 AS BIGINT) AS row_in_page
+FROM (SELECT *, STRFTIME(CAST({date_col} AS DATE), '%Y-%m-%d') AS dt,
+             ROW_NUMBER() OVER (PARTITION BY CAST({date_col} AS DATE) ORDER BY {order}) AS rn,
+             COUNT(*) OVER (PARTITION BY CAST({date_col} AS DATE)) AS n FROM {view})"""
+
+
+@register("assign_pages", _dated_sql("f_order_status_log", "order_status_log", "changed_at", 50))
+def assign_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of 50 status-log rows for every day, all days in one distributed rank."""
+    from tidemark.plans.extracts import dated_pages
+    logs = flow.fresh_lake(spark, d).silver("order_status_log").drop("commit_version")
+    return dated_pages(logs, "order_status_log", "changed_at", 50)
+
+
+@register("landing_extract", _dated_sql("f_orders", "orders", "order_date", 1000))
+def landing_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Per business date, the pages (limit 1000) an extract of orders lands."""
+    from tidemark.plans.extracts import dated_pages
+    orders = flow.fresh_lake(spark, d).silver("orders").drop("commit_version")
+    return dated_pages(orders, "orders", "order_date", 1000)
+
+
+# =============================================================================================
+# storage: commits, change feed, snapshots, MERGE, marks, landing, streaming
+
+_WRITTEN: dict[tuple[str, str, str], str] = {}
+
+
+def _written(spark: SparkSession, d: str, kind: str, build) -> str:
+    """Write once per (application, scale dir) into the shared folder; later queries read it."""
+    key = (spark.sparkContext.applicationId, d, kind)
+    if key not in _WRITTEN:
+        _WRITTEN[key] = build()
+    return _WRITTEN[key]
+
+
+def _orders_commits(spark: SparkSession, d: str) -> str:
+    """Landed orders written as three commits of a bronze table."""
+    from tidemark.session import scratch_path
+    from tidemark.sources import lake as L
+
+    def build() -> str:
+        path = scratch_path(spark, "bronze-orders")
+        landed = flow.landing_of(spark, d).landed("orders").accepted
+        for v in range(3):
+            L.commit_append(landed.filter(F.col("commit_version") == v), path, v)
+        return path
+    return _written(spark, d, "orders-commits", build)
+
+
+@register("commit_append", f"SELECT {sql_publish(cols(SPEC['orders']))}, commit_version FROM b_orders")
+def commit_append(spark: SparkSession, d: str) -> DataFrame:
+    """Three appended commits read back as one snapshot (commit_version per row)."""
+    from tidemark.schemas import ORDERS
+    from tidemark.sources import lake as L
+    return L.read_table(spark, _orders_commits(spark, d), ORDERS)
+
+
+_FEED_SQL = (f"SELECT {sql_publish(cols(SPEC['orders']))}, commit_version, 'insert' AS _change_type, "
+             "CAST(commit_version AS BIGINT) AS _commit_version FROM b_orders WHERE ")
+
+
+@register("change_feed_bounded", _FEED_SQL + "commit_version BETWEEN 1 AND 1")
+def change_feed_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """Change feed of commit [1, 1] (partition-pruned read)."""
+    from tidemark.schemas import ORDERS
+    from tidemark.sources import lake as L
+    return L.change_feed(spark, _orders_commits(spark, d), ORDERS, 1, 1, with_metadata=True)
+
+
+@register("change_feed_open", _FEED_SQL + "commit_version >= 1")
+def change_feed_open(spark: SparkSession, d: str) -> DataFrame:
+    """Change feed from commit 1 on (open-ended)."""
+    from tidemark.schemas import ORDERS
+    from tidemark.sources import lake as L
+    return L.change_feed(spark, _orders_commits(spark, d), ORDERS, 1, None, with_metadata=True)
+
+
+@register("snapshot_overwrite", f"SELECT {sql_publish(cols(DPS_SPEC))} FROM g_dps")
+def snapshot_overwrite(spark: SparkSession, d: str) -> DataFrame:
+    """Product-day partials appended per commit, compacted into a new snapshot, read back."""
+    from tidemark.session import scratch_path
+    from tidemark.sources import lake as L
+
+    def build() -> str:
+        lake = flow.fresh_lake(spark, d)
+        orders, items, products = lake.silver("orders"), lake.silver("order_items"), lake.silver("products")
+        parts_path, root = scratch_path(spark, "dps-partials"), scratch_path(spark, "dps")
+        for v in range(3):
+            p = G.product_day_partials(orders.filter(F.col("commit_version") == v), items, products)
+            L.commit_append(p, parts_path, v)
+        L.write_snapshot(G.compact_product_days(spark.read.parquet(parts_path).drop(L.CV)), root, 0)
+        return root
+    return L.read_snapshot(spark, _written(spark, d, "dps-snapshot", build), 0)
+
+
+# as-of time of each commit's upsert (the end of the commit's extract window)
+UPSERT_AS_OF = ("1997-01-01 00:00:00", "1999-01-01 00:00:00", "2001-08-01 00:00:00")
+
+_MERGE_SQL = f"""
+SELECT {sql_publish(cols("a.customer_id, c.name, c.email, c.city, c.country, c.join_date:date, a.total_order_value:double, a.total_orders:bigint"))},
+       CASE NTILE(4) OVER (ORDER BY a.total_order_value DESC, a.customer_id)
+            WHEN 1 THEN 'Platinum' WHEN 2 THEN 'Gold' WHEN 3 THEN 'Silver' ELSE 'bronze' END AS customer_tier,
+       STRFTIME(a.last_order_date, '%Y-%m-%d') AS last_order_date,
+       CASE WHEN DATEDIFF('day', a.last_order_date, a.updated_at) > 30 THEN 'High'
+            WHEN DATEDIFF('day', a.last_order_date, a.updated_at) > 15 THEN 'Medium' ELSE 'Low' END AS churn_risk_score,
+       STRFTIME(a.updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at
+FROM (SELECT g.*, CASE m.cv WHEN 0 THEN TIMESTAMP '{UPSERT_AS_OF[0]}' WHEN 1 THEN TIMESTAMP '{UPSERT_AS_OF[1]}'
+                         ELSE TIMESTAMP '{UPSERT_AS_OF[2]}' END AS updated_at
+      FROM g_cust_agg g JOIN (SELECT o.customer_id, MAX(s.commit_version) AS cv FROM f_orders o
+                              JOIN s_orders s ON o.oid = s.oid GROUP BY o.customer_id) m
+        ON g.customer_id = m.customer_id) a
+LEFT JOIN f_customers c ON a.customer_id = c.customer_id"""
+
+
+@register("merge_upsert", _MERGE_SQL)
+def merge_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """customer_360 maintained commit by commit: MERGE (update 6 columns, insert all) into
+    the previous snapshot, re-score, write the next snapshot. Customers untouched by a
+    commit keep their earlier ``updated_at`` (and so their churn label)."""
+    from tidemark.session import scratch_path
+    from tidemark.sources import lake as L
+
+    def build() -> str:
+        lake = flow.fresh_lake(spark, d)
+        orders, customers = lake.silver("orders"), lake.silver("customers")
+        root = scratch_path(spark, "customer_360")
+        for v in range(3):
+            prev = L.read_snapshot(spark, root, v - 1)
+            upto = orders.filter(F.col("commit_version") <= v).drop("commit_version")
+            batch = orders.filter(F.col("commit_version") == v).drop("commit_version")
+            mart = G.customer_360(prev, upto, batch, customers, flow.as_of_col(UPSERT_AS_OF[v]))
+            L.write_snapshot(mart, root, v)
+        return root
+    return L.read_snapshot(spark, _written(spark, d, "c360-snapshots", build), 2)
+
+
+@register("merge_update_only", f"""
+SELECT {sql_publish(cols("g.customer_id, g.total_order_value:double, g.total_orders:bigint, g.last_order_date:date"))},
+       COALESCE(s.customer_tier, 'None') AS customer_tier, COALESCE(s.churn_risk_score, 'None') AS churn_risk_score
+FROM g_cust_agg g LEFT JOIN (
+  SELECT t.customer_id, t.customer_tier, t.churn_risk_score FROM g_c360 t
+  WHERE EXISTS (SELECT 1 FROM f_orders o JOIN s_orders c ON o.oid = c.oid
+                WHERE c.commit_version = 2 AND o.customer_id = t.customer_id)) s ON g.customer_id = s.customer_id""")
+def merge_update_only(spark: SparkSession, d: str) -> DataFrame:
+    """Scores of the customers touched by the last commit MERGEd (update only) into the
+    unscored aggregates; all other rows keep the placeholder."""
+    from tidemark.operators.merge import merge_update_only as muo
+    lake = flow.fresh_lake(spark, d)
+    orders = lake.silver("orders")
+    base = G.customer_aggregates(orders.drop("commit_version")).select(
+        "customer_id", "total_order_value", "total_orders", "last_order_date",
+        F.lit(G.PLACEHOLDER).alias("customer_tier"), F.lit(G.PLACEHOLDER).alias("churn_risk_score"))
+    scored = flow.customer_360(lake)
+    touched = G.affected_customers(scored, orders.filter(F.col("commit_version") == 2))
+    return muo(base, touched.select("customer_id", "customer_tier", "churn_risk_score"), ["customer_id"],
+               ["customer_tier", "churn_risk_score"])
+
+
+@register("pending_versions", " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, u.v AS upstream, s.v AS downstream, "
+    "CASE WHEN u.v = s.v THEN 'up_to_date' WHEN s.v > u.v THEN 'conflict' ELSE 'pending' END AS status, "
+    "CASE WHEN u.v > s.v THEN s.v + 1 END AS from_version, CASE WHEN u.v > s.v THEN u.v END AS to_version "
+    f"FROM (SELECT CAST(MAX(commit_version) AS BIGINT) AS v FROM {_B[n]}) u, "
+    f"(SELECT CAST(MAX(commit_version) AS BIGINT) AS v FROM {_B[n]} WHERE commit_version = 0) s"
+    for n in ENTITIES))
+def pending_versions(spark: SparkSession, d: str) -> DataFrame:
+    """Landed commits each silver table still has to process (silver holds commit 0)."""
+    from tidemark.sources import lake as L
+    landing = flow.landing_of(spark, d)
+    out = None
+    for n in ENTITIES:
+        acc = landing.landed(n).accepted
+        up = acc.agg(F.max("commit_version").cast("bigint").alias("upstream"))
+        down = acc.filter(F.col("commit_version") == 0).agg(F.max("commit_version").cast("bigint").alias("downstream"))
+        row = up.select("upstream", down.select("downstream").scalar().alias("downstream"))
+        row = row.select(F.lit(n).alias("table_name"), "upstream", "downstream",
+                         *L.pending_versions(F.col("upstream"), F.col("downstream")))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@register("landing_read", f"""
+SELECT {sql_publish(cols(SPEC["customers"]))}, dt, CAST((rn - 1) // 500 + 1 AS BIGINT) AS page
+FROM (SELECT *, STRFTIME(join_date, '%Y-%m-%d') AS dt,
+             ROW_NUMBER() OVER (PARTITION BY join_date ORDER BY customer_id, name NULLS FIRST, email NULLS FIRST,
+                                city NULLS FIRST, country NULLS FIRST, join_date NULLS FIRST) AS rn FROM b_customers)""")
+def landing_read(spark: SparkSession, d: str) -> DataFrame:
+    """Customers landed as dated JSON pages (dt=/page= layout), then read back with a
+    declared schema: every landed date."""
+    from tidemark.plans.silver import CUSTOMER_COLS
+    from tidemark.session import scratch_path
+    from tidemark.sources import landing as LD
+
+    def build() -> str:
+        path = scratch_path(spark, "landing-customers")
+        LD.write_extract(flow.landing_of(spark, d).landed("customers").accepted.select(*CUSTOMER_COLS),
+                         path, "customers", "join_date", 500)
+        return path
+    return LD.read_partitioned(spark, _written(spark, d, "landing-customers", build), "customers")
+
+
+@register("streaming_silver_orders", f"SELECT {sql_publish(cols(SPEC['orders']))} FROM f_orders")
+def streaming_silver_orders(spark: SparkSession, d: str) -> DataFrame:
+    """Bronze orders commits cleaned by an availableNow stream (one micro-batch per run),
+    silver references read as snapshots inside foreachBatch; result read back."""
+    from tidemark.plans import silver as S
+    from tidemark.schemas import ORDERS
+    from tidemark.session import scratch_path
+    from tidemark.sources import lake as L
+    from tidemark.streaming.incremental import clean_edge
+
+    def build() -> str:
+        lake = flow.fresh_lake(spark, d)
+        customers, items = lake.silver("customers"), lake.silver("order_items")
+        silver_path, q_path = scratch_path(spark, "silver-orders"), scratch_path(spark, "quarantine-orders")
+        clean_edge(spark, _orders_commits(spark, d), silver_path, q_path, ORDERS,
+                   lambda b, before: S.silver_orders(b, before, customers, items),
+                   scratch_path(spark, "stream-ckpt"))
+        return silver_path
+    from tidemark.plans.pipeline import SILVER_SCHEMAS
+    return L.read_table(spark, _written(spark, d, "stream-silver-orders", build), SILVER_SCHEMAS["orders"]).drop(L.CV)
