@@ -81,17 +81,21 @@ def lag_within(
         for pdf in batches:
             if not len(pdf):
                 continue
-            head = pd.DataFrame([prev]) if prev is not None else pd.DataFrame(
-                {c: pd.Series([None], dtype=object) for c in keys + vals})
-            shifted = pd.concat([head, pdf[keys + vals]], ignore_index=True).iloc[:-1].reset_index(drop=True)
             cur = pdf.reset_index(drop=True)
-            same = pd.Series(True, index=cur.index)
+            same = pd.Series(prev is not None, index=cur.index)
+            same.iloc[1:] = True
             for k in keys:
-                same &= _null_safe_equal(cur[k].astype(object), shifted[k].astype(object))
-            if prev is None:
-                same.iloc[0] = False
+                before = cur[k].shift(1)
+                if prev is not None:
+                    before = before.astype(object)
+                    before.iloc[0] = prev[k]
+                same &= _null_safe_equal(cur[k].astype(object), before.astype(object))
             for src, alias in value_cols.items():
-                cur[alias] = shifted[src].where(same, None)
+                before = cur[src].shift(1)
+                if prev is not None:
+                    before = before.astype(object)
+                    before.iloc[0] = prev[src]
+                cur[alias] = before.where(same, None)
             prev = {c: pdf[c].iloc[-1] for c in keys + vals}
             yield cur[out_cols]
 

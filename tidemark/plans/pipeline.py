@@ -38,9 +38,6 @@ class Paths:
     def table(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
 
-    def quarantine(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/quarantine/{layer}/{name}"
-
     def mart(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/gold/{name}"
 
@@ -62,8 +59,9 @@ class RunReport:
 
 def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, version: int,
                  report: RunReport) -> int:
-    """Gate one landed batch and commit it; returns its row count (0 for no input)."""
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)   # gate + two writes read it three times
+    """Gate one landed batch and commit it (rows + quarantine in one write); returns its
+    row count (0 for no input). The mark is recorded by the caller, after all tables."""
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once: gate pass + write pass
     try:
         landed = B.ingest(raw, name)
         gate = landed.gate.first()
@@ -73,11 +71,8 @@ def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, v
         elif not gate["passed"]:
             report.add("bronze", name, "rejected", f"{gate['bad_rows']} of {rows} rows bad")
         else:
-            L.commit_append(landed.accepted, paths.table("bronze", name), version)
-            L.commit_append(landed.quarantined, paths.quarantine("bronze", name), version)
+            L.commit_append(landed.accepted, paths.table("bronze", name), version, landed.quarantined)
             report.add("bronze", name, "ok", f"{rows} rows")
-        # A rejected or empty batch still advances the mark: the shared version stays aligned.
-        L.advance_mark(spark, paths.root, "bronze", name, version, report.statuses[-1][2])
         return rows
     finally:
         raw.unpersist()
@@ -109,9 +104,7 @@ def clean_commit(spark: SparkSession, paths: Paths, name: str, version: int, bat
             out = S.silver_inventory(batch, before, silver("products"), batch_rows)
         else:
             out = S.silver_order_status_log(batch, before, silver("orders"), batch_rows)
-        L.commit_append(out.accepted, paths.table("silver", name), version)
-        L.commit_append(out.quarantined, paths.quarantine("silver", name), version)
-        L.advance_mark(spark, paths.root, "silver", name, version)
+        L.commit_append(out.accepted, paths.table("silver", name), version, out.quarantined)
         report.add("silver", name, "ok")
     finally:
         batch.unpersist()
@@ -168,7 +161,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
     def product_sales() -> None:
         parts = G.product_day_partials(feed("orders"), feed("order_items"), silver("products"))
         L.commit_append(parts, paths.mart("daily_product_sales_partials"), version)
-        all_parts = spark.read.parquet(paths.mart("daily_product_sales_partials")).filter(F.col(L.CV) <= version)
+        all_parts = L.read_written(spark, paths.mart("daily_product_sales_partials"), upto=version)
         L.write_snapshot(G.compact_product_days(all_parts.drop(L.CV)), paths.mart("daily_product_sales"), version)
 
     def performance() -> None:
@@ -189,7 +182,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
             report.add("gold", name, "ok")
         except Exception as e:  # isolate: report, go on with the other marts
             log.exception("mart %s failed", name)
-            report.add("gold", name, "failed", f"{type(e).__name__}: {e}")
+            report.add("gold", name, "failed", f"{type(e).__name__}: {str(e)[:500]}")
 
 
 # ---- a whole run ---------------------------------------------------------------------------------
@@ -210,9 +203,12 @@ def run_batches(spark: SparkSession, root: str, batches: dict[str, DataFrame], a
     for name in SILVER_ORDER:
         if name in batches:
             rows[name] = ingest_batch(spark, paths, name, batches[name], v, report)
+    # A rejected or empty batch still advances its mark: the shared version stays aligned.
+    L.advance_marks(spark, paths.root, [(lay, t, v, st) for lay, t, st, _ in report.statuses if lay == "bronze"])
     for name in SILVER_ORDER:
         if name in rows:
             clean_commit(spark, paths, name, v, rows[name], report)
+    L.advance_marks(spark, paths.root, [(lay, t, v, st) for lay, t, st, _ in report.statuses if lay == "silver"])
     build_marts(spark, paths, v, as_of, report)
     if raise_on_failure and report.failed():
         raise RuntimeError(f"marts failed in commit {v}: {report.failed()}")

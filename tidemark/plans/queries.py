@@ -596,7 +596,8 @@ def snapshot_overwrite(spark: SparkSession, d: str) -> DataFrame:
         for v in range(3):
             p = G.product_day_partials(orders.filter(F.col("commit_version") == v), items, products)
             L.commit_append(p, parts_path, v)
-        L.write_snapshot(G.compact_product_days(spark.read.parquet(parts_path).drop(L.CV)), root, 0)
+        parts = L.read_written(spark, parts_path)
+        L.write_snapshot(G.compact_product_days(parts.drop(L.CV)), root, 0)
         return root
     return L.read_snapshot(spark, _written(spark, d, "dps-snapshot", build), 0)
 
@@ -720,8 +721,8 @@ def streaming_silver_orders(spark: SparkSession, d: str) -> DataFrame:
     def build() -> str:
         lake = flow.fresh_lake(spark, d)
         customers, items = lake.silver("customers"), lake.silver("order_items")
-        silver_path, q_path = scratch_path(spark, "silver-orders"), scratch_path(spark, "quarantine-orders")
-        clean_edge(spark, _orders_commits(spark, d), silver_path, q_path, ORDERS,
+        silver_path = scratch_path(spark, "silver-orders")
+        clean_edge(spark, _orders_commits(spark, d), silver_path, ORDERS,
                    lambda b, before: S.silver_orders(b, before, customers, items),
                    scratch_path(spark, "stream-ckpt"))
         return silver_path

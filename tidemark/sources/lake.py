@@ -1,8 +1,9 @@
 """Versioned tables on plain Parquet.
 
-* A layer table is a Parquet dataset partitioned by ``commit_version``; one commit is
-  one partition directory. Writing commit *v* overwrites only partition *v* (dynamic
-  partition overwrite), so re-running a commit replaces it instead of duplicating it.
+* A layer table is a Parquet dataset partitioned by ``commit_version`` and ``sink``; one
+  commit is one directory holding the step's rows (``sink=main``) and the rows it
+  quarantined (``sink=quarantine``), written by one job. Writing commit *v* overwrites
+  only directory *v*, so re-running a commit replaces it instead of duplicating it.
 * A snapshot read is the whole dataset (optionally up to a version); a change-feed read
   is a ``commit_version`` range filter, which Spark turns into partition pruning.
 * A mart is a sequence of immutable snapshot directories; "overwrite" writes the next
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CV = "commit_version"
+SINK = "sink"          # 'main' rows of the table, 'quarantine' rows rejected by its step
 FEED_COLS = ("_change_type", "_commit_version")
 
 
@@ -35,29 +37,52 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
 
 
 def with_commit_schema(schema: T.StructType) -> T.StructType:
-    if CV in schema.fieldNames():
-        return schema
-    return T.StructType(list(schema.fields) + [T.StructField(CV, T.IntegerType())])
+    fields = [f for f in schema.fields if f.name not in (CV, SINK)]
+    return T.StructType(fields + [T.StructField(CV, T.IntegerType()), T.StructField(SINK, T.StringType())])
 
 
-def commit_append(df: DataFrame, path: str, version: int) -> None:
-    """Write ``df`` as commit ``version`` of the table at ``path`` (idempotent per version).
+def commit_path(path: str, version: int) -> str:
+    return f"{path.rstrip('/')}/{CV}={version}"
 
-    Rows are clustered by the commit column only (one directory); within it Spark writes
-    one file per task, so the write is as parallel as the plan that produced ``df``.
+
+def commit_append(df: DataFrame, path: str, version: int, quarantine: DataFrame | None = None) -> None:
+    """Write commit ``version`` of the table at ``path``: its rows and, in the same job, the
+    rows its step quarantined (``sink=main`` / ``sink=quarantine`` sub-directories).
+
+    The commit directory is overwritten as a whole, so re-running a commit replaces it
+    (idempotent) and never touches other commits. Within it Spark writes one file per
+    task, so the write is as parallel as the plan that produced ``df``.
     """
-    (df.drop(CV).withColumn(CV, F.lit(version).cast("int"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(CV).parquet(path))
+    cols = [c for c in df.columns if c not in (CV, SINK)]
+    out = df.select(*cols).withColumn(SINK, F.lit("main"))
+    if quarantine is not None:
+        # quarantined rows take the table's column types (a union would otherwise widen them)
+        typed = quarantine.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in cols])
+        out = out.unionByName(typed.withColumn(SINK, F.lit("quarantine")))
+    out.write.mode("overwrite").partitionBy(SINK).parquet(commit_path(path, version))
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
-    """Snapshot of a commit table (all commits, or those <= ``upto``); empty if absent."""
+def read_table(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None,
+               sink: str = "main") -> DataFrame:
+    """Snapshot of a commit table (all commits, or those <= ``upto``); empty if absent.
+
+    Both filters are on partition columns, so they prune directories at planning time.
+    """
     full = with_commit_schema(schema)
     if not path_exists(spark, path):
-        return empty(spark, full)
-    df = spark.read.schema(full).parquet(path)
-    return df if upto is None else df.filter(F.col(CV) <= upto)
+        return empty(spark, full).drop(SINK)
+    df = spark.read.schema(full).parquet(path).filter(F.col(SINK) == sink)
+    if upto is not None:
+        df = df.filter(F.col(CV) <= upto)
+    return df.drop(SINK)
+
+
+def read_written(spark: SparkSession, path: str, upto: int | None = None, sink: str = "main") -> DataFrame:
+    """Like :func:`read_table` for internal tables whose schema is the one we wrote."""
+    df = spark.read.parquet(path).filter(F.col(SINK) == sink)
+    if upto is not None:
+        df = df.filter(F.col(CV) <= upto)
+    return df.drop(SINK)
 
 
 def change_feed(spark: SparkSession, path: str, schema: T.StructType, start: int, end: int | None = None,
@@ -139,8 +164,15 @@ def mark_of(spark: SparkSession, root: str, layer: str, table: str) -> int:
 
 def advance_mark(spark: SparkSession, root: str, layer: str, table: str, version: int, status: str = "ok") -> None:
     """Record that (layer, table) has processed up to ``version``; written after the data."""
-    row = spark.createDataFrame([(layer, table, int(version), status)], MARKS_SCHEMA)
-    row.coalesce(1).write.mode("append").parquet(marks_path(root))
+    advance_marks(spark, root, [(layer, table, version, status)])
+
+
+def advance_marks(spark: SparkSession, root: str, rows: list[tuple[str, str, int, str]]) -> None:
+    """Record several marks in one small append (one per layer and run)."""
+    if not rows:
+        return
+    df = spark.createDataFrame([(a, b, int(c), d) for a, b, c, d in rows], MARKS_SCHEMA)
+    df.coalesce(1).write.mode("append").parquet(marks_path(root))
 
 
 PENDING_COLS = ["status", "from_version", "to_version"]

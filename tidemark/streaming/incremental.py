@@ -43,7 +43,7 @@ def run_available_now(source: DataFrame, checkpoint: str, fn: BatchFn, name: str
         raise RuntimeError(str(q.exception()))
 
 
-def clean_edge(spark: SparkSession, bronze_path: str, silver_path: str, quarantine_path: str,
+def clean_edge(spark: SparkSession, bronze_path: str, silver_path: str,
                schema: T.StructType, clean: Callable[[DataFrame, DataFrame], object],
                checkpoint: str, silver_schema: T.StructType | None = None) -> None:
     """Bronze → silver for one table: each micro-batch is cleaned against the silver
@@ -51,12 +51,11 @@ def clean_edge(spark: SparkSession, bronze_path: str, silver_path: str, quaranti
     silver_schema = silver_schema or schema
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.drop(L.CV).persist()
+        batch = batch.filter(batch[L.SINK] == "main").drop(L.CV, L.SINK).persist()
         try:
             before = L.read_table(spark, silver_path, silver_schema, upto=batch_id - 1)
             out = clean(batch, before)
-            L.commit_append(out.accepted, silver_path, batch_id)
-            L.commit_append(out.quarantined, quarantine_path, batch_id)
+            L.commit_append(out.accepted, silver_path, batch_id, out.quarantined)
         finally:
             batch.unpersist()
 
