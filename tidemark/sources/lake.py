@@ -59,7 +59,9 @@ def commit_append(df: DataFrame, path: str, version: int, quarantine: DataFrame
         # quarantined rows take the table's column types (a union would otherwise widen them)
         typed = quarantine.select(*[F.col(c).cast(df.schema[c].dataType).alias(c) for c in cols])
         out = out.unionByName(typed.withColumn(SINK, F.lit("quarantine")))
-    out.write.mode("overwrite").partitionBy(SINK).parquet(commit_path(path, version))
+    # static: the whole commit directory is replaced, including a sink this run leaves empty
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(SINK).parquet(commit_path(path, version)))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None,
