@@ -49,9 +49,20 @@ def canon(df: pd.DataFrame) -> list[tuple]:
     return sorted(rows, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
+def _kind(dtype) -> str:
+    k = getattr(dtype, "kind", "O")
+    return {"i": "int", "u": "int", "f": "float", "b": "bool", "M": "time"}.get(k, "obj")
+
+
 def compare(spark_pdf: pd.DataFrame, duck_pdf: pd.DataFrame) -> tuple[bool, str]:
     if sorted(spark_pdf.columns) != sorted(duck_pdf.columns):
         return False, f"columns differ: {sorted(spark_pdf.columns)} vs {sorted(duck_pdf.columns)}"
+    if len(spark_pdf) and len(duck_pdf):
+        kinds = [(c, str(spark_pdf[c].dtype), str(duck_pdf[c].dtype)) for c in sorted(spark_pdf.columns)
+                 if str(spark_pdf[c].dtype) != str(duck_pdf[c].dtype)
+                 and not (_kind(spark_pdf[c].dtype) == "obj" and _kind(duck_pdf[c].dtype) == "obj")]
+        if kinds:
+            return False, f"dtypes differ: {kinds}"
     if len(spark_pdf) != len(duck_pdf):
         return False, f"rows differ: {len(spark_pdf)} vs {len(duck_pdf)}"
     a, b = canon(spark_pdf), canon(duck_pdf)

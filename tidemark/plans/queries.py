@@ -38,7 +38,7 @@ def daily_sales_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("daily_sales_batch", f"""
-SELECT commit_version, {sql_publish(cols("order_date:date, order_count:bigint, total_amount:double, discount_sum:double, discount_n:bigint, net_revenue:double"))}
+SELECT CAST(commit_version AS BIGINT) AS commit_version, {sql_publish(cols("order_date:date, order_count:bigint, total_amount:double, discount_sum:double, discount_n:bigint, net_revenue:double"))}
 FROM (SELECT c.commit_version, o.order_date, COUNT(o.oid) AS order_count, SUM(o.total_amount) AS total_amount,
              SUM(o.discount_applied) AS discount_sum, COUNT(o.discount_applied) AS discount_n,
              SUM(o.final_amount) AS net_revenue
@@ -555,7 +555,8 @@ def _orders_commits(spark: SparkSession, d: str) -> str:
     return _written(spark, d, "orders-commits", build)
 
 
-@register("commit_append", f"SELECT {sql_publish(cols(SPEC['orders']))}, commit_version FROM b_orders")
+@register("commit_append", f"SELECT {sql_publish(cols(SPEC['orders']))}, CAST(commit_version AS BIGINT) AS commit_version "
+                          "FROM b_orders")
 def commit_append(spark: SparkSession, d: str) -> DataFrame:
     """Three appended commits read back as one snapshot (commit_version per row)."""
     from tidemark.schemas import ORDERS
@@ -563,7 +564,8 @@ def commit_append(spark: SparkSession, d: str) -> DataFrame:
     return L.read_table(spark, _orders_commits(spark, d), ORDERS)
 
 
-_FEED_SQL = (f"SELECT {sql_publish(cols(SPEC['orders']))}, commit_version, 'insert' AS _change_type, "
+_FEED_SQL = (f"SELECT {sql_publish(cols(SPEC['orders']))}, CAST(commit_version AS BIGINT) AS commit_version, "
+             "'insert' AS _change_type, "
              "CAST(commit_version AS BIGINT) AS _commit_version FROM b_orders WHERE ")
 
 
