@@ -60,12 +60,16 @@ def bounded_broadcast(keys_df: DataFrame, max_rows: int, known_rows: int | None
 
 def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str], max_rows: int,
                batch_rows: int | None) -> tuple[DataFrame, bool]:
-    batch_keys = batch.select(*keys).dropna().dropDuplicates()
+    # Duplicate keys on a hash build side change nothing for semi/anti joins, so the key
+    # sets are not de-duplicated on the broadcast path (that would add two shuffles).
+    batch_keys = batch.select(*keys).dropna()
     small = bounded_broadcast(batch_keys, max_rows, batch_rows)
     if small is None:
+        # Shuffle path: partial aggregation collapses repeated keys before the exchange.
         return existing.select(*keys).dropDuplicates(), False
-    # Shrink: scan the big table once, keep only keys of this batch, never shuffle it.
-    seen = existing.select(*keys).join(small, keys, "left_semi").dropDuplicates()
+    # Shrink: scan the big table once, keep only keys of this batch, never shuffle it;
+    # what survives is at most the batch's key count, so it is broadcast in turn.
+    seen = existing.select(*keys).join(small, keys, "left_semi")
     return seen, True
 
 

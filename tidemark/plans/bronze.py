@@ -52,6 +52,12 @@ class Landed:
     quarantined: DataFrame   # rows for quarantine (empty when the gate fails)
 
 
+def split(batch: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted, quarantined) without the gate, for callers that already hold the verdict."""
+    rule = rules()[table].split
+    return batch.filter(rule.valid), batch.filter(rule.invalid)
+
+
 def ingest(batch: DataFrame, table: str, max_bad_share: float = MAX_BAD_SHARE) -> Landed:
     """Split + gate, lazily: the verdict is a scalar subquery evaluated once per plan."""
     rule = rules()[table]

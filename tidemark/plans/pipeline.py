@@ -71,7 +71,8 @@ def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, v
         elif not gate["passed"]:
             report.add("bronze", name, "rejected", f"{gate['bad_rows']} of {rows} rows bad")
         else:
-            L.commit_append(landed.accepted, paths.table("bronze", name), version, landed.quarantined)
+            accepted, quarantined = B.split(raw, name)     # verdict known: no second gate pass
+            L.commit_append(accepted, paths.table("bronze", name), version, quarantined)
             report.add("bronze", name, "ok", f"{rows} rows")
         return rows
     finally:
