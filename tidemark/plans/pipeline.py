@@ -229,6 +229,21 @@ def run_pipeline(spark: SparkSession, landing_root: str, root: str, date, as_of:
     return run_batches(spark, root, batches, as_of, version)
 
 
+def backfill(spark: SparkSession, landing_root: str, root: str, start, end, as_of: Column | None = None,
+             layout: str = "partitioned") -> list[RunReport]:
+    """Catch up every business date in ``[start, end]``, oldest first: one run (one commit
+    version) per date, as a daily schedule with catch-up would."""
+    import datetime as _dt
+
+    from tidemark.sources.landing import day_str
+    day, last = _dt.date.fromisoformat(day_str(start)), _dt.date.fromisoformat(day_str(end))
+    reports = []
+    while day <= last:
+        reports.append(run_pipeline(spark, landing_root, root, day, as_of, layout))
+        day += _dt.timedelta(days=1)
+    return reports
+
+
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The current snapshot of a mart (as recorded by its mark)."""
     v = L.mark_of(spark, root, "gold", name)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.plans.extracts import dated_pages
 from tidemark.schemas import ENTITIES
+from tidemark.sources.lake import empty, path_exists
 
 
 def day_str(date: str | _dt.date | _dt.datetime) -> str:
@@ -38,6 +39,8 @@ TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"  # microseconds survive the JSON ro
 
 def read_pages(spark: SparkSession, table_dir: str, table: str, date) -> DataFrame:
     """Rows of one business date from ``<date>_file_<n>.json`` arrays (original layout)."""
+    if not path_exists(spark, table_dir):
+        return empty(spark, json_schema(table))
     return (spark.read.schema(json_schema(table)).option("multiLine", True)
             .option("timestampFormat", TS_FORMAT)
             .option("pathGlobFilter", f"{day_str(date)}_file_*.json").json(table_dir))
@@ -47,6 +50,8 @@ def read_partitioned(spark: SparkSession, table_dir: str, table: str, date=None)
     """Rows of the ``dt=/page=`` layout; ``date`` None reads every landed date."""
     schema = T.StructType(list(json_schema(table).fields) + [
         T.StructField("dt", T.StringType()), T.StructField("page", T.LongType())])
+    if not path_exists(spark, table_dir):
+        return empty(spark, schema)
     df = spark.read.schema(schema).option("timestampFormat", TS_FORMAT).json(table_dir)
     return df if date is None else df.filter(F.col("dt") == day_str(date))
 
