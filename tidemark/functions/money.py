@@ -40,4 +40,5 @@ def half_up_mean(total: Column, count: Column, scale: int, total_scale: int) ->
     quotient keeps total_scale + 13 fraction digits before the single rounding step: a
     value that is not exactly a tie can never be rounded as one.
     """
-    return F.round(total.cast(f"decimal(24,{total_scale})") / count.cast("decimal(12,0)"), scale)
+    # no row to average → null (never a division by zero, which raises under ANSI mode)
+    return F.when(count > 0, F.round(total.cast(f"decimal(24,{total_scale})") / count.cast("decimal(12,0)"), scale))

@@ -134,7 +134,7 @@ def order_items(spark: SparkSession, sf_dir: str, with_commit: bool = False) ->
         F.col("l_orderkey").cast("bigint").alias("order_id"),
         F.col("l_partkey").cast("bigint").alias("product_id"),
         qty.alias("quantity"),
-        F.round(gross / qty.cast("decimal(20,0)"), 2).cast(MONEY).alias("unit_price_at_order"),
+        F.when(qty > 0, F.round(gross / qty.cast("decimal(20,0)"), 2)).cast(MONEY).alias("unit_price_at_order"),
         pct.alias("discount_at_order"),
         line_total(gross, pct).alias("line_total"),
         gross.alias("gross_amount"),
