@@ -11,10 +11,12 @@ partition, one row per partition, which is what the first row of the next partit
 from __future__ import annotations
 
 import pandas as pd
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from tidemark.caching import persist
+
 
 def _null_safe_equal(a: pd.Series, b: pd.Series) -> pd.Series:
     both_null = a.isna().to_numpy() & b.isna().to_numpy()
@@ -37,11 +39,7 @@ def lag_within(
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordering = list(partition_by) + list(order_by)
-    ranged = (
-        df.repartitionByRange(n, *ordering)
-        .sortWithinPartitions(*ordering)
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
+    ranged = persist(df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering))
     keys = list(partition_by)
     vals = list(value_cols)
     carry_fields = [ranged.schema[c] for c in keys + vals]

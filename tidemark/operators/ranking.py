@@ -16,10 +16,11 @@ partition yields identical ranks.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.caching import persist
+
 RANK = "_rank"
 TOTAL = "_total"
 _LOW_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_index
@@ -34,8 +35,8 @@ def distributed_rank(df: DataFrame, order: list[Column], num_partitions: int | N
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    staged = persist(staged)
     counts = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a window over the partition ids is bounded by n, not by data.
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

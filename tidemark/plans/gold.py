@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.caching import persist
 from tidemark.functions.labels import churn_label, tier_label
 from tidemark.functions.money import half_up_mean
 from tidemark.operators.merge import merge_upsert
@@ -213,11 +214,18 @@ def category_unique_customers(lines: DataFrame) -> DataFrame:
     return lines.groupBy("category").agg(F.count_distinct("customer_id").alias("unique_customers"))
 
 
+def category_customer_revenue(lines: DataFrame) -> DataFrame:
+    """One pass over the big order ⋈ item ⋈ product join: revenue per (category,
+    product_name, customer). Both the product revenue and the distinct-customer count
+    derive from this (smaller) set, so the join is computed once, not once per consumer."""
+    return lines.groupBy("category", "product_name", "customer_id").agg(F.sum("line_total").alias("line_total"))
+
+
 def category_trends(dps: DataFrame, orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     means = category_daily_means(dps)
-    lines = sales_lines(orders, items, products)
-    top = category_top_product(category_product_revenue(lines))
-    uniq = category_unique_customers(lines)
+    per_customer = persist(category_customer_revenue(sales_lines(orders, items, products)))
+    top = category_top_product(category_product_revenue(per_customer))
+    uniq = category_unique_customers(per_customer)
     return (
         means.join(top, "category").join(uniq, "category")
         .select("category", "date", "daily_revenue", "daily_orders", "unique_customers",

@@ -19,6 +19,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.caching import released
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G
 from tidemark.plans import silver as S
@@ -86,31 +87,36 @@ def clean_commit(spark: SparkSession, paths: Paths, name: str, version: int, bat
                  report: RunReport) -> None:
     """Clean commit ``version`` of one bronze table into silver (+ quarantine)."""
     batch = L.drop_feed_metadata(L.change_feed(spark, paths.table("bronze", name), ENTITIES[name], version, version))
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the accept and reject plans
     try:
-        before = L.read_table(spark, paths.table("silver", name), SILVER_SCHEMAS[name], upto=version - 1)
-
-        def silver(ref: str) -> DataFrame:
-            return L.read_table(spark, paths.table("silver", ref), SILVER_SCHEMAS[ref], upto=version)
-
-        if name == "customers":
-            out = S.silver_customers(batch, before, batch_rows)
-        elif name == "products":
-            out = S.silver_products(batch, before, batch_rows)
-        elif name == "order_items":
-            out = S.silver_order_items(batch, before, silver("products"), batch_rows)
-        elif name == "orders":
-            out = S.silver_orders(batch, before, silver("customers"), silver("order_items"), batch_rows)
-        elif name == "inventory":
-            out = S.silver_inventory(batch, before, silver("products"), batch_rows)
-        else:
-            out = S.silver_order_status_log(batch, before, silver("orders"), batch_rows)
-        L.commit_append(out.accepted, paths.table("silver", name), version, out.quarantined)
+        with released():
+            out = _clean(spark, paths, name, version, batch, batch_rows)
+            L.commit_append(out.accepted, paths.table("silver", name), version, out.quarantined)
         report.add("silver", name, "ok")
     finally:
         batch.unpersist()
 
 
+def _clean(spark: SparkSession, paths: Paths, name: str, version: int, batch: DataFrame,
+           batch_rows: int | None) -> S.Cleaned:
+    before = L.read_table(spark, paths.table("silver", name), SILVER_SCHEMAS[name], upto=version - 1)
+
+    def silver(ref: str) -> DataFrame:
+        return L.read_table(spark, paths.table("silver", ref), SILVER_SCHEMAS[ref], upto=version)
+
+    if name == "customers":
+        return S.silver_customers(batch, before, batch_rows)
+    if name == "products":
+        return S.silver_products(batch, before, batch_rows)
+    if name == "order_items":
+        return S.silver_order_items(batch, before, silver("products"), batch_rows)
+    if name == "orders":
+        return S.silver_orders(batch, before, silver("customers"), silver("order_items"), batch_rows)
+    if name == "inventory":
+        return S.silver_inventory(batch, before, silver("products"), batch_rows)
+    return S.silver_order_status_log(batch, before, silver("orders"), batch_rows)
+
+
 # ---- gold --------------------------------------------------------------------------------------
 
 
@@ -178,7 +184,8 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
              "product_performance": performance, "category_trends": trends}
     for name in only or MARTS:
         try:
-            steps[name]()
+            with released():          # intermediates persisted by the step die with it
+                steps[name]()
             L.advance_mark(spark, paths.root, "gold", name, version)
             report.add("gold", name, "ok")
         except Exception as e:  # isolate: report, go on with the other marts
