@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.catalog import SPEC, cols, register, sql_publish
+from tidemark.oracle import hu
 from tidemark.plans import flow
 from tidemark.plans import gold as G
+from tidemark.plans.extracts import PAGE_LIMITS, PRIMARY_KEYS
 from tidemark.sources import commerce
 
 ENTITIES = ["customers", "products", "orders", "order_items", "inventory", "order_status_log"]
@@ -24,8 +26,6 @@ FROM (SELECT order_date, COUNT(oid) AS order_count, CAST(SUM(total_amount) AS DE
              SUM(discount_applied) AS discount_sum, COUNT(discount_applied) AS discount_n,
              CAST(SUM(final_amount) AS DECIMAL(28,2)) AS net_revenue
       FROM f_orders GROUP BY order_date)"""
-from tidemark.oracle import hu  # noqa: E402
-
 DSS_SQL = DSS_SQL.replace("{mean}", hu("discount_sum", 6, "discount_n", 6))
 
 
@@ -472,7 +472,6 @@ def _page_query(name: str):
 
 
 def _page_spec(name: str) -> tuple[str, str, list[str]]:
-    from tidemark.plans.extracts import PRIMARY_KEYS
     spec = SPEC[name]
     key = PRIMARY_KEYS[name]
     names = [c.split(":")[0].strip() for c in spec.split(",")]
@@ -480,7 +479,6 @@ def _page_spec(name: str) -> tuple[str, str, list[str]]:
 
 
 for _n in ENTITIES:
-    from tidemark.plans.extracts import PAGE_LIMITS
     _spec, _key, _other = _page_spec(_n)
     register(f"page_{_n}", _page_sql(_PAGE_SOURCES[_n], _n, _spec, _key, PAGE_LIMITS[_n], _other))(_page_query(_n))
 
@@ -488,8 +486,7 @@ for _n in ENTITIES:
 @register("page_counts", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, COUNT({k}) AS rows, CAST({lim} AS BIGINT) AS page_limit, "
     f"CAST(CEIL(COUNT({k}) / {lim}) AS BIGINT) AS total_pages FROM {_PAGE_SOURCES[n]}"
-    for n, k, lim in [(n, _page_spec(n)[1], __import__("tidemark.plans.extracts", fromlist=["x"]).PAGE_LIMITS[n])
-                      for n in ENTITIES]))
+    for n, k, lim in [(n, PRIMARY_KEYS[n], PAGE_LIMITS[n]) for n in ENTITIES]))
 def page_counts(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.plans import extracts as X
     lake = flow.fresh_lake(spark, d)
