@@ -1,10 +1,13 @@
-"""Persisted intermediates with a lifetime.
+"""Intermediates an operator reads more than once.
 
-Operators that must read one intermediate twice (a rank needs counts and rows of the
-same range partitioning; a mart derives two aggregates from one join) persist it with
-:func:`persist`. Inside a :func:`released` block (a pipeline step that writes its output)
-those intermediates are unpersisted when the block ends; outside one (a lazily returned
-query) they stay cached for as long as the caller's plan needs them.
+:func:`persist` keeps a frame cached; inside a :func:`released` block (a pipeline step
+that writes its output) such frames are unpersisted when the block ends.
+
+:func:`materialize` writes a frame as parquet below the shared checkpoint folder and
+reads it back. Operators use it when several passes must see *the same* rows with *the
+same* derived labels (a range-partition label, a position): a cache can be dropped or
+rebuilt with re-sampled range bounds, a written table cannot. It also cuts lineage and
+survives the loss of any executor.
 """
 
 from __future__ import annotations
@@ -32,3 +35,10 @@ def released():
     finally:
         for df in _SCOPES.pop():
             df.unpersist()
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    from tidemark.session import scratch_path
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

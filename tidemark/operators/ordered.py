@@ -2,26 +2,23 @@
 
 A plain ``lag(...).over(Window.partitionBy(k).orderBy(t))`` sends every row of a key to
 one task; with a key that holds a third of all rows that task becomes the whole job.
-Here the rows are range-partitioned on (key, order) instead, so a hot key is spread over
-many contiguous, balanced partitions. Each partition is scanned once in order (Arrow
-batches through ``mapInPandas``); the only cross-partition state is the last row of each
-partition, one row per partition, which is what the first row of the next partition needs.
+Here the rows are first range-partitioned on (key, order) and each row is labelled with
+its range (``_part``); the label is written with the rows (a table in the shared
+folder), so every later pass sees the same labels. Then:
+
+* lag inside each (key, range) group with the built-in window (a group is at most one
+  range, so a hot key is spread over many balanced tasks);
+* for each range, the last row (one aggregate row per range) and, through a window over
+  those few rows, the last row of the previous non-empty range;
+* the first row of a (key, range) group takes that carried row when its key matches.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
 
-from tidemark.caching import persist
-
-
-def _null_safe_equal(a: pd.Series, b: pd.Series) -> pd.Series:
-    both_null = a.isna().to_numpy() & b.isna().to_numpy()
-    eq = (a.to_numpy() == b.to_numpy())
-    return pd.Series(eq | both_null, index=a.index)
+from tidemark.caching import materialize
 
 
 def lag_within(
@@ -33,68 +30,32 @@ def lag_within(
 ) -> DataFrame:
     """Add ``alias = lag(src, 1)`` for each ``src -> alias`` in ``value_cols``.
 
-    ``order_by`` must make the order total within a key (add a unique column); the
-    result is then deterministic and can be recomputed after an executor loss.
+    ``order_by`` must make the order total within a key (add a unique column), so the
+    result is deterministic.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordering = list(partition_by) + list(order_by)
-    ranged = persist(df.repartitionByRange(n, *ordering).sortWithinPartitions(*ordering))
-    keys = list(partition_by)
-    vals = list(value_cols)
-    carry_fields = [ranged.schema[c] for c in keys + vals]
-
-    # Pass 1: last row of every non-empty partition (at most n rows).
-    tail_schema = T.StructType([T.StructField("_part", T.IntegerType())] + [
-        T.StructField(f.name, f.dataType, True) for f in carry_fields])
-
-    def tails(batches):
-        last = None
-        for pdf in batches:
-            if len(pdf):
-                last = pdf.iloc[[-1]]
-        if last is not None:
-            out = last.copy()
-            out.insert(0, "_part", TaskContext.get().partitionId())
-            yield out
-
-    tail_pdf = ranged.select(*keys, *vals).mapInPandas(tails, tail_schema).toPandas()
-    tail_pdf = tail_pdf.sort_values("_part")
-    carries: dict[int, dict] = {}
-    last_row = None
-    by_part = {int(r["_part"]): r for _, r in tail_pdf.iterrows()}
-    for p in range(n):
-        if last_row is not None:
-            carries[p] = {c: last_row[c] for c in keys + vals}
-        if p in by_part:
-            last_row = by_part[p]
-
-    out_schema = T.StructType(list(ranged.schema.fields) + [
-        T.StructField(alias, ranged.schema[src].dataType, True) for src, alias in value_cols.items()])
-    out_cols = [f.name for f in out_schema.fields]
-
-    # Pass 2: shift inside the partition, seeded with the previous partition's tail.
-    def shift(batches):
-        prev = carries.get(TaskContext.get().partitionId())
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            cur = pdf.reset_index(drop=True)
-            same = pd.Series(prev is not None, index=cur.index)
-            same.iloc[1:] = True
-            for k in keys:
-                before = cur[k].shift(1)
-                if prev is not None:
-                    before = before.astype(object)
-                    before.iloc[0] = prev[k]
-                same &= _null_safe_equal(cur[k].astype(object), before.astype(object))
-            for src, alias in value_cols.items():
-                before = cur[src].shift(1)
-                if prev is not None:
-                    before = before.astype(object)
-                    before.iloc[0] = prev[src]
-                cur[alias] = before.where(same, None)
-            prev = {c: pdf[c].iloc[-1] for c in keys + vals}
-            yield cur[out_cols]
-
-    return ranged.mapInPandas(shift, out_schema)
+    keys, vals = list(partition_by), list(value_cols)
+    ordering = keys + list(order_by)
+    labelled = materialize(df.repartitionByRange(n, *ordering).withColumn("_part", F.spark_partition_id()),
+                           "lag-ranges")
+
+    w = Window.partitionBy(*keys, "_part").orderBy(*order_by)
+    inner = labelled.select(
+        "*", F.row_number().over(w).alias("_rn"),
+        *[F.lag(src).over(w).alias(f"_in_{alias}") for src, alias in value_cols.items()])
+
+    # last row of each range (one row per range), then the previous non-empty range's last row
+    tails = labelled.groupBy("_part").agg(
+        F.max_by(F.struct(*[F.col(c).alias(f"k_{c}") for c in keys], *[F.col(c).alias(f"v_{c}") for c in vals]),
+                 F.struct(*ordering)).alias("_t"))
+    carry = tails.select("_part", F.lag("_t").over(Window.orderBy("_part")).alias("_c"))  # rows = ranges
+
+    joined = inner.join(F.broadcast(carry), "_part", "left")
+    same_key: Column = F.col("_c").isNotNull()
+    for k in keys:
+        same_key = same_key & F.col(k).eqNullSafe(F.col(f"_c.k_{k}"))
+    first = F.col("_rn") == 1
+    outs = [F.when(first, F.when(same_key, F.col(f"_c.v_{src}"))).otherwise(F.col(f"_in_{alias}")).alias(alias)
+            for src, alias in value_cols.items()]
+    return joined.select(*df.columns, *outs)

@@ -4,7 +4,7 @@
 
 1. range-partition on the ordering (Spark samples the bounds), sort inside partitions;
 2. record each row's partition and its position inside it (``monotonically_increasing_id``
-   encodes both), materialise once so both passes see the same rows;
+   encodes both) and write them with the rows, so both passes read the same labels;
 3. count rows per partition (one row per partition), turn the counts into starting
    offsets with a tiny window over the partition ids, and join them back with a
    broadcast (its size is the partition count, not the data size);
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.caching import persist
+from tidemark.caching import materialize
 
 RANK = "_rank"
 TOTAL = "_total"
@@ -36,7 +36,9 @@ def distributed_rank(df: DataFrame, order: list[Column], num_partitions: int | N
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOW_BITS) - 1)))
     )
-    staged = persist(staged)
+    # Written once: the count pass and the rank pass read the same labels and positions
+    # (a cache could be rebuilt with re-sampled range bounds between them).
+    staged = materialize(staged, "rank-ranges")
     counts = staged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a window over the partition ids is bounded by n, not by data.
     w = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
