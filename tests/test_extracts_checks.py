@@ -59,3 +59,13 @@ def test_eligible_customers_and_orphans(spark):
     assert rows(K.eligible_customers(customers, orders)) == [(D(2), 1), (D(3), 3), (D(30), 4)]
     items = spark.createDataFrame([(1,), (1,), (3,)], "order_id bigint")
     assert rows(K.orders_without_items(orders, items), "oid") == [(2,)]
+
+
+def test_date_equality_filters(spark):
+    customers = spark.createDataFrame([(1, D(1)), (2, D(2)), (3, D(2))], "customer_id bigint, join_date date")
+    assert rows(X.page_customers(customers, on_date="2026-07-02", limit=1), "customer_id", "page") == [(2, 1), (3, 2)]
+    products = spark.createDataFrame([(1, D(1)), (2, D(2))], "pid bigint, created_at date")
+    assert rows(X.page_products(products, on_date=D(1)), "pid", "total_pages") == [(1, 1)]
+    inv = spark.createDataFrame([(7, 1, D(3)), (8, 1, D(4))], "inventory_id bigint, product_id bigint, last_restocked_at date")
+    assert rows(X.page_inventory(inv, on_date="2026-07-04 10:00:00"), "inventory_id") == [(8,)]
+    assert X.page_inventory(inv, on_date="2026-07-05").count() == 0

@@ -1,13 +1,14 @@
 """One business date through all layers, against versioned Parquet tables.
 
-    landing/<table>/...  --ingest-->  bronze/<table> (+ quarantine/bronze/<table>)
-                         --clean--->  silver/<table> (+ quarantine/silver/<table>)
+    landing/<table>/...  --ingest-->  bronze/<table>/commit_version=v/sink=main|quarantine
+                         --clean--->  silver/<table>/commit_version=v/sink=main|quarantine
                          --marts--->  gold/<mart>/snapshot=<v>
 
 All tables of a run commit under one shared ``commit_version`` (the run's batch id), so a
-mart joining two feeds reads the same batch from both. Commit *v* of any table is written
-with dynamic partition overwrite and reads only commits < *v* of its own table, so
-re-running a crashed run replaces its partial output (idempotent). Marks are written last.
+mart joining two feeds reads the same batch from both. Commit *v* of any table replaces
+its whole commit directory (rows and quarantine) and reads only commits < *v* of its own
+table, so re-running a crashed run replaces its partial output (idempotent). Marks are
+written after the data.
 """
 
 from __future__ import annotations
