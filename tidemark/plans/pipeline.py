@@ -148,8 +148,12 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
     def feed(name: str) -> DataFrame:
         return L.change_feed(spark, paths.table("silver", name), SILVER_SCHEMAS[name], version, version)
 
+    # current gold marks, read once per run (one row per mart)
+    marks = {r["table_name"]: int(r["version"]) for r in
+             L.read_marks(spark, paths.root).filter(F.col("layer") == "gold").collect()}
+
     def last(mart: str) -> int:
-        return L.mark_of(spark, paths.root, "gold", mart)
+        return marks.get(mart, -1)
 
     def c360() -> None:
         root = paths.mart("customer_360")
