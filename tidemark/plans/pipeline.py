@@ -177,8 +177,18 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
         L.write_snapshot(G.compact_product_days(all_parts.drop(L.CV)), paths.mart("daily_product_sales"), version)
 
     def performance() -> None:
+        # Windows are per product: recompute the products this commit touched (their whole
+        # history, so the frames stay exact) and carry every other product's rows over.
         dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), version)
-        L.write_snapshot(G.product_performance(dps), paths.mart("product_performance"), version)
+        prev = L.read_snapshot(spark, paths.mart("product_performance"), last("product_performance"))
+        if prev is None:
+            out = G.product_performance(dps)
+        else:
+            touched = (L.read_written(spark, paths.mart("daily_product_sales_partials"))
+                       .filter(F.col(L.CV) == version).select("pid"))
+            fresh = G.product_performance(dps.join(touched, "pid", "left_semi"))
+            out = prev.join(touched, "pid", "left_anti").unionByName(fresh)
+        L.write_snapshot(out, paths.mart("product_performance"), version)
 
     def trends() -> None:
         dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), version)
