@@ -7,6 +7,7 @@ caches, compiled tables) lives in :func:`process_cache`; every entry is bounded
 
 from __future__ import annotations
 
+import hashlib
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -107,3 +108,19 @@ def bounded_sample(df: DataFrame, label: str, per_class: int, key: str = "doc_id
             taken[r[label]] = taken.get(r[label], 0) + 1
             out.append(r)
     return out
+
+
+class Shared:
+    """A fitted model or table for the tasks, of a size set by parameters: broadcast as bytes
+    with its classes, unpacked once per worker process."""
+
+    def __init__(self, spark: SparkSession, value):
+        raw = cloudpickle.dumps(value)
+        self._key = ("shared", hashlib.sha256(raw).digest())
+        self._raw = spark.sparkContext.broadcast(raw)
+
+    def get(self):
+        cache = process_cache()
+        if cache.get("shared_key") != self._key:  # one at a time: an older model is let go
+            cache["shared_value"], cache["shared_key"] = cloudpickle.loads(self._raw.value), self._key
+        return cache["shared_value"]

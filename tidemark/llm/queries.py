@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec
+from tidemark.llm import bpe_codec, language_id, token_counts
 from tidemark.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,3 +25,15 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text by the multilingual ranks, and the round trip back to bytes."""
     docs = documents(spark, sf_dir, "doc_id", "text")
     return bpe_codec.digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the labelled documents outside fold 0."""
+    return language_id.identify(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every whole text by the byte-level BPE tokenizer file."""
+    return token_counts.over_limit(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
