@@ -8,8 +8,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, language_id, token_counts
+from tidemark.llm import bpe_codec, language_id, token_counts, toxicity
 from tidemark.llm.common import documents
+from tidemark.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +38,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every whole text by the byte-level BPE tokenizer file."""
     return token_counts.over_limit(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels outside fold 0."""
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
+    return toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), labels)
