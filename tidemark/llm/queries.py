@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, language_id, token_counts, toxicity
+from tidemark.llm import bpe_codec, jaccard_join, language_id, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -45,3 +45,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text, learned from the labels outside fold 0."""
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "toxic"])
     return toxicity.toxicity(documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
+@query
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the links of all documents by 5-word shingles at 80 percent."""
+    return jaccard_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
