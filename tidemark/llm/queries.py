@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, jaccard_join, language_id, token_counts, toxicity
+from tidemark.llm import bpe_codec, decontaminate, jaccard_join, language_id, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -51,3 +51,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the links of all documents by 5-word shingles at 80 percent."""
     return jaccard_join.jaccard_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in all documents: a row per contaminated document and benchmark item."""
+    benchmark = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
+    return decontaminate.contaminated(documents(spark, sf_dir, "doc_id", "text"), benchmark)
