@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, decontaminate, jaccard_join, language_id, token_counts, toxicity
+from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -58,3 +58,9 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in all documents: a row per contaminated document and benchmark item."""
     benchmark = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
     return decontaminate.contaminated(documents(spark, sf_dir, "doc_id", "text"), benchmark)
+
+
+@query
+def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in eight shards by a k-d tree over their metadata."""
+    return kd_shards.eight_shards(documents(spark, sf_dir, "doc_id", "text"))
