@@ -352,14 +352,24 @@ class Scorer:
         return out
 
 
-def fit(labelled: DataFrame, per_class: int = PER_CLASS) -> Network | None:
-    """A network from the rows of ``labelled`` (doc_id, text, toxic)."""
-    rows = labelled.where("toxic in (0, 1) and text is not null").where(F.length("text") <= SAMPLE_CHARS)
-    sample = bounded_sample(rows.select("doc_id", "text", "toxic"), "toxic", per_class)
-    labels = [int(r["toxic"]) for r in sample]
-    if len(set(labels)) < 2:
+def fit(docs: DataFrame, marks: DataFrame, per_class: int = PER_CLASS) -> Network | None:
+    """A network from the texts ``docs`` (doc_id, text) under the labels ``marks`` (doc_id, toxic).
+
+    The draw is made on the narrow labels; only its rows (a bound set by ``per_class``) meet the texts.
+    """
+    drawn = bounded_sample(marks.where("toxic in (0, 1)").select("doc_id", "toxic"), "toxic", 3 * per_class // 2)
+    labels = {r["doc_id"]: int(r["toxic"]) for r in drawn}
+    if len(set(labels.values())) < 2:
         return None
-    return train([r["text"] for r in sample], labels)
+    ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(labels)], "doc_id bigint")
+    texts = docs.where("text is not null").where(F.length("text") <= SAMPLE_CHARS).join(F.broadcast(ids), "doc_id", "left_semi")
+    text_of = {r["doc_id"]: r["text"] for r in texts.select("doc_id", "text").orderBy("doc_id", "text").collect()}
+    taken = []
+    for label in (0, 1):
+        taken += [i for i in labels if labels[i] == label and i in text_of][:per_class]  # in the order of the draw
+    if len({labels[i] for i in taken}) < 2:
+        return None
+    return train([text_of[i] for i in taken], [labels[i] for i in taken])
 
 
 def score(df: DataFrame, net: Network | None) -> DataFrame:
@@ -385,8 +395,7 @@ def score(df: DataFrame, net: Network | None) -> DataFrame:
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Contract of op1: learn from the labels of folds 1 to 4, score every whole text."""
-    marks = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    folded = docs.select("doc_id", "text").withColumn("held_out", crc_fold() == 0)
-    net = fit(folded.where(~F.col("held_out")).join(marks, "doc_id"))
-    scored = score(folded.select("doc_id", "held_out", "text"), net)
+    marks = labels.where(crc_fold() != 0).where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    net = fit(docs, marks)
+    scored = score(docs.select("doc_id", (crc_fold() == 0).alias("held_out"), "text"), net)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
