@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, token_counts, toxicity
+from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, quality_rules, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -64,3 +64,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards by a k-d tree over their metadata."""
     return kd_shards.eight_shards(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and the cascade's verdict of every whole text."""
+    return quality_rules.quality(documents(spark, sf_dir, "doc_id", "text"))
+
+
+ORACLE["op2_quality_rules"] = quality_rules.ORACLE_SQL
