@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, quality_rules, secret_scan, token_counts, toxicity
+from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, quality_rules, secret_scan, substring_dedup, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -79,3 +79,9 @@ ORACLE["op2_quality_rules"] = quality_rules.ORACLE_SQL
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents after false-positive removal, a row each."""
     return secret_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that documents share, a row per document and passage."""
+    return substring_dedup.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
