@@ -56,7 +56,8 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     h = data * np.uint32(0x01000193)
     found, owner = [], []
     for n in range(2, 6):
-        shifted = np.concatenate([data[n - 1:], np.zeros(n - 1, np.uint32)])
+        shifted = np.zeros_like(data)
+        shifted[:max(0, len(data) - n + 1)] = data[n - 1:]
         h = (h ^ shifted) * np.uint32(0x01000193)
         if n > 2:
             ok = left >= n
