@@ -7,14 +7,14 @@ when 100 * intersection >= percent * union.
 1. *Profile* (one pass): per document the set's size and digest and a hashed bitmap
    signature of at least two bits a shingle. The same pass notes the most frequent shingles.
 2. *Tiles*: under any fixed order of shingles, two similar sets share one of the first
-   ``n - ceil(n * percent / 100) + 1`` of theirs. The order is by frequency (at most ``ORDERED``
+   ``n - ceil(n * percent / 100) + 1`` of the larger's and of the first ``n - ceil(2 n percent / (100 + percent)) + 1``
+   of the smaller's. The order is by frequency (at most ``ORDERED``
    frequent shingles are known, and come last), then by hash: passages that many documents share fall behind.
    Rows (shingle, size, digest, id) are sorted inside each shingle by size; equal sets are one
-   row, shingles with a single set are gone. Documents of a like size (bands of ratio
-   100 / percent) in a shingle form a tile.
-3. *First links*: every document is held against the heads of its bands and its neighbours by
-   size, by the count of tiles they share. This connects large groups of near copies with a
-   few comparisons a document instead of all pairs.
+   row (within a slice before the shuffle already), and rows without a partner of a like size (ratio percent / 100) are gone.
+3. *First links*: every document is held against its neighbours in its tiles, first by size, then in ``ROUNDS``
+   orders by hash, those with the most tiles in common first, and components are formed in between. This connects
+   large groups of near copies with a few comparisons a document instead of all pairs.
 4. *The rest, exactly*: tiles that still hold two components are compared in full, but only
    across components, in numpy blocks: ``|A and B| <= |A| - bits(A without B)`` bounds the
    overlap from above; pairs that pass are verified. Tiles above ``TILE`` rows are cut into
@@ -44,6 +44,7 @@ SHINGLE = 5
 PERCENT = 80
 ORDERED = 1 << 17
 TILE = 2048
+ROUNDS = 3
 CACHE_WORDS = 300_000
 FILTER_BITS = 23
 #: Odd multipliers of the shingle hash (any will do; fixed so that hashes agree).
@@ -168,89 +169,118 @@ def profile(docs: DataFrame) -> DataFrame:
 # --- 2. tiles ------------------------------------------------------------------------------
 
 def prefixes(docs: DataFrame, frequent: Shared, percent: int) -> DataFrame:
-    """(shingle, n, digest, doc_id) of the first shingles of every set, in the order by frequency and hash."""
+    """(shingle, n, digest, doc_id, small) of the first shingles of every set, in the order by frequency and hash.
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+    ``small``: the shingle counts when the document is the smaller one of a pair.
+    """
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         heavy, rank = frequent.get()
-        keys, sizes, digests, ids = [], [], [], []
+        least: dict[int, tuple[int, np.ndarray]] = {}
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             s = shingles(t)
             if not len(s) or i is None:
                 continue
-            first = len(s) - least_overlap(len(s), percent) + 1
-            d = xxhash.xxh3_128_intdigest(s.tobytes()) & (1 << 64) - 1
+            d = xxhash.xxh3_128_intdigest(s.tobytes())
+            if d not in least or least[d][0] > i:  # equal sets of a slice: the smallest id stands for them
+                least[d] = (i, s)
+        keys, sizes, digests, ids, small = [], [], [], [], []
+        for d, (i, s) in least.items():
+            n = len(s)
+            first = n - least_overlap(n, percent) + 1
             if len(heavy):
                 at = np.searchsorted(heavy, s)
                 at[at == len(heavy)] = 0
                 place = np.where(heavy[at] == s, rank[at], 0)
                 s = s[np.argsort(place, kind="stable")] if place.any() else s
             keys.append(s[:first])
-            sizes.append(np.full(first, len(s), dtype=np.int64))
-            digests.append(np.full(first, d, dtype=np.uint64))
+            sizes.append(np.full(first, n, dtype=np.int32))
+            digests.append(np.full(first, d & (1 << 64) - 1, dtype=np.uint64))
             ids.append(np.full(first, i, dtype=np.int64))
+            small.append(np.arange(first) <= n - -(-2 * percent * n // (100 + percent)))
         if not keys:
             return None
         return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sizes).astype(np.int32)),
-            pa.array(np.concatenate(digests).view(np.int64)), pa.array(np.concatenate(ids))], ["shingle", "n", "digest", "doc_id"])
+            pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sizes)), pa.array(np.concatenate(digests).view(np.int64)),
+            pa.array(np.concatenate(ids)), pa.array(np.concatenate(small))], ["shingle", "n", "digest", "doc_id", "small"])
 
-    return map_slices(docs.select("doc_id", "text"), work, "shingle bigint, n int, digest bigint, doc_id bigint", "text")
+    return map_slices(docs.select("doc_id", "text"), work, "shingle bigint, n int, digest bigint, doc_id bigint, small boolean", "text")
 
 
 def tiles(rows: DataFrame, percent: int) -> DataFrame:
-    """Distinct sets of every shingle that has two or more: (shingle, n, doc_id, head, prev).
+    """Distinct sets of every shingle that have a partner of a like size: (shingle, n, doc_id, small, prev).
 
-    ``head`` is the first document of the row's size band in the shingle and ``prev`` the one
-    before it by size, null where there is none of a like size. The stream keeps one row of state.
+    ``prev`` is the document before by size, null if it is not of a like size. The stream holds back
+    one row (its partner may follow) and the last row that counts as the smaller one.
     """
-    ratio = np.log(100 / percent)
 
     def run(batches):
-        # The open shingle's state: its last distinct row, whether that row is already out, its band's head.
-        last = None
+        held = None  # the last distinct row: its columns, whether it has a partner already, its prev
+        lead = (0, -1)  # (shingle, n) of the last row with ``small``
         for batch in batches:
-            key, n, digest, doc = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-            if not len(key):
+            if not batch.num_rows:
                 continue
+            key, n, digest, doc, small = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
             n = n.astype(np.int64)
-            if last is not None:
-                key, n, digest, doc = (np.concatenate([[v], x]) for v, x in zip(last["row"], (key, n, digest, doc), strict=True))
+            if held is not None:
+                key, n, digest, doc, small = (np.concatenate([[v], x]) for v, x in zip(held["row"], (key, n, digest, doc, small), strict=True))
             new = np.ones(len(key), dtype=bool)
             new[1:] = (key[1:] != key[:-1]) | (n[1:] != n[:-1]) | (digest[1:] != digest[:-1])
-            key, n, digest, doc = key[new], n[new], digest[new], doc[new]
-            band = np.floor(np.log(n) / ratio).astype(np.int64)
-            same = np.zeros(len(key), dtype=bool)
-            same[1:] = key[1:] == key[:-1]
-            starts = ~same
-            starts[1:] |= band[1:] != band[:-1]
-            at = np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))
-            head = doc[at]
-            prev = np.zeros(len(key), dtype=np.int64)
-            prev[1:] = doc[:-1]
-            has_prev = same.copy()
-            has_prev[1:] &= like_size(n[1:], n[:-1], percent)
-            out_already = False
-            if last is not None:
-                out_already = last["out"]
-                head[at == 0] = last["head"]
-                prev[0], has_prev[0], same[0] = last["prev"], last["has_prev"], last["same"]
-            follows = np.zeros(len(key), dtype=bool)
-            follows[:-1] = same[1:]
-            emit = same | follows
-            if out_already:
-                emit[0] = False
+            key, n, digest, doc, small = key[new], n[new], digest[new], doc[new], small[new].astype(bool)
+            at = np.arange(len(key))
+            near = np.zeros(len(key), dtype=bool)
+            near[1:] = (key[1:] == key[:-1]) & like_size(n[1:], n[:-1], percent)
+            # The last row with ``small`` before each row.
+            before = np.concatenate([[-1], np.maximum.accumulate(np.where(small, at, -1))[:-1]])
+            lead_key, lead_n = np.where(before >= 0, key[before], lead[0]), np.where(before >= 0, n[before], lead[1])
+            partner = (lead_n >= 0) & (lead_key == key) & like_size(n, lead_n, percent)
+            partner[:-1] |= small[:-1] & near[1:]
+            prev = np.concatenate([[0], doc[:-1]])
+            if held is not None:
+                near[0], prev[0] = held["near"], held["prev"]
+                partner[0] |= held["partner"]
             k = len(key) - 1
-            last = {"row": (key[k], n[k], digest[k], doc[k]), "out": bool(emit[k]) or (k == 0 and out_already),
-                    "head": head[k], "prev": prev[k], "has_prev": has_prev[k], "same": same[k]}
-            if emit.any():
-                other = head != doc
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key[emit]), pa.array(n[emit]), pa.array(doc[emit]),
-                    pa.array(head[emit], mask=~other[emit]), pa.array(prev[emit], mask=~has_prev[emit])],
-                    ["shingle", "n", "doc_id", "head", "prev"])
+            if small.any():
+                j = int(np.flatnonzero(small)[-1])
+                if j < k:
+                    lead = (key[j], n[j])
+            out = partner.copy()
+            out[k] = False  # held back
+            if out.any():
+                yield self_rows(key, n, doc, small, prev, near, out)
+            # The held row is not its own partner: it joins the leads when the next batch begins.
+            held = {"row": (key[k], n[k], digest[k], doc[k], small[k]), "partner": bool(partner[k]), "near": bool(near[k]), "prev": prev[k]}
+        if held is not None and held["partner"]:
+            row = [np.array([x]) for x in (held["row"][0], held["row"][1], held["row"][3], held["row"][4], held["prev"], held["near"])]
+            yield self_rows(*row, np.array([True]))
+
+    def self_rows(key, n, doc, small, prev, near, out):
+        return pa.RecordBatch.from_arrays([
+            pa.array(key[out].astype(np.int64)), pa.array(n[out].astype(np.int64)), pa.array(doc[out].astype(np.int64)), pa.array(small[out].astype(bool)),
+            pa.array(prev[out].astype(np.int64), mask=~near[out].astype(bool))], ["shingle", "n", "doc_id", "small", "prev"])
 
     ordered = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "digest", "doc_id")
-    return ordered.mapInArrow(run, "shingle bigint, n bigint, doc_id bigint, head bigint, prev bigint")
+    return ordered.mapInArrow(run, "shingle bigint, n bigint, doc_id bigint, small boolean, prev bigint")
+
+
+def neighbours(open_rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    """(doc_id, other): rows next to each other in a tile under an order by hash, across components, of a like size."""
+
+    def run(batches):
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, n, comp, doc = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            if last is not None:
+                key, n, comp, doc = (np.concatenate([[v], x]) for v, x in zip(last, (key, n, comp, doc), strict=True))
+            last = key[-1], n[-1], comp[-1], doc[-1]
+            ok = (key[1:] == key[:-1]) & (comp[1:] != comp[:-1]) & like_size(n[1:], n[:-1], percent)
+            if ok.any():
+                yield pa.RecordBatch.from_arrays([pa.array(doc[1:][ok]), pa.array(doc[:-1][ok])], ["doc_id", "other"])
+
+    ordered = open_rows.withColumn("turn", F.xxhash64("doc_id", F.lit(turn))).repartition("shingle").sortWithinPartitions("shingle", "turn")
+    return ordered.select("shingle", "n", "component", "doc_id").mapInArrow(run, "doc_id bigint, other bigint")
 
 
 # --- 5. verification -----------------------------------------------------------------------
@@ -329,8 +359,8 @@ def passing(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """Pairs across components in the blocks of tiles whose signatures leave the similarity possible.
 
-    ``open_rows``: (shingle, i, j, side, n, component, doc_id, bits); a block pair (i, j) holds at most
-    2 * TILE rows by the way blocks are dealt, and is compared in numpy.
+    ``open_rows``: (shingle, i, j, side, n, small, component, doc_id, bits); a block pair (i, j) holds about
+    2 * TILE rows by the way blocks are dealt, and is compared in numpy, the smaller set of a pair first.
     """
 
     def compare(block: pa.Table):
@@ -338,6 +368,7 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
         comp = block["component"].to_numpy()
         doc = block["doc_id"].to_numpy()
         side = block["side"].to_numpy()
+        small = block["small"].to_numpy()
         cross = block["i"].to_numpy() != block["j"].to_numpy()
         keys = np.stack([block[c].to_numpy() for c in ("shingle", "i", "j")])
         bits = block["bits"].to_pylist()
@@ -349,7 +380,7 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             left = left[(keys[:, left] == keys[:, left + d]).all(axis=0)]
             right = left + d
             ok = (comp[left] != comp[right]) & like_size(n[left], n[right], percent)
-            ok &= ~cross[left] | (side[left] != side[right])
+            ok &= small[left] & (~cross[left] | (side[left] != side[right]))
             a, b = left[ok], right[ok]
             if len(a):
                 pass_ = signatures_may_link(n[a], n[b], [bits[x] for x in a.tolist()], [bits[x] for x in b.tolist()], percent)
@@ -371,8 +402,22 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
         if rest is not None and len(rest):
             yield from compare(rest)
 
-    ordered = open_rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j")
-    return ordered.select("shingle", "i", "j", "side", "n", "component", "doc_id", "bits").mapInArrow(run, "a bigint, b bigint").distinct()
+    ordered = open_rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "n", "doc_id")
+    return ordered.select("shingle", "i", "j", "side", "n", "small", "component", "doc_id", "bits").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def verify_all(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    ids = pairs.select(F.col("a").alias("doc_id")).unionAll(pairs.select(F.col("b").alias("doc_id"))).distinct()
+    return materialize(verified(pairs, materialize(sets_of(docs, ids), "jaccard-sets"), percent), "jaccard-links")
+
+
+def still_open(met: DataFrame, label: DataFrame) -> DataFrame:
+    """The rows (shingle, n, doc_id, small, component) of tiles that hold two components or more."""
+    rows = met.select("shingle", "n", "doc_id", "small").join(label, F.col("doc_id") == F.col("node"), "left").select(
+        "shingle", "n", "doc_id", "small", F.coalesce("component", "doc_id").alias("component"))
+    rows = materialize(rows, "jaccard-labelled")
+    keys = rows.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("shingle")
+    return materialize(rows.join(keys, "shingle", "left_semi"), "jaccard-open")
 
 
 # --- the join ------------------------------------------------------------------------------
@@ -393,31 +438,34 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     signatures = materialize(signatures.join(met.select("doc_id").distinct(), "doc_id", "left_semi"), "jaccard-signatures")
 
     # 3. first links
-    near = met.select("doc_id", F.explode(F.array_distinct(F.array("head", "prev"))).alias("other")).where("other is not null")
-    shared = near.groupBy("doc_id", "other").agg(F.count("*").alias("tiles"))
-    best = shared.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("tiles")).alias("t"), "other"))), 1, 3).alias("best"))
-    first = best.select("doc_id", F.explode("best.other").alias("other")).select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
-    first = materialize(passing(first, signatures, percent), "jaccard-pairs")
-    ids = first.select(F.col("a").alias("doc_id")).unionAll(first.select(F.col("b").alias("doc_id"))).distinct()
-    links = materialize(verified(first, materialize(sets_of(docs, ids), "jaccard-sets"), percent), "jaccard-links")
-    label = connected_components(links)
+    links, tried = None, None
+    rows = met.select("shingle", "n", "doc_id", "small", F.col("doc_id").alias("component"))
+    near = met.select("doc_id", F.col("prev").alias("other")).where("other is not null")
+    for turn in range(1 + ROUNDS):
+        some = near.groupBy("doc_id", "other").agg(F.count("*").alias("tiles"))
+        best = some.groupBy("doc_id").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("tiles")).alias("t"), "other"))), 1, 3).alias("best"))
+        pairs = best.select("doc_id", F.explode("best.other").alias("other")).select(F.greatest("doc_id", "other").alias("a"), F.least("doc_id", "other").alias("b")).distinct()
+        pairs = materialize(passing(pairs, signatures, percent), "jaccard-pairs")
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        if turn == 0 or pairs.head(1):
+            found = verify_all(docs, pairs, percent)
+            links = found if links is None else materialize(links.unionAll(found), "jaccard-links")
+            label = connected_components(links)
+        rows = still_open(met, label)
+        if turn == ROUNDS or not rows.head(1):
+            break
+        near = neighbours(rows, percent, turn)
 
     # 4. what is still apart within a tile
-    rows = met.select("shingle", "n", "doc_id").join(label, F.col("doc_id") == F.col("node"), "left").select(
-        "shingle", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    rows = materialize(rows, "jaccard-open")
-    keys = rows.groupBy("shingle").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    keys = keys.where("lo < hi").select("shingle", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
-    dealt = rows.join(keys, "shingle").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    sizes = rows.groupBy("shingle").agg(F.count("*").alias("size")).select("shingle", F.ceil(F.col("size") / TILE).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "shingle").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("shingle", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
-                         F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"), "n", "component", "doc_id")
-    apart = cross_pairs(dealt.join(signatures.select("doc_id", "bits"), "doc_id"), percent)
-    apart = materialize(apart.join(first, ["a", "b"], "left_anti"), "jaccard-pairs")
+                         F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"), "n", "small", "component", "doc_id")
+    apart = materialize(cross_pairs(dealt.join(signatures.select("doc_id", "bits"), "doc_id"), percent), "jaccard-pairs")
+    apart = materialize(apart.join(tried.distinct(), ["a", "b"], "left_anti"), "jaccard-pairs")
     if apart.head(1):
-        ids = apart.select(F.col("a").alias("doc_id")).unionAll(apart.select(F.col("b").alias("doc_id"))).distinct()
-        more = verified(apart, materialize(sets_of(docs, ids), "jaccard-sets"), percent)
-        links = materialize(links.unionAll(more), "jaccard-links")
+        links = materialize(links.unionAll(verify_all(docs, apart, percent)), "jaccard-links")
         label = connected_components(links)
 
     # Equal sets: the smallest id stands for all.
