@@ -36,7 +36,7 @@ from tidemark.llm.common import map_slices, process_cache, ship
 
 ship(__name__)
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 #: The split pattern that :mod:`tidemark.llm.pretokens` is compiled from (a fixed value).
 BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -192,7 +192,7 @@ class Codec:
 
 def _codec(vocab: bytes, pattern: str) -> Codec:
     key = ("bpe_codec", hashlib.sha256(vocab).digest(), pattern)
-    cache = process_cache()
+    cache = process_cache("tokenizers")
     if key not in cache:
         cache[key] = Codec(vocab, pattern)
     return cache[key]

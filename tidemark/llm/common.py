@@ -25,7 +25,7 @@ from tidemark.sources.tables import read_table
 SEPARATORS = r"\x20\x09-\x0D"
 #: Texts are worked off in slices of about this many characters, so that a task's memory
 #: depends on one slice and its longest single text, never on the Arrow batch.
-SLICE_CHARS = 1 << 21
+SLICE_CHARS = 1 << 20
 
 
 def ship(module: str) -> None:
@@ -36,13 +36,18 @@ def ship(module: str) -> None:
 ship(__name__)
 
 
-def process_cache() -> dict:
-    """A dict that lives as long as the Python worker process."""
+def process_cache(owner: str) -> dict:
+    """A dict that lives as long as the Python worker process works for ``owner``.
+
+    One operator's state at a time: a worker that goes on to another operator lets the former's go.
+    """
     name = "_tidemark_llm_process_cache"
     mod = sys.modules.get(name)
     if mod is None:
         mod = sys.modules[name] = types.ModuleType(name)
-        mod.entries = {}
+        mod.owner = None
+    if mod.owner != owner:
+        mod.owner, mod.entries = owner, {}
     return mod.entries
 
 
@@ -77,6 +82,7 @@ def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], sc
                 if out is not None and out.num_rows:
                     yield out
                 base, lo = int(ends[hi - 1]), hi
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -114,13 +120,14 @@ class Shared:
     """A fitted model or table for the tasks, of a size set by parameters: broadcast as bytes
     with its classes, unpacked once per worker process."""
 
-    def __init__(self, spark: SparkSession, value):
+    def __init__(self, spark: SparkSession, value, owner: str):
+        self._owner = owner
         raw = cloudpickle.dumps(value)
         self._key = ("shared", hashlib.sha256(raw).digest())
         self._raw = spark.sparkContext.broadcast(raw)
 
     def get(self):
-        cache = process_cache()
+        cache = process_cache(self._owner)
         if cache.get("shared_key") != self._key:  # one at a time: an older model is let go
             cache["shared_value"], cache["shared_key"] = cloudpickle.loads(self._raw.value), self._key
         return cache["shared_value"]

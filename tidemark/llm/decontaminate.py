@@ -132,7 +132,7 @@ FOUND = "doc_id bigint, item_id bigint, start bigint, n_words bigint, n_equal bi
 
 
 def _against(docs: DataFrame, block: Benchmark) -> DataFrame:
-    shared = Shared(docs.sparkSession, block)
+    shared = Shared(docs.sparkSession, block, "benchmark")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         bench = shared.get()

@@ -45,7 +45,7 @@ PERCENT = 80
 ORDERED = 1 << 17
 TILE = 2048
 ROUNDS = 3
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 FILTER_BITS = 23
 #: Odd multipliers of the shingle hash (any will do; fixed so that hashes agree).
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
@@ -59,7 +59,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    known = process_cache().setdefault("word_hashes", {})
+    known = process_cache("shingles").setdefault("word_hashes", {})
     if len(known) > CACHE_WORDS:
         known.clear()
     out = []
@@ -300,7 +300,7 @@ def wanted_filter(ids: DataFrame) -> Shared:
     slots = ids.select(F.pmod(F.xxhash64("doc_id"), F.lit(size)).cast("int").alias("slot")).coalesce(8)
     for r in slots.mapInArrow(run, "bits binary").toLocalIterator():
         total |= np.frombuffer(r["bits"], dtype=np.uint8)
-    return Shared(ids.sparkSession, total)
+    return Shared(ids.sparkSession, total, "shingles")
 
 
 def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -443,7 +443,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .orderBy(F.desc("seen"), "shingle").limit(ORDERED).collect())  # an order, not a cap: the rest is ordered by hash
     heavy = np.array([r["shingle"] for r in often], dtype=np.int64).view(np.uint64)
     order = np.argsort(heavy)
-    frequent = Shared(spark, (heavy[order], (len(heavy) - np.arange(len(heavy)))[order]))
+    frequent = Shared(spark, (heavy[order], (len(heavy) - np.arange(len(heavy)))[order]), "shingles")
 
     met = materialize(tiles(prefixes(docs, frequent, percent), percent), "jaccard-tiles")
     signatures = per_doc.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.first("n").alias("n"), F.first("bits").alias("bits"))

@@ -89,7 +89,7 @@ class KernelClassifier:
         cp = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
         code = self.codes[cp].astype(np.int32)
         code = code[np.concatenate([[True], (code[1:] != 0) | (code[:-1] != 0)])] if len(code) else code  # runs of non-letters are one
-        seen = process_cache().setdefault("language_grams", np.zeros(GRAMS, dtype=bool))
+        seen = process_cache("language").setdefault("language_grams", np.zeros(GRAMS, dtype=bool))
         seen[code] = True
         if len(code) > 1:
             two = code[:-1] << 6 | code[1:]
@@ -150,7 +150,7 @@ def predict(df: DataFrame, model: KernelClassifier | None) -> DataFrame:
     frame = df.select(*(F.col(f"`{n}`") for n in names))
     if model is None:
         return frame.withColumn("lang_pred", F.lit(UNKNOWN)).withColumn("score", F.lit(0.0))
-    shared = Shared(df.sparkSession, model)  # about 10 MB, set by the parameters alone
+    shared = Shared(df.sparkSession, model, "language")  # about 10 MB, set by the parameters alone
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         pred, score = shared.get().predict(batch.column(batch.schema.get_field_index("text")).to_pylist())

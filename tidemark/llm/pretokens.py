@@ -75,7 +75,7 @@ def _step(state: int, c: int) -> tuple[int, int, int]:
 
 
 def _tables() -> dict:
-    cache = process_cache()
+    cache = process_cache("tokenizers")
     if "pretokens" in cache:
         return cache["pretokens"]
     cls = np.full(0x110000, SIGN, dtype=np.uint8)

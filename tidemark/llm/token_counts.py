@@ -198,7 +198,7 @@ class Transducer:
 
 def _transducer(raw: bytes) -> Transducer:
     key = ("token_counts", hashlib.sha256(raw).digest())
-    cache = process_cache()
+    cache = process_cache("tokenizers")
     if key not in cache:
         cache[key] = Transducer(raw)
     return cache[key]

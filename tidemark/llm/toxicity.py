@@ -42,7 +42,7 @@ WORDS = 3000
 DIM = 8
 DECAY = 0.02
 HIDDEN = 8
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
@@ -380,11 +380,11 @@ def score(df: DataFrame, net: Network | None) -> DataFrame:
     frame = df.select(*(F.col(f"`{n}`") for n in names))
     if net is None:
         return frame.withColumn("score", F.lit(0.0))
-    shared = Shared(df.sparkSession, net)  # under 1 MB, set by the parameters alone
+    shared = Shared(df.sparkSession, net, "toxicity")  # under 1 MB, set by the parameters alone
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         net = shared.get()
-        cache = process_cache()
+        cache = process_cache("toxicity")
         if cache.get("toxicity_net") is not net:
             cache["toxicity_net"], cache["toxicity_scorer"] = net, Scorer(net)
         got = cache["toxicity_scorer"].score(batch.column(batch.schema.get_field_index("text")).to_pylist())
