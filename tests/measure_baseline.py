@@ -67,7 +67,7 @@ def main():
     # shrink-then-anti vs plain anti: a 1% batch against all silver items
     batch = items.sample(fraction=0.01, seed=7).persist()
     n = batch.count()
-    shrink = new_rows_anti(batch, items, ["order_item_id"], batch_rows=n)
+    shrink = new_rows_anti(batch, items, ["order_item_id"])
     plain = batch.join(items.select("order_item_id"), "order_item_id", "left_anti")
     out["anti_batch_rows"] = n
     out["anti_shrink_s"] = timed(lambda: noop(shrink))
@@ -90,8 +90,9 @@ def main():
         L.write_snapshot(G.merge_daily_sales(prev, G.daily_sales_batch(batch_o)), state_root, v)
         t_inc_dss.append(time.time() - t0)
         t0 = time.time()
-        L.commit_append(G.product_day_partials(batch_o, items, products), parts_path, v)
-        noop(G.compact_product_days(L.read_written(spark, parts_path).drop("commit_version")))
+        parts = G.product_day_partials(batch_o, items, products)
+        L.commit_append(parts, parts_path, v)
+        noop(G.compact_product_days(L.read_table(spark, parts_path, parts.schema).drop("commit_version")))
         t_inc_dps.append(time.time() - t0)
     out["daily_sales_incremental_commit_s"] = round(statistics.median(t_inc_dss), 3)
     out["daily_sales_full_recompute_s"] = timed(lambda: noop(G.daily_sales_batch(orders)))

@@ -71,7 +71,7 @@ def test_replaying_a_commit_changes_nothing(spark, lake_root, tmp_path):
     for n in P.SILVER_ORDER:
         P.ingest_batch(spark, paths, n, batches[n], 1, rep)
     for n in P.SILVER_ORDER:
-        P.clean_commit(spark, paths, n, 1, None, rep)
+        P.clean_commit(spark, paths, n, 1, rep)
     after = {n: rows(L.read_table(spark, paths.table("silver", n), P.SILVER_SCHEMAS[n])) for n in P.SILVER_ORDER}
     assert after == before
     assert rows(L.read_table(spark, paths.table("silver", "orders"), P.SILVER_SCHEMAS["orders"],
@@ -135,3 +135,124 @@ def test_backfill_from_landing(spark, tmp_path):
     per_commit = rows(got.groupBy("commit_version").count())
     assert [c for c, _ in per_commit] == [0, 2]
     assert P.read_mart(spark, lake_root, "daily_sales_summary").count() == len(days)
+
+
+# ---- catch-up, re-runs, empty and rejected commits: five marts must equal the undisturbed run ------
+
+
+def small_batches(spark, day, n=4, bad=0):
+    """One day's extract: ``n`` orders of two customers over two products; ``bad`` orders without an id."""
+    import datetime as dt
+    from tidemark.schemas import ENTITIES
+    d = dt.date(2026, 7, 1 + day)
+    ids = [100 * day + k for k in range(n)]
+    out = {name: spark.createDataFrame([], ENTITIES[name]) for name in P.SILVER_ORDER}
+
+    def rows_of(name, values):
+        names = ENTITIES[name].fieldNames()
+        import decimal
+        typed = []
+        for v in values:
+            row = []
+            for f in ENTITIES[name].fields:
+                x = v.get(f.name)
+                kind = f.dataType.simpleString()
+                if x is not None and kind.startswith("decimal"):
+                    x = decimal.Decimal(str(x))
+                elif x is not None and kind == "double":
+                    x = float(x)
+                elif x is not None and kind == "timestamp":
+                    x = dt.datetime.combine(x, dt.time()) if not isinstance(x, dt.datetime) else x
+                row.append(x)
+            typed.append(tuple(row))
+        assert set(values[0]) <= set(names), set(values[0]) - set(names)
+        return spark.createDataFrame(typed, ENTITIES[name])
+
+    if day == 0:
+        out["customers"] = rows_of("customers", [{"customer_id": c, "name": f"n{c}"} for c in (1, 2)])
+        out["products"] = rows_of("products", [{"pid": p, "product_name": f"p{p}", "category": f"c{p}", "base_price": 10, "current_stock": 5} for p in (1, 2)])
+    if n:
+        orders = [{"oid": i, "customer_id": 1 + k % 2, "order_date": d, "discount_applied": 0} for k, i in enumerate(ids)]
+        orders += [{"oid": None, "customer_id": 1, "order_date": d}] * bad
+        out["orders"] = rows_of("orders", orders)
+        out["order_items"] = rows_of("order_items", [
+            {"order_item_id": 2 * i + j, "order_id": i, "product_id": 1 + j, "quantity": 1 + j, "unit_price_at_order": 10 + day, "discount_at_order": 0,
+             **({"gross_amount": (1 + j) * (10 + day)} if "gross_amount" in ENTITIES["order_items"].fieldNames() else {}),
+             "line_total": (1 + j) * (10 + day)} for i in ids for j in (0, 1)])
+    return out
+
+
+def all_marts(spark, root):
+    out = {}
+    for m in P.MARTS:
+        df = publish(P.read_mart(spark, root, m))
+        out[m] = rows(df.drop(*[c for c in ("updated_at", "churn_risk_score") if c in df.columns]))
+    return out
+
+
+@pytest.fixture(scope="module")
+def undisturbed(spark, tmp_path_factory):
+    root = str(tmp_path_factory.mktemp("plain"))
+    for day in range(3):
+        P.run_batches(spark, root, small_batches(spark, day), flow.as_of_col())
+    return all_marts(spark, root)
+
+
+def test_a_later_run_catches_up_what_a_crash_left(spark, tmp_path, undisturbed, monkeypatch):
+    root = str(tmp_path)
+    P.run_batches(spark, root, small_batches(spark, 0), flow.as_of_col())
+    with monkeypatch.context() as m:      # commit 1 ends before its marts
+        m.setattr(P, "build_marts", lambda *a, **k: None)
+        P.run_batches(spark, root, small_batches(spark, 1), flow.as_of_col())
+    P.run_batches(spark, root, small_batches(spark, 2), flow.as_of_col())
+    assert all_marts(spark, root) == undisturbed
+
+
+def test_silver_left_behind_catches_up(spark, tmp_path, undisturbed, monkeypatch):
+    root = str(tmp_path)
+    P.run_batches(spark, root, small_batches(spark, 0), flow.as_of_col())
+    with monkeypatch.context() as m:
+        m.setattr(P, "clean_pending", lambda *a, **k: None)
+        m.setattr(P, "build_marts", lambda *a, **k: None)
+        P.run_batches(spark, root, small_batches(spark, 1), flow.as_of_col())
+    P.run_batches(spark, root, small_batches(spark, 2), flow.as_of_col())
+    assert all_marts(spark, root) == undisturbed
+
+
+def test_running_a_commit_again_changes_nothing(spark, tmp_path, undisturbed):
+    root = str(tmp_path)
+    for day in (0, 0, 1, 2, 2, 1):        # the newest twice, then an older one
+        P.run_batches(spark, root, small_batches(spark, day), flow.as_of_col(), version=day)
+    assert all_marts(spark, root) == undisturbed
+    assert P.next_version(spark, P.Paths(root)) == 3
+
+
+def test_first_day_without_orders(spark, tmp_path):
+    root = str(tmp_path)
+    rep = P.run_batches(spark, root, small_batches(spark, 0, n=0), flow.as_of_col())
+    assert not rep.failed()
+    assert all(len(v) == 0 for m, v in all_marts(spark, root).items() if m != "customer_360")
+    assert not P.run_batches(spark, root, small_batches(spark, 1), flow.as_of_col()).failed()
+    assert len(all_marts(spark, root)["daily_sales_summary"]) == 1
+
+
+def test_a_rejected_run_again_clears_its_commit(spark, tmp_path):
+    root = str(tmp_path)
+    P.run_batches(spark, root, small_batches(spark, 0), flow.as_of_col())
+    P.run_batches(spark, root, small_batches(spark, 0, n=2, bad=9), flow.as_of_col(), version=0)
+    bronze = L.read_table(spark, P.Paths(root).table("bronze", "orders"), P.ENTITIES["orders"])
+    assert bronze.count() == 0
+    assert all_marts(spark, root)["daily_sales_summary"] == []
+
+
+def test_readers_of_a_failed_mart_wait_for_it(spark, tmp_path, undisturbed, monkeypatch):
+    root = str(tmp_path)
+    P.run_batches(spark, root, small_batches(spark, 0), flow.as_of_col())
+    good = P.G.product_day_partials
+    with monkeypatch.context() as m:
+        m.setattr(P.G, "product_day_partials", lambda *a: (_ for _ in ()).throw(ValueError("broken")))
+        rep = P.run_batches(spark, root, small_batches(spark, 1), flow.as_of_col(), raise_on_failure=False)
+    assert [f[1] for f in rep.failed()] == ["daily_product_sales"]
+    assert P.G.product_day_partials is good
+    P.run_batches(spark, root, small_batches(spark, 2), flow.as_of_col())
+    assert all_marts(spark, root) == undisturbed

@@ -9,10 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest key set we ship to every task in a broadcast (rows). Key sets above it take
-# the shuffle path; the check is an exact count of the distinct keys, not an estimate.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
 
 def fill_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
     """Replace nulls per column (only columns present in ``df``)."""
@@ -47,49 +43,25 @@ def ref_check_semi(df: DataFrame, ref: DataFrame, key: str, ref_key: str) -> Dat
     return df.join(r, df[key] == r["_ref_key"], "left_semi")
 
 
-def bounded_broadcast(keys_df: DataFrame, max_rows: int, known_rows: int | None = None) -> DataFrame | None:
-    """``broadcast(keys_df)`` if it has at most ``max_rows`` rows, else ``None``.
+def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct keys of ``existing`` that the batch holds too.
 
-    ``known_rows`` is an upper bound the caller already has (the landed batch's row count
-    recorded by the bad-row gate); without it the key set is counted, which costs one
-    pass over the (persisted) batch.
-    """
-    n = known_rows if known_rows is not None else keys_df.limit(max_rows + 1).count()
-    return F.broadcast(keys_df) if n <= max_rows else None
-
-
-def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str], max_rows: int,
-               batch_rows: int | None) -> tuple[DataFrame, bool]:
-    # Duplicate keys on a hash build side change nothing for semi/anti joins, so the key
-    # sets are not de-duplicated on the broadcast path (that would add two shuffles).
-    batch_keys = batch.select(*keys).dropna()
-    small = bounded_broadcast(batch_keys, max_rows, batch_rows)
-    if small is None:
-        # Shuffle path: partial aggregation collapses repeated keys before the exchange.
-        return existing.select(*keys).dropDuplicates(), False
-    # Shrink: scan the big table once, keep only keys of this batch, never shuffle it;
-    # what survives is at most the batch's key count, so it is broadcast in turn.
-    seen = existing.select(*keys).join(small, keys, "left_semi")
-    return seen, True
-
-
-def new_rows_anti(batch: DataFrame, existing: DataFrame, keys: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, batch_rows: int | None = None) -> DataFrame:
-    """Rows of ``batch`` whose key is not in ``existing`` ("not yet loaded").
-
-    Small batch (``batch_rows`` or a count ≤ ``max_broadcast_rows``): the batch keys are
-    broadcast and the big table is only scanned and filtered, never shuffled. Otherwise
-    both sides take a regular shuffle anti join.
+    The batch's distinct keys go against the big table first, so that what is held against the whole batch
+    has at most as many rows as the batch has keys, however often a key repeats in ``existing``. Both
+    joins are plain equi-joins: adaptive execution broadcasts a side whose measured size allows it.
     """
-    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows, batch_rows)
-    return batch.join(F.broadcast(seen) if small else seen, keys, "left_anti")
+    wanted = batch.select(*keys).dropna().dropDuplicates()
+    return existing.select(*keys).join(wanted, keys, "left_semi").dropDuplicates()
+
+
+def new_rows_anti(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``batch`` whose key is not in ``existing`` ("not yet loaded")."""
+    return batch.join(_seen_keys(batch, existing, keys), keys, "left_anti")
 
 
-def dup_rows_semi(batch: DataFrame, existing: DataFrame, keys: list[str],
-                  max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, batch_rows: int | None = None) -> DataFrame:
+def dup_rows_semi(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is already in ``existing`` (repeats → quarantine)."""
-    seen, small = _seen_keys(batch, existing, keys, max_broadcast_rows, batch_rows)
-    return batch.join(F.broadcast(seen) if small else seen, keys, "left_semi")
+    return batch.join(_seen_keys(batch, existing, keys), keys, "left_semi")
 
 
 def rejected_rows_anti(batch: DataFrame, accepted: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,8 +7,14 @@
 All tables of a run commit under one shared ``commit_version`` (the run's batch id), so a
 mart joining two feeds reads the same batch from both. Commit *v* of any table replaces
 its whole commit directory (rows and quarantine) and reads only commits < *v* of its own
-table, so re-running a crashed run replaces its partial output (idempotent). Marks are
-written after the data.
+table. Marks are written after the data.
+
+Every edge is driven by marks: silver cleans each bronze commit in (silver mark, bronze mark], a
+mart takes the silver commits in (its mark, silver mark] on top of its last snapshot below them. So
+a layer or mart that a crash left behind catches up in the next run. Running a version that is
+already done sets the marks of all edges back to just before it: the commit and whatever
+followed are made anew from snapshots and commits below it, never from their own output.
+A rejected or empty batch commits no rows (and clears what an earlier attempt had committed).
 """
 
 from __future__ import annotations
@@ -68,10 +74,13 @@ def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, v
         landed = B.ingest(raw, name)
         gate = landed.gate.first()
         rows = int(gate["rows"])
-        if rows == 0:
-            report.add("bronze", name, "empty")
-        elif not gate["passed"]:
-            report.add("bronze", name, "rejected", f"{gate['bad_rows']} of {rows} rows bad")
+        if rows == 0 or not gate["passed"]:
+            none = L.empty(spark, ENTITIES[name])
+            L.commit_append(none, paths.table("bronze", name), version)
+            if rows == 0:
+                report.add("bronze", name, "empty")
+            else:
+                report.add("bronze", name, "rejected", f"{gate['bad_rows']} of {rows} rows bad")
         else:
             accepted, quarantined = B.split(raw, name)     # verdict known: no second gate pass
             L.commit_append(accepted, paths.table("bronze", name), version, quarantined)
@@ -84,38 +93,37 @@ def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, v
 # ---- silver ------------------------------------------------------------------------------------
 
 
-def clean_commit(spark: SparkSession, paths: Paths, name: str, version: int, batch_rows: int | None,
+def clean_commit(spark: SparkSession, paths: Paths, name: str, version: int,
                  report: RunReport) -> None:
     """Clean commit ``version`` of one bronze table into silver (+ quarantine)."""
     batch = L.drop_feed_metadata(L.change_feed(spark, paths.table("bronze", name), ENTITIES[name], version, version))
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the accept and reject plans
     try:
         with released():
-            out = _clean(spark, paths, name, version, batch, batch_rows)
+            out = _clean(spark, paths, name, version, batch)
             L.commit_append(out.accepted, paths.table("silver", name), version, out.quarantined)
         report.add("silver", name, "ok")
     finally:
         batch.unpersist()
 
 
-def _clean(spark: SparkSession, paths: Paths, name: str, version: int, batch: DataFrame,
-           batch_rows: int | None) -> S.Cleaned:
+def _clean(spark: SparkSession, paths: Paths, name: str, version: int, batch: DataFrame) -> S.Cleaned:
     before = L.read_table(spark, paths.table("silver", name), SILVER_SCHEMAS[name], upto=version - 1)
 
     def silver(ref: str) -> DataFrame:
         return L.read_table(spark, paths.table("silver", ref), SILVER_SCHEMAS[ref], upto=version)
 
     if name == "customers":
-        return S.silver_customers(batch, before, batch_rows)
+        return S.silver_customers(batch, before)
     if name == "products":
-        return S.silver_products(batch, before, batch_rows)
+        return S.silver_products(batch, before)
     if name == "order_items":
-        return S.silver_order_items(batch, before, silver("products"), batch_rows)
+        return S.silver_order_items(batch, before, silver("products"))
     if name == "orders":
-        return S.silver_orders(batch, before, silver("customers"), silver("order_items"), batch_rows)
+        return S.silver_orders(batch, before, silver("customers"), silver("order_items"))
     if name == "inventory":
-        return S.silver_inventory(batch, before, silver("products"), batch_rows)
-    return S.silver_order_status_log(batch, before, silver("orders"), batch_rows)
+        return S.silver_inventory(batch, before, silver("products"))
+    return S.silver_order_status_log(batch, before, silver("orders"))
 
 
 # ---- gold --------------------------------------------------------------------------------------
@@ -138,70 +146,81 @@ def _orders_schema():
 SILVER_SCHEMAS = dict(ENTITIES, orders=_orders_schema())
 
 
+def partials_schema(spark: SparkSession):
+    """Schema of the stored product-day partials (from the plan; nothing runs)."""
+    return G.product_day_partials(*(L.empty(spark, L.with_commit_schema(SILVER_SCHEMAS[n])) for n in ("orders", "order_items", "products"))).schema
+
+
 def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column, report: RunReport,
                 only: list[str] | None = None) -> None:
-    """Refresh the five marts for commit ``version``; one failing mart does not stop the
-    others (each failure is reported, and raised after all marts ran)."""
-    def silver(name: str, upto: int = version) -> DataFrame:
+    """Bring the five marts up to silver commit ``version``, each from its own mark.
+
+    One failing mart does not stop the others: its failure is reported, its mark stays, and marts
+    that read it go on from its last good snapshot.
+    """
+    def mark(mart: str) -> int:
+        return L.mark_of(spark, paths.root, "gold", mart)
+
+    def silver(name: str, upto: int) -> DataFrame:
         return L.read_table(spark, paths.table("silver", name), SILVER_SCHEMAS[name], upto=upto)
 
-    def feed(name: str) -> DataFrame:
-        return L.change_feed(spark, paths.table("silver", name), SILVER_SCHEMAS[name], version, version)
+    def feed(name: str, first: int, last: int) -> DataFrame:
+        return L.change_feed(spark, paths.table("silver", name), SILVER_SCHEMAS[name], first, last)
 
-    # current gold marks, read once per run (one row per mart)
-    marks = {r["table_name"]: int(r["version"]) for r in
-             L.read_marks(spark, paths.root).filter(F.col("layer") == "gold").collect()}
+    def before(mart: str, first: int) -> DataFrame | None:
+        return L.read_snapshot(spark, paths.mart(mart), L.last_version_before(spark, paths.root, "gold", mart, first))
 
-    def last(mart: str) -> int:
-        return marks.get(mart, -1)
+    def partials() -> DataFrame:
+        return L.read_table(spark, paths.mart("daily_product_sales_partials"), partials_schema(spark))
 
-    def c360() -> None:
-        root = paths.mart("customer_360")
-        prev = L.read_snapshot(spark, root, last("customer_360"))
-        orders = silver("orders").drop(L.CV)
-        mart = G.customer_360(prev, orders, feed("orders").drop(L.CV), silver("customers"), as_of)
-        L.write_snapshot(mart, root, version)
+    def c360(first: int, last: int) -> None:
+        orders = silver("orders", last).drop(L.CV)
+        mart = G.customer_360(before("customer_360", first), orders, feed("orders", first, last).drop(L.CV), silver("customers", last), as_of)
+        L.write_snapshot(mart, paths.mart("customer_360"), last)
 
-    def daily_sales() -> None:
+    def daily_sales(first: int, last: int) -> None:
         root = paths.mart("daily_sales_state")
-        prev = L.read_snapshot(spark, root, last("daily_sales_summary"))
-        state = G.merge_daily_sales(prev, G.daily_sales_batch(feed("orders")))
-        L.write_snapshot(state, root, version)
-        L.write_snapshot(G.publish_daily_sales(L.read_snapshot(spark, root, version)),
-                         paths.mart("daily_sales_summary"), version)
-
-    def product_sales() -> None:
-        parts = G.product_day_partials(feed("orders"), feed("order_items"), silver("products"))
-        L.commit_append(parts, paths.mart("daily_product_sales_partials"), version)
-        all_parts = L.read_written(spark, paths.mart("daily_product_sales_partials"), upto=version)
-        L.write_snapshot(G.compact_product_days(all_parts.drop(L.CV)), paths.mart("daily_product_sales"), version)
-
-    def performance() -> None:
-        # Windows are per product: recompute the products this commit touched (their whole
+        prev = L.read_snapshot(spark, root, L.last_version_before(spark, paths.root, "gold", "daily_sales_summary", first))
+        L.write_snapshot(G.merge_daily_sales(prev, G.daily_sales_batch(feed("orders", first, last))), root, last)
+        L.write_snapshot(G.publish_daily_sales(L.read_snapshot(spark, root, last)), paths.mart("daily_sales_summary"), last)
+
+    def product_sales(first: int, last: int) -> None:
+        for v in range(first, last + 1):  # a commit of partials per silver commit: a re-run replaces just these
+            parts = G.product_day_partials(feed("orders", v, v), feed("order_items", v, v), silver("products", v))
+            L.commit_append(parts, paths.mart("daily_product_sales_partials"), v)
+        L.write_snapshot(G.compact_product_days(partials().filter(F.col(L.CV) <= last).drop(L.CV)), paths.mart("daily_product_sales"), last)
+
+    def performance(first: int, last: int) -> None:
+        # Windows are per product: recompute the products these commits touched (their whole
         # history, so the frames stay exact) and carry every other product's rows over.
-        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), version)
-        prev = L.read_snapshot(spark, paths.mart("product_performance"), last("product_performance"))
+        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), last)
+        prev = before("product_performance", first)
         if prev is None:
             out = G.product_performance(dps)
         else:
-            touched = (L.read_written(spark, paths.mart("daily_product_sales_partials"))
-                       .filter(F.col(L.CV) == version).select("pid"))
+            touched = partials().filter(F.col(L.CV).between(first, last)).select("pid").distinct()
             fresh = G.product_performance(dps.join(touched, "pid", "left_semi"))
             out = prev.join(touched, "pid", "left_anti").unionByName(fresh)
-        L.write_snapshot(out, paths.mart("product_performance"), version)
+        L.write_snapshot(out, paths.mart("product_performance"), last)
 
-    def trends() -> None:
-        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), version)
-        out = G.category_trends(dps, silver("orders"), silver("order_items"), silver("products"))
-        L.write_snapshot(out, paths.mart("category_trends"), version)
+    def trends(first: int, last: int) -> None:
+        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), last)
+        out = G.category_trends(dps, silver("orders", last), silver("order_items", last), silver("products", last))
+        L.write_snapshot(out, paths.mart("category_trends"), last)
 
     steps = {"customer_360": c360, "daily_sales_summary": daily_sales, "daily_product_sales": product_sales,
              "product_performance": performance, "category_trends": trends}
+    reads = {"product_performance": "daily_product_sales", "category_trends": "daily_product_sales"}
     for name in only or MARTS:
         try:
+            last = mark(reads[name]) if name in reads else version
+            first = mark(name) + 1
+            if first > last:
+                report.add("gold", name, "up_to_date" if first == last + 1 else "conflict")
+                continue
             with released():          # intermediates persisted by the step die with it
-                steps[name]()
-            L.advance_mark(spark, paths.root, "gold", name, version)
+                steps[name](first, last)
+            L.advance_mark(spark, paths.root, "gold", name, last)
             report.add("gold", name, "ok")
         except Exception as e:  # isolate: report, go on with the other marts
             log.exception("mart %s failed", name)
@@ -211,33 +230,63 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
 # ---- a whole run ---------------------------------------------------------------------------------
 
 
+def current_marks(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
+    """All marks (a row per layer and table)."""
+    return {(r["layer"], r["table_name"]): int(r["version"]) for r in L.read_marks(spark, root).collect()}
+
+
 def next_version(spark: SparkSession, paths: Paths) -> int:
-    marks = L.read_marks(spark, paths.root).filter(F.col("layer") == "bronze").agg(F.max("version")).first()
-    return 0 if marks is None or marks[0] is None else int(marks[0]) + 1
+    marks = [v for (layer, _), v in current_marks(spark, paths.root).items() if layer == "bronze"]
+    return max(marks, default=-1) + 1
+
+
+def rewind(spark: SparkSession, root: str, version: int) -> None:
+    """Set every mark at or above ``version`` back to ``version - 1``."""
+    back = [(layer, table, version - 1, L.REWOUND) for (layer, table), v in sorted(current_marks(spark, root).items()) if v >= version]
+    L.advance_marks(spark, root, back)
+
+
+def clean_pending(spark: SparkSession, paths: Paths, upto: int, report: RunReport) -> None:
+    """Clean every bronze commit that silver lacks, oldest first, all tables of a commit together."""
+    marks = current_marks(spark, paths.root)
+    pending = {n: marks.get(("silver", n), -1) + 1 for n in SILVER_ORDER if ("bronze", n) in marks}
+    for v in range(min(pending.values(), default=upto + 1), upto + 1):
+        done = []
+        for name in SILVER_ORDER:
+            if name in pending and pending[name] <= v:
+                clean_commit(spark, paths, name, v, report)
+                done.append(("silver", name, v, "ok"))
+        L.advance_marks(spark, paths.root, done)
 
 
 def run_batches(spark: SparkSession, root: str, batches: dict[str, DataFrame], as_of: Column,
                 version: int | None = None, raise_on_failure: bool = True) -> RunReport:
-    """Ingest one landed batch per table, clean it, refresh the marts: one commit version."""
+    """Ingest one landed batch per table, bring silver and the marts up to it: one commit version.
+
+    A table without a batch takes an empty commit, so all tables stay on the shared version.
+    """
     paths = Paths(root)
     v = next_version(spark, paths) if version is None else version
+    rewind(spark, root, v)
     report = RunReport(v)
-    rows = {}
     for name in SILVER_ORDER:
-        if name in batches:
-            rows[name] = ingest_batch(spark, paths, name, batches[name], v, report)
-    # A rejected or empty batch still advances its mark: the shared version stays aligned.
-    L.advance_marks(spark, paths.root, [(lay, t, v, st) for lay, t, st, _ in report.statuses if lay == "bronze"])
-    for name in SILVER_ORDER:
-        if name in rows:
-            clean_commit(spark, paths, name, v, rows[name], report)
-    L.advance_marks(spark, paths.root, [(lay, t, v, st) for lay, t, st, _ in report.statuses if lay == "silver"])
-    build_marts(spark, paths, v, as_of, report)
+        raw = batches[name] if name in batches else L.empty(spark, ENTITIES[name])
+        ingest_batch(spark, paths, name, raw, v, report)
+    # Bronze commits after a re-run version are still there: the edges go on to the last of them.
+    top = max(v, _last_bronze(spark, root))
+    L.advance_marks(spark, root, [(lay, t, top, st) for lay, t, st, _ in report.statuses if lay == "bronze"])
+    clean_pending(spark, paths, top, report)
+    build_marts(spark, paths, top, as_of, report)
     if raise_on_failure and report.failed():
         raise RuntimeError(f"marts failed in commit {v}: {report.failed()}")
     return report
 
 
+def _last_bronze(spark: SparkSession, root: str) -> int:
+    row = L.mark_history(spark, root).filter((F.col("layer") == "bronze") & (F.col("status") != L.REWOUND)).agg(F.max("version")).first()
+    return -1 if row[0] is None else int(row[0])
+
+
 def run_pipeline(spark: SparkSession, landing_root: str, root: str, date, as_of: Column | None = None,
                  layout: str = "partitioned", version: int | None = None) -> RunReport:
     """Daily run for one business ``date``: landed pages of that date → bronze → silver → gold."""

@@ -300,7 +300,7 @@ def _replay_parts(spark: SparkSession, d: str):
     from tidemark.plans.silver import ORDER_COLS
     lake = flow.replay_lake(spark, d)
     batch = lake.batch("orders").select(*ORDER_COLS)
-    return batch, lake.before["orders"], lake.landing.rows("orders")
+    return batch, lake.before["orders"]
 
 
 @register("new_rows_anti", f"""
@@ -309,8 +309,8 @@ WHERE NOT EXISTS (SELECT 1 FROM z_orders s WHERE s.oid = b.oid)""")
 def new_rows_anti(spark: SparkSession, d: str) -> DataFrame:
     """Landed orders not yet in silver (silver holds commit 0): shrink-then-anti join."""
     from tidemark.operators.cleaning import new_rows_anti as nra
-    batch, before, n = _replay_parts(spark, d)
-    return nra(batch, before, ["oid"], batch_rows=n)
+    batch, before = _replay_parts(spark, d)
+    return nra(batch, before, ["oid"])
 
 
 @register("dup_rows_semi", f"""
@@ -319,8 +319,8 @@ WHERE EXISTS (SELECT 1 FROM z_orders s WHERE s.oid = b.oid)""")
 def dup_rows_semi(spark: SparkSession, d: str) -> DataFrame:
     """Landed orders already in silver (repeats, to quarantine)."""
     from tidemark.operators.cleaning import dup_rows_semi as drs
-    batch, before, n = _replay_parts(spark, d)
-    return drs(batch, before, ["oid"], batch_rows=n)
+    batch, before = _replay_parts(spark, d)
+    return drs(batch, before, ["oid"])
 
 
 @register("rejected_rows_anti", f"SELECT {sql_publish(cols(SPEC['orders']))} FROM f_orders_q")
@@ -595,7 +595,7 @@ def snapshot_overwrite(spark: SparkSession, d: str) -> DataFrame:
         for v in range(3):
             p = G.product_day_partials(orders.filter(F.col("commit_version") == v), items, products)
             L.commit_append(p, parts_path, v)
-        parts = L.read_written(spark, parts_path)
+        parts = L.read_table(spark, parts_path, p.schema)
         L.write_snapshot(G.compact_product_days(parts.drop(L.CV)), root, 0)
         return root
     return L.read_snapshot(spark, _written(spark, d, "dps-snapshot", build), 0)

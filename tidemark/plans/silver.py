@@ -72,15 +72,15 @@ def _dedup_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.groupBy(*cols).agg(F.min(CV).alias(CV))
 
 
-def silver_customers(batch: DataFrame, silver_before: DataFrame | None, batch_rows: int | None = None) -> Cleaned:
+def silver_customers(batch: DataFrame, silver_before: DataFrame | None) -> Cleaned:
     """One survivor per customer_id, then only ids not yet in silver; repeats quarantined."""
     cols = _keep(batch, CUSTOMER_COLS)
     users = dedup_by_key(batch.select(*cols), ["customer_id"], first=[CV] if CV in cols else [])
     if silver_before is None:
         return Cleaned(users, _empty_like(users, cols))
     return Cleaned(
-        new_rows_anti(users, silver_before, ["customer_id"], batch_rows=batch_rows).select(*cols),
-        dup_rows_semi(users, silver_before, ["customer_id"], batch_rows=batch_rows).select(*cols),
+        new_rows_anti(users, silver_before, ["customer_id"]).select(*cols),
+        dup_rows_semi(users, silver_before, ["customer_id"]).select(*cols),
     )
 
 
@@ -88,14 +88,14 @@ def product_ranges_ok() -> F.Column:
     return (F.col("base_price") > 0) & (F.col("current_stock") >= 0)
 
 
-def silver_products(batch: DataFrame, silver_before: DataFrame | None, batch_rows: int | None = None) -> Cleaned:
+def silver_products(batch: DataFrame, silver_before: DataFrame | None) -> Cleaned:
     """Exact duplicates dropped; new pids repaired and range-checked (failures dropped)."""
     cols = _keep(batch, PRODUCT_COLS)
     prods = _dedup_rows(batch, PRODUCT_COLS)
-    fresh = prods if silver_before is None else new_rows_anti(prods, silver_before, ["pid"], batch_rows=batch_rows)
+    fresh = prods if silver_before is None else new_rows_anti(prods, silver_before, ["pid"])
     accepted = fill_defaults(fresh, PRODUCT_DEFAULTS).filter(product_ranges_ok())
     quarantined = (_empty_like(prods, cols) if silver_before is None
-                   else dup_rows_semi(prods, silver_before, ["pid"], batch_rows=batch_rows))
+                   else dup_rows_semi(prods, silver_before, ["pid"]))
     return Cleaned(accepted.select(*cols), quarantined.select(*cols))
 
 
@@ -117,8 +117,7 @@ def with_gross(items: DataFrame) -> DataFrame:
     )
 
 
-def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame,
-                       batch_rows: int | None = None) -> Cleaned:
+def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:
     """Known product and any plausible number → accepted; orphan or any bad number → quarantine.
 
     The two predicates overlap on purpose (a row with quantity 0 but a positive price is
@@ -127,7 +126,7 @@ def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, produc
     cols = _keep(batch, ITEM_COLS)
     items = with_gross(batch).select(*cols)
     valid = ref_check_semi(items, products, "product_id", "pid").filter(item_accept())
-    accepted = valid if silver_before is None else new_rows_anti(valid, silver_before, ["order_item_id"], batch_rows=batch_rows)
+    accepted = valid if silver_before is None else new_rows_anti(valid, silver_before, ["order_item_id"])
     known = products.select(F.col("pid").alias("_pid")).dropDuplicates()
     rejected = (
         items.join(known, items["product_id"] == known["_pid"], "left")
@@ -136,7 +135,7 @@ def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, produc
     )
     quarantined = rejected
     if silver_before is not None:
-        quarantined = rejected.unionByName(dup_rows_semi(valid, silver_before, ["order_item_id"], batch_rows=batch_rows))
+        quarantined = rejected.unionByName(dup_rows_semi(valid, silver_before, ["order_item_id"]))
     return Cleaned(accepted.select(*cols), quarantined)
 
 
@@ -157,7 +156,7 @@ def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def silver_orders(batch: DataFrame, silver_before: DataFrame | None, customers: DataFrame,
-                  items: DataFrame, batch_rows: int | None = None) -> Cleaned:
+                  items: DataFrame) -> Cleaned:
     """Known customer, repaired, amounts recomputed from silver items; an order without
     items is rejected; ids already in silver are dropped; rejects = batch − accepted."""
     cols = _keep(batch, ORDER_COLS)
@@ -169,13 +168,12 @@ def silver_orders(batch: DataFrame, silver_before: DataFrame | None, customers:
     )
     totals = order_totals(orders, items)
     joined = clean.drop("total_amount", "discount_applied", "final_amount").join(totals, "oid")
-    final = joined if silver_before is None else new_rows_anti(joined, silver_before, ["oid"], batch_rows=batch_rows)
+    final = joined if silver_before is None else new_rows_anti(joined, silver_before, ["oid"])
     final = final.select(*cols)
     return Cleaned(final, rejected_rows_anti(orders, final, ["oid"]).select(*cols))
 
 
-def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame,
-                     batch_rows: int | None = None) -> Cleaned:
+def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:
     cols = _keep(batch, INVENTORY_COLS)
     inv = batch.select(*cols)
     main = (
@@ -184,13 +182,12 @@ def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products
         .withColumn("last_restocked_at", F.col("last_restocked_at").cast("date"))
         .transform(lambda d: fill_defaults(d, INVENTORY_DEFAULTS))
     )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["inventory_id"], batch_rows=batch_rows)
+    final = main if silver_before is None else new_rows_anti(main, silver_before, ["inventory_id"])
     final = final.select(*cols)
     return Cleaned(final, rejected_rows_anti(inv, final, ["inventory_id"]))
 
 
-def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, orders: DataFrame,
-                            batch_rows: int | None = None) -> Cleaned:
+def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, orders: DataFrame) -> Cleaned:
     cols = _keep(batch, LOG_COLS)
     logs = batch.select(*cols)
     main = (
@@ -198,6 +195,6 @@ def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, o
         .transform(lambda d: fill_defaults(d, LOG_DEFAULTS))
         .withColumn("changed_at", F.col("changed_at").cast("timestamp"))
     )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["log_id"], batch_rows=batch_rows)
+    final = main if silver_before is None else new_rows_anti(main, silver_before, ["log_id"])
     final = final.select(*cols)
     return Cleaned(final, rejected_rows_anti(logs, final, ["log_id"]))

@@ -53,6 +53,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir is not set: on a cluster it must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(current)
     return current
@@ -67,11 +69,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def apply_recommended_conf(spark: SparkSession) -> None:
     """Set the runtime SQL options this package relies on (idempotent)."""
     for k, v in RECOMMENDED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: leave as is
-            pass
+        spark.conf.set(k, v)
 
-
-def env_cores(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)

@@ -10,7 +10,8 @@
   snapshot and the marks table points readers at it, so a plan never overwrites the
   path it is reading.
 * Marks (the per layer/table high-water marks) are a small append-only Parquet table of
-  ``(layer, table_name, version, status)`` rows; the current mark is the max version.
+  ``(layer, table_name, version, status, seq)`` rows; the current mark is the row of the highest
+  ``seq``, so a re-run can set a mark back.
 """
 
 from __future__ import annotations
@@ -79,14 +80,6 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType, upto: int |
     return df.drop(SINK)
 
 
-def read_written(spark: SparkSession, path: str, upto: int | None = None, sink: str = "main") -> DataFrame:
-    """Like :func:`read_table` for internal tables whose schema is the one we wrote."""
-    df = spark.read.parquet(path).filter(F.col(SINK) == sink)
-    if upto is not None:
-        df = df.filter(F.col(CV) <= upto)
-    return df.drop(SINK)
-
-
 def change_feed(spark: SparkSession, path: str, schema: T.StructType, start: int, end: int | None = None,
                 with_metadata: bool = False) -> DataFrame:
     """Rows committed in ``[start, end]`` (``end`` None = open-ended), partition-pruned.
@@ -142,26 +135,38 @@ MARKS_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("version", T.IntegerType()),
     T.StructField("status", T.StringType()),
+    T.StructField("seq", T.LongType()),
 ])
+REWOUND = "rewound"
 
 
 def marks_path(root: str) -> str:
     return f"{root.rstrip('/')}/_marks"
 
 
-def read_marks(spark: SparkSession, root: str) -> DataFrame:
-    """Current mark per (layer, table): the highest recorded version (-1 if none)."""
+def mark_history(spark: SparkSession, root: str) -> DataFrame:
+    """Every recorded mark, oldest to newest by ``seq``."""
     path = marks_path(root)
-    if not path_exists(spark, path):
-        return empty(spark, MARKS_SCHEMA).select("layer", "table_name", "version")
-    return (spark.read.schema(MARKS_SCHEMA).parquet(path)
-            .groupBy("layer", "table_name").agg(F.max("version").alias("version")))
+    return spark.read.schema(MARKS_SCHEMA).parquet(path) if path_exists(spark, path) else empty(spark, MARKS_SCHEMA)
+
+
+def read_marks(spark: SparkSession, root: str) -> DataFrame:
+    """Current mark per (layer, table): the version recorded last."""
+    return (mark_history(spark, root).groupBy("layer", "table_name")
+            .agg(F.max_by("version", F.col("seq")).alias("version")))
 
 
 def mark_of(spark: SparkSession, root: str, layer: str, table: str) -> int:
-    row = (read_marks(spark, root).filter((F.col("layer") == layer) & (F.col("table_name") == table))
-           .agg(F.max("version").alias("v")).first())
-    return -1 if row is None or row["v"] is None else int(row["v"])
+    row = read_marks(spark, root).filter((F.col("layer") == layer) & (F.col("table_name") == table)).first()
+    return -1 if row is None or row["version"] is None else int(row["version"])
+
+
+def last_version_before(spark: SparkSession, root: str, layer: str, table: str, version: int) -> int:
+    """The newest version below ``version`` that (layer, table) ever completed; -1 if none."""
+    row = (mark_history(spark, root)
+           .filter((F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("version") < version) & (F.col("status") != REWOUND))
+           .agg(F.max("version")).first())
+    return -1 if row[0] is None else int(row[0])
 
 
 def advance_mark(spark: SparkSession, root: str, layer: str, table: str, version: int, status: str = "ok") -> None:
@@ -173,7 +178,9 @@ def advance_marks(spark: SparkSession, root: str, rows: list[tuple[str, str, int
     """Record several marks in one small append (one per layer and run)."""
     if not rows:
         return
-    df = spark.createDataFrame([(a, b, int(c), d) for a, b, c, d in rows], MARKS_SCHEMA)
+    top = mark_history(spark, root).agg(F.max("seq")).first()[0]
+    seq = 0 if top is None else int(top) + 1
+    df = spark.createDataFrame([(a, b, int(c), d, seq + k) for k, (a, b, c, d) in enumerate(rows)], MARKS_SCHEMA)
     df.coalesce(1).write.mode("append").parquet(marks_path(root))
 
 
