@@ -6,7 +6,7 @@ within the node is the largest part of its range over all documents, until every
 shard of about the target. Dimensions: the text's bytes, its number of lines and its checksum.
 
 All nodes of a level are split together. The median is found by histograms: each round counts
-the bytes of ``BINS`` equal bins between the bounds known so far, for every node in one
+the bytes of about ``BINS`` equal bins between the bounds known so far, for every node in one
 aggregate, and goes on within the bin that holds the median, until the bin is a single value.
 The order is (dimension, checksum, bytes, id), one key after the other, so equal texts stand
 side by side. Where a group of equal texts lies across the median, the cut moves to its nearer
@@ -70,11 +70,10 @@ def _locate(rows: DataFrame, goals: dict[int, float], keys: dict[int, Column], f
         bounds[r["node"]] = (r["lo"], r["hi"])
     below = dict.fromkeys(goals, 0)
     while open_:
-        width = {k: -(-(bounds[k][1] - bounds[k][0] + 1) // BINS) for k in open_}
+        # Bins are the values' leading bits: no difference of two ids can overflow.
+        bits = {k: ((bounds[k][1] - bounds[k][0]) // BINS).bit_length() for k in open_}
         take = {k: fixed[k] & keys[k].between(*(F.lit(b) for b in bounds[k])) for k in open_}
-        number = _by_node({k: F.expr("0").cast("bigint") + F.floor((keys[k] - F.lit(bounds[k][0])) / F.lit(width[k])) if width[k] < (1 << 40)
-                           else F.shiftright(keys[k] - F.lit(bounds[k][0]), width[k].bit_length() - 1) for k in open_}, F.lit(0))
-        step = {k: width[k] if width[k] < (1 << 40) else 1 << (width[k].bit_length() - 1) for k in open_}
+        number = _by_node({k: F.shiftright(keys[k].cast("bigint"), bits[k]) for k in open_}, F.lit(0).cast("bigint"))
         counts = rows.where(_by_node(take, F.lit(False))).groupBy("node", number.alias("bin")).agg(F.sum("size").alias("bytes")).collect()
         per: dict[int, dict] = {}
         for r in counts:
@@ -86,8 +85,8 @@ def _locate(rows: DataFrame, goals: dict[int, float], keys: dict[int, Column], f
                 if run + per[k][b] >= open_[k] or b == last:
                     break
                 run += per[k][b]
-            lo = bounds[k][0] + b * step[k]
-            hi = min(lo + step[k] - 1, bounds[k][1])
+            lo = max(bounds[k][0], b << bits[k])
+            hi = min(bounds[k][1], ((b + 1) << bits[k]) - 1)
             below[k] = run
             bounds[k] = (lo, hi)
             if lo == hi:
@@ -155,7 +154,10 @@ def _cuts(rows: DataFrame, goals: dict, dims: dict, bytes_: dict) -> dict:
         for k, at in heavy.items():
             v, below, own = got[k]
             goal = goals[k] - value[k][1] - crc[k][1] - size[k][1]
-            out[k] = (*at, v) if below + own - goal <= goal - below else (*at, v - 1)
+            if below + own - goal <= goal - below:
+                out[k] = (*at, v)
+            else:
+                out[k] = (*at, v - 1) if v > -(1 << 63) else (at[0], at[1], at[2] - 1, None)
     return out
 
 

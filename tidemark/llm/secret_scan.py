@@ -1,6 +1,7 @@
 """Secret scanning with a random forest for false-positive removal, in DataFrame expressions only.
 
-Every word of at least ``SHORTEST`` characters with a digit is a finding, as are private-key blocks.
+Every word of at least ``SHORTEST`` characters with a digit (or a known key format without one) is a
+finding, as are private-key blocks.
 A finding's value is the word without its wrapping, and without the name before ``=`` or ``:``.
 Features: length; shares of digits, capitals and signs; changes between letters, digits and signs;
 distinct characters; runs of pairs usual in words; dictionary coverage (frequent words of the corpus);
@@ -37,6 +38,8 @@ WRAP = "\"'`.,;:!?()[]{}<>"
 NAMES = r"(?i)(passw|pwd|secret|token|api|auth|cred|private|access|key)"
 HARMLESS = r"(?i)(example|sample|dummy|test|placeholder|sha|md5|commit|checksum|digest|uuid|version|card|phone|mail)"
 KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----"
+#: What makes a word a finding: a digit, or a key format that can do without one.
+HINT = "[0-9]|AKIA[A-Z]{16}"
 #: Formats that providers give their keys.
 KNOWN_FORMATS = (r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$", r"^sk_(live|test)_[A-Za-z0-9]{16,}$",
                  r"^AIza[A-Za-z0-9_-]{35}$", r"^eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+$")
@@ -46,7 +49,7 @@ HARMLESS_FORMATS = (r"^[^@\s]+@[^@\s]+\.[A-Za-z]+$", r"^[0-9.,:/+()-]+$", r"^[0-
 def findings(text: Column) -> Column:
     """Array of (at, name, value, before, after) of a text's findings."""
     def of_words(w: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= SHORTEST) & F.get(w, i).rlike("[0-9]"))
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= SHORTEST) & F.get(w, i).rlike(HINT))
 
         def one(i: Column) -> Column:
             bare = F.btrim(F.get(w, i), F.lit(WRAP))
