@@ -70,7 +70,7 @@ SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS order_item_id, CAST(l_or
        CAST({hu_dec(_GROSS, 2, "CAST(l_quantity AS BIGINT)", 2)} AS DECIMAL(12,2)) AS unit_price_at_order,
        {_PCT} AS discount_at_order,
        CAST(ROUND({_GROSS} * (100 - {_PCT}) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS line_total,
-       {_GROSS} AS gross_amount,
+       CAST(CAST({hu_dec(_GROSS, 2, "CAST(l_quantity AS BIGINT)", 2)} AS DECIMAL(12,2)) * CAST(l_quantity AS BIGINT) AS DECIMAL(12,2)) AS gross_amount,
        COALESCE((SELECT {commit_case("CAST(o.o_orderdate AS DATE)", '1997-01-01', '1999-01-01')}
                  FROM orders o WHERE o.o_orderkey = l_orderkey), 0) AS commit_version
 FROM lineitem"""
@@ -83,10 +83,12 @@ SELECT CAST(l_partkey * 100000 + l_suppkey AS BIGINT) AS inventory_id, CAST(l_pa
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation n ON s_nationkey = n.n_nationkey
 GROUP BY l_partkey, l_suppkey, n.n_name"""
 
+_STATE = ("CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'confirmed' WHEN 'click' THEN 'shipped' "
+          "WHEN 'purchase' THEN 'delivered' WHEN 'error' THEN 'cancelled' END")
 VIEWS["s_logs"] = f"""
 SELECT CAST(event_id AS BIGINT) AS log_id, CAST(user_id AS BIGINT) AS order_id,
-       LAG(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_status,
-       event_type AS new_status, ts AS changed_at, CAST(NULL AS VARCHAR) AS changed_by, props AS remarks,
+       LAG({_STATE}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_status,
+       {_STATE} AS new_status, ts AS changed_at, CAST(NULL AS VARCHAR) AS changed_by, props AS remarks,
        {commit_case("CAST(ts AS DATE)", '2024-01-11', '2024-01-21')} AS commit_version
 FROM events"""
 

@@ -413,15 +413,15 @@ SELECT log_id, order_id, old_status, new_status, {sql_publish(cols("changed_at:t
   SELECT l.*, l.old_status IS NOT NULL AND t.old_status IS NULL AS illegal_transition,
          prev_changed_at IS NOT NULL AND l.changed_at <= prev_changed_at AS not_after_previous
   FROM (SELECT log_id, order_id, old_status, new_status, changed_at,
-               LAG(changed_at) OVER (PARTITION BY order_id ORDER BY log_id) AS prev_changed_at FROM f_order_status_log) l
+               LAG(changed_at) OVER (PARTITION BY order_id ORDER BY log_id) AS prev_changed_at FROM b_logs) l
   LEFT JOIN (VALUES ('pending','confirmed'), ('pending','cancelled'), ('confirmed','shipped'), ('confirmed','cancelled'),
                     ('shipped','delivered'), ('shipped','returned'), ('delivered','returned')) t(old_status, new_status)
     ON l.old_status = t.old_status AND l.new_status = t.new_status)
 WHERE illegal_transition OR not_after_previous""")
 def status_transitions(spark: SparkSession, d: str) -> DataFrame:
-    """Illegal transitions and non-increasing change times in the cleaned status log."""
+    """Illegal transitions and non-increasing change times in the landed status log (before its nulls are repaired)."""
     from tidemark.plans.checks import status_transitions as st
-    return st(flow.fresh_lake(spark, d).silver("order_status_log"))
+    return st(flow.fresh_lake(spark, d).batch("order_status_log"))
 
 
 @register("table_counts", " UNION ALL ".join(

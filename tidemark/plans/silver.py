@@ -108,13 +108,8 @@ def item_reject() -> F.Column:
 
 
 def with_gross(items: DataFrame) -> DataFrame:
-    """Fill ``gross_amount`` from unit price x quantity where the source did not carry it."""
-    if "gross_amount" not in items.columns:
-        items = items.withColumn("gross_amount", F.lit(None).cast(MONEY))
-    return items.withColumn(
-        "gross_amount",
-        F.coalesce(F.col("gross_amount"), (F.col("unit_price_at_order") * F.col("quantity")).cast(MONEY)),
-    )
+    """``gross_amount`` is unit price x quantity, whatever the source carried."""
+    return items.withColumn("gross_amount", (F.col("unit_price_at_order") * F.col("quantity")).cast(MONEY))
 
 
 def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:

@@ -46,8 +46,7 @@ ORDERS = T.StructType([
     T.StructField("final_amount", T.DoubleType()),
 ])
 
-# ``gross_amount`` = unit_price_at_order * quantity, carried explicitly because the unit
-# price is itself rounded to cents and the product would not reproduce the source gross.
+# ``gross_amount`` = unit_price_at_order * quantity: what order totals and product sales add up.
 ORDER_ITEMS = T.StructType([
     T.StructField("order_item_id", T.LongType()),
     T.StructField("order_id", T.LongType()),

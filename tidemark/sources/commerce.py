@@ -17,14 +17,16 @@ Mapping (fixed, shared with the oracle):
               shipping_address=null, amounts 0 (recomputed in silver)
   order_items order_item_id = l_orderkey*8 + l_linenumber (repeats on purpose),
               order_id=l_orderkey, product_id=l_partkey, quantity=l_quantity,
-              gross_amount = l_extendedprice in cents, unit_price = gross/quantity
-              (half up, cents), discount_at_order = 100*l_discount,
-              line_total = gross * (1 - discount/100) (half up, cents)
+              unit_price = l_extendedprice / quantity (half up, cents),
+              gross_amount = unit_price * quantity, discount_at_order = 100*l_discount,
+              line_total = l_extendedprice * (1 - discount/100) (half up, cents)
   inventory   one row per (l_partkey, l_suppkey): inventory_id = l_partkey*100000 +
               l_suppkey, warehouse_location = supplier's nation, quantity_on_hand =
               sum(l_quantity), reorder_threshold = 20, last_restocked_at = max ship date
   order_status_log  log_id=event_id, order_id=user_id, old_status = previous
-              event_type of the same user (by ts, event_id), new_status=event_type,
+              state of the same user (by ts, event_id), new_status = the state that the
+              event_type stands for (signup pending, view confirmed, click shipped,
+              purchase delivered, error cancelled),
               changed_at=ts, changed_by=null, remarks=props
   commit_version (the dated extract a row arrived in), by the entity's own date:
               orders and inventory 0 before 1997, 1 before 1999, else 2; customers and
@@ -129,15 +131,16 @@ def order_items(spark: SparkSession, sf_dir: str, with_commit: bool = False) ->
     gross = F.col("l_extendedprice").cast(MONEY)
     qty = F.col("l_quantity").cast("bigint")
     pct = (F.col("l_discount").cast("decimal(4,2)") * F.lit(100)).cast(PCT)
+    price = F.when(qty > 0, F.round(gross / qty.cast("decimal(20,0)"), 2)).cast(MONEY)
     out = li.select(
         (F.col("l_orderkey") * ITEM_ID_STRIDE + F.col("l_linenumber")).cast("bigint").alias("order_item_id"),
         F.col("l_orderkey").cast("bigint").alias("order_id"),
         F.col("l_partkey").cast("bigint").alias("product_id"),
         qty.alias("quantity"),
-        F.when(qty > 0, F.round(gross / qty.cast("decimal(20,0)"), 2)).cast(MONEY).alias("unit_price_at_order"),
+        price.alias("unit_price_at_order"),
         pct.alias("discount_at_order"),
         line_total(gross, pct).alias("line_total"),
-        gross.alias("gross_amount"),
+        (price * qty).cast(MONEY).alias("gross_amount"),
     )
     if with_commit:
         commits = orders(spark, sf_dir, with_commit=True).select(F.col("oid").alias("order_id"), "commit_version")
@@ -165,8 +168,14 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_STATES = {"signup": "pending", "view": "confirmed", "click": "shipped", "purchase": "delivered", "error": "cancelled"}
+
+
 def order_status_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    # The events' types stand for the shop's order states, one state each (fixed pairs).
+    state = F.create_map(*[F.lit(x) for pair in EVENT_STATES.items() for x in pair])
+    ev = ev.withColumn("event_type", state[F.col("event_type")])
     with_prev = lag_within(ev, partition_by=["user_id"], order_by=["ts", "event_id"],
                            value_cols={"event_type": "old_status"})
     return with_prev.select(
