@@ -111,7 +111,7 @@ def test_connected_components(spark):
 def test_compact_windows_are_the_trees_wide_nodes():
     r = np.random.default_rng(3)
     for n in (0, 5, 45, 46, 47, 300):
-        v = r.permutation(n).astype(np.uint64)
+        v = r.permutation(n).astype(np.uint64) << np.uint64(40)
         value, lo, c, hi = substring_dedup.compact_windows(v)
         want = []
         for k in range(n):
