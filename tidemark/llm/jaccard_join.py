@@ -12,7 +12,7 @@ when 100 * intersection >= percent * union.
    frequent shingles are known, and come last), then by hash: passages that many documents share fall behind.
    Rows (shingle, size, digest, id) are sorted inside each shingle by size; equal sets are one
    row (within a slice before the shuffle already), and rows without a partner of a like size (ratio percent / 100) are gone.
-3. *First links*: every document is held against its neighbours in its tiles, first by size, then in ``ROUNDS``
+3. *First links*: every document is held against its neighbours in its tiles, first by size, then in ``ROUNDS`` more
    orders by hash, those with the most tiles in common first, and components are formed in between. This connects
    large groups of near copies with a few comparisons a document instead of all pairs.
 4. *The rest, exactly*: tiles that still hold two components are compared in full, but only
@@ -44,7 +44,7 @@ SHINGLE = 5
 PERCENT = 80
 ORDERED = 1 << 17
 TILE = 2048
-ROUNDS = 3
+ROUNDS = 1
 CACHE_WORDS = 150_000
 FILTER_BITS = 23
 #: Odd multipliers of the shingle hash (any will do; fixed so that hashes agree).
