@@ -256,3 +256,24 @@ def test_readers_of_a_failed_mart_wait_for_it(spark, tmp_path, undisturbed, monk
     assert P.G.product_day_partials is good
     P.run_batches(spark, root, small_batches(spark, 2), flow.as_of_col())
     assert all_marts(spark, root) == undisturbed
+
+
+def test_streaming_edge_keeps_commits_apart(spark, tmp_path):
+    """Silver holds two batch commits; the stream brings a third and leaves the others as they are."""
+    from tidemark.plans import silver as S
+    from tidemark.schemas import CUSTOMERS
+    from tidemark.streaming.incremental import clean_edge
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    names = CUSTOMERS.fieldNames()
+
+    def people(*ids):
+        return spark.createDataFrame([(i, *[None] * (len(names) - 1)) for i in ids], CUSTOMERS)
+
+    for v, ids in enumerate([(1, 2), (3, 4)]):
+        L.commit_append(people(*ids), bronze, v)
+        L.commit_append(people(*ids), silver, v)
+    L.commit_append(people(4, 5, 6), bronze, 2)
+    for _ in range(2):
+        clean_edge(spark, bronze, silver, CUSTOMERS, S.silver_customers, str(tmp_path / "ckpt"))
+        got = L.read_table(spark, silver, CUSTOMERS)
+        assert rows(got, "commit_version", "customer_id") == [(0, 1), (0, 2), (1, 3), (1, 4), (2, 5), (2, 6)]

@@ -3,9 +3,9 @@
 An edge (e.g. bronze orders → silver orders) is a file-source stream over the upstream
 commit table, triggered with ``availableNow``: each run consumes exactly the commits that
 arrived since the last run and stops. The stream checkpoint replaces the hand-kept marks
-(exactly-once bookkeeping), and ``foreachBatch`` gives every micro-batch an id that is
-used as the downstream ``commit_version``; a replayed micro-batch rewrites the same
-partition, so the sink stays exactly-once even though the function runs at least once.
+(exactly-once bookkeeping). A commit keeps its ``commit_version`` downstream; a replayed
+micro-batch rewrites the same partitions, so the sink stays exactly-once even though the
+function runs at least once.
 
 No stream-stream join is needed: other tables a step reads (silver references, earlier
 silver state) are read as batch snapshots inside ``foreachBatch``, so no watermark or
@@ -46,17 +46,22 @@ def run_available_now(source: DataFrame, checkpoint: str, fn: BatchFn, name: str
 def clean_edge(spark: SparkSession, bronze_path: str, silver_path: str,
                schema: T.StructType, clean: Callable[[DataFrame, DataFrame], object],
                checkpoint: str, silver_schema: T.StructType | None = None) -> None:
-    """Bronze → silver for one table: each micro-batch is cleaned against the silver
-    table as it was before the batch, then committed under the batch id."""
+    """Bronze → silver for one table: every bronze commit that a micro-batch brings is cleaned
+    against the silver commits before it and committed under the same ``commit_version``.
+
+    The commit is read whole from the table, so a micro-batch that holds only some of its files, or
+    is run again, replaces the silver commit by the same rows; batch commits stay apart from it.
+    """
     silver_schema = silver_schema or schema
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.filter(batch[L.SINK] == "main").drop(L.CV, L.SINK).persist()
-        try:
-            before = L.read_table(spark, silver_path, silver_schema, upto=batch_id - 1)
-            out = clean(batch, before)
-            L.commit_append(out.accepted, silver_path, batch_id, out.quarantined)
-        finally:
-            batch.unpersist()
+    def per_batch(batch: DataFrame, _batch_id: int) -> None:
+        versions = sorted(r[0] for r in batch.select(L.CV).distinct().collect() if r[0] is not None)  # commits, not rows
+        for v in versions:
+            rows = L.change_feed(spark, bronze_path, schema, v, v).drop(L.CV).persist()
+            try:
+                out = clean(rows, L.read_table(spark, silver_path, silver_schema, upto=v - 1))
+                L.commit_append(out.accepted, silver_path, v, out.quarantined)
+            finally:
+                rows.unpersist()
 
     run_available_now(stream_commits(spark, bronze_path, schema), checkpoint, per_batch)
