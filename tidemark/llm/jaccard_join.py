@@ -359,15 +359,11 @@ def passing(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """Pairs across components in the blocks of tiles whose signatures leave the similarity possible.
 
-    ``open_rows``: (shingle, i, j, side, n, small, component, doc_id, bits, all_tiles, small_tiles); a block pair
+    ``open_rows``: (shingle, i, j, side, n, small, component, doc_id, bits); a block pair
     (i, j) holds about 2 * TILE rows by the way blocks are dealt, and is compared in numpy, the smaller set of a pair
-    first. A pair comes from the first tile that it has in common, once.
+    first. A pair comes from each tile that it has in common (at most its prefix) and is made one before it is used.
     """
 
-    def sets_at(column, rows: np.ndarray) -> dict[int, set]:
-        at = np.unique(rows)
-        return {x: set(t) for x, t in zip(at.tolist(), column.take(pa.array(at)).to_pylist(), strict=True)}
-
     def compare(block: pa.Table):
         n = block["n"].to_numpy()
         comp = block["component"].to_numpy()
@@ -390,12 +386,6 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             if len(a):
                 pass_ = signatures_may_link(n[a], n[b], [bits[x] for x in a.tolist()], [bits[x] for x in b.tolist()], percent)
                 a, b = a[pass_], b[pass_]
-                if len(a):
-                    lists = sets_at(block["small_tiles"], a)
-                    others = sets_at(block["all_tiles"], b)
-                    here = keys[0]
-                    first = np.array([min(lists[x] & others[y]) == here[x] for x, y in zip(a.tolist(), b.tolist(), strict=True)], dtype=bool)
-                    a, b = a[first], b[first]
                 if len(a):
                     x, y = doc[a], doc[b]
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
@@ -415,7 +405,7 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             yield from compare(rest)
 
     ordered = open_rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "n", "doc_id")
-    return ordered.select("shingle", "i", "j", "side", "n", "small", "component", "doc_id", "bits", "all_tiles", "small_tiles").mapInArrow(run, "a bigint, b bigint")
+    return ordered.select("shingle", "i", "j", "side", "n", "small", "component", "doc_id", "bits").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
 def verify_all(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -474,9 +464,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("shingle", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
                          F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"), "n", "small", "component", "doc_id")
-    own_tiles = rows.groupBy("doc_id").agg(F.collect_list("shingle").alias("all_tiles"), F.collect_list(F.when(F.col("small"), F.col("shingle"))).alias("small_tiles"))
-    carried = signatures.select("doc_id", "bits").join(own_tiles, "doc_id")
-    apart = materialize(cross_pairs(dealt.join(carried, "doc_id"), percent), "jaccard-pairs")
+    apart = materialize(cross_pairs(dealt.join(signatures.select("doc_id", "bits"), "doc_id"), percent), "jaccard-pairs")
     apart = materialize(apart.join(tried.distinct(), ["a", "b"], "left_anti"), "jaccard-pairs")
     if apart.head(1):
         links = materialize(links.unionAll(verify_all(docs, apart, percent)), "jaccard-links")
