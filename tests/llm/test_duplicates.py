@@ -174,3 +174,48 @@ def test_benchmark_blocks_give_the_same(spark, monkeypatch):
     whole = sorted(map(tuple, decontaminate.contaminated(docs, test).collect()))
     monkeypatch.setattr(decontaminate.blocks_of, "__defaults__", (50,))
     assert sorted(map(tuple, decontaminate.contaminated(docs, test).collect())) == whole and len(whole) >= 20
+
+
+def edited(words: list[str], kind: str, at: int) -> list[str]:
+    return {"insert": words[:at] + ["inserted"] + words[at:], "delete": words[:at] + words[at + 1:], "change": words[:at] + ["changed"] + words[at + 1:]}[kind]
+
+
+@pytest.mark.parametrize("kind", ["insert", "delete", "change"])
+def test_stretches_equal_brute_force_with_edits(kind):
+    """Some window of WIDTH shingles on one side and of WIDTH to WIDTH + 11 on the other reaches the similarity."""
+    r = random.Random(17)
+    seen = {True: 0, False: 0}
+    for trial, n in enumerate([50, 51, 60, 70, 88] * 6):
+        shared = [f"w{trial}x{k}" for k in range(n)]
+        other = shared
+        for _ in range(r.choice([1, 1, 2, 3])):
+            other = edited(other, kind, len(other) // 2 if trial < 5 else r.randrange(len(other)))
+        texts = [" ".join([f"{side}{k}" for k in range(r.randint(0, 30))] + w + [f"{side}z{k}" for k in range(r.randint(6, 30))]) for side, w in (("a", shared), ("b", other))]
+        x, y = (substring_dedup.positions(t) for t in texts)
+        want = False
+        for i in range(len(x) - substring_dedup.WIDTH + 1):
+            w = set(x[i:i + substring_dedup.WIDTH].tolist())
+            for size in range(substring_dedup.WIDTH, substring_dedup.WIDTH + 12):
+                for j in range(len(y) - size + 1):
+                    both = len(w & set(y[j:j + size].tolist()))
+                    want = want or 180 * both >= 80 * (len(w) + size)
+        at = {v: k for k, v in enumerate(y.tolist())}
+        shift = next((k - at[v] for k, v in enumerate(x.tolist()) if v in at), 0)
+        got = substring_dedup.stretches(x, y, shift - substring_dedup.NEAR, shift + substring_dedup.NEAR)
+        assert bool(got) == want
+        seen[want] += 1
+        for a, k, same, b, m in got:
+            both = len(set(x[a:a + k].tolist()) & set(y[b:b + m].tolist()))
+            assert k >= substring_dedup.WIDTH <= m and both >= 0.8 * (k + m - both) - 1
+    assert seen[True] >= 5
+
+
+def test_passages_with_an_inserted_word(spark):
+    rows = []
+    for k in range(20):
+        words = prose(700 + k, 50 + 2 * k).split()
+        rows += [(2 * k, " ".join([prose(800 + k, 40), *words, prose(830 + k, 40)])),
+                 (2 * k + 1, " ".join([prose(860 + k, 30), *edited(words, "insert" if k % 2 else "delete", len(words) // 2), prose(890 + k, 50)]))]
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"] // 2 for r in got} == {r["other_id"] // 2 for r in got} and len({r["doc_id"] // 2 for r in got}) >= 18
+    assert max(r["n_words"] for r in got) > 80  # whole, not its longer half
