@@ -219,3 +219,36 @@ def test_passages_with_an_inserted_word(spark):
     got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r["doc_id"] // 2 for r in got} == {r["other_id"] // 2 for r in got} and len({r["doc_id"] // 2 for r in got}) >= 18
     assert max(r["n_words"] for r in got) > 80  # whole, not its longer half
+
+
+def test_passages_of_a_group_of_near_copies(spark):
+    """One original; every other document changes one word of its own, so most pairs of changed ones are no passages."""
+    rows = []
+    for g in range(12):
+        words = prose(2000 + g, 50).split()
+        for k in range(9):
+            own = words if k == 1 else edited(words, "change", [6, 0, 11, 16, 21, 26, 31, 36, 41][k])
+            rows.append((100 * g + k, " ".join([prose(3000 + 100 * g + k, 30 + k), *own, prose(4000 + 100 * g + k, 30)])))
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    ids = {r["doc_id"] for r in got} | {r["other_id"] for r in got}
+    assert len(ids) >= 0.95 * len(rows)
+    words = {i: t.split() for i, t in rows}
+    for r in got:
+        assert sum(x == y for x, y in zip(words[r["doc_id"]][r["start"]:], words[r["other_id"]][r["other_start"]:][:r["n_words"]], strict=False)) >= 0.9 * r["n_words"] - 1
+
+
+def test_passages_in_lines_of_many_documents(spark, monkeypatch):
+    """Every line of the shared passages stands in many documents, in other company."""
+    lines = [prose(5000 + k, 12) for k in range(24)]
+    r = random.Random(8)
+    rows = [(k, "\n".join(r.sample(lines, 12))) for k in range(150)]
+    want = set()
+    for k in range(10):
+        shared = r.sample(lines, 6)
+        for d in (1000 + 2 * k, 1001 + 2 * k):
+            rows.append((d, "\n".join([prose(6000 + d, 30), *shared, prose(7000 + d, 30)])))
+            want.add(d)
+    for tile in (2048, 16):
+        monkeypatch.setattr(substring_dedup, "TILE", tile)
+        got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert want <= {x["doc_id"] for x in got} | {x["other_id"] for x in got}
