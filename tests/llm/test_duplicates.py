@@ -1,5 +1,6 @@
 """op9, op10 and op5 against brute force."""
 
+import itertools
 import random
 import re
 
@@ -252,3 +253,25 @@ def test_passages_in_lines_of_many_documents(spark, monkeypatch):
         monkeypatch.setattr(substring_dedup, "TILE", tile)
         got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
         assert want <= {x["doc_id"] for x in got} | {x["other_id"] for x in got}
+
+
+@pytest.mark.parametrize("n", range(8, 26))
+def test_every_accepted_stretch_has_a_seed(n):
+    """A benchmark text of n words: all places of substitutions that verify() accepts in a window are hit."""
+    words = [f"w{k}" for k in range(n)]
+    bench = decontaminate.Benchmark([(1, " ".join(words))])
+    need = min(decontaminate.LEAST, n)
+    lost = need - -(-need * decontaminate.PERCENT // 100)
+    for begin in range(n - need + 1):
+        for places in itertools.combinations(range(begin, begin + need), lost):
+            own = [w if begin <= k < begin + need and k not in places else "other" for k, w in enumerate(words)]
+            ids = np.array([bench.number.get(w, 0) for w in own] + [0] * decontaminate.SPAN, dtype=np.int64)
+            found = bench.hits(ids, np.array([0, len(ids)], dtype=np.int64)).T.tolist()
+            assert any(bench.verify(ids, 0, n, item, shift) for _, item, shift in found), (begin, places)
+
+
+def test_unspaced_scripts_are_cut_into_characters(spark):
+    passage = "今日は天気が良いので散歩に行きましょう"
+    test = spark.createDataFrame([(1, passage), (2, "ในน้ำมีปลาในนามีข้าว")], "item_id bigint, text string")
+    docs = spark.createDataFrame([(1, "前文。" + passage + "。後文"), (2, "別の文章です"), (3, "xx ในน้ำมีปลาในนามีข้าว")], "doc_id bigint, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, test).collect()} == {(1, 1), (3, 2)}

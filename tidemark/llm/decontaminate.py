@@ -1,6 +1,7 @@
 """Benchmark decontamination by spaced seeds.
 
-Words are runs of non-separators, lower-cased and stripped of punctuation at their borders. A spaced
+Words are runs of non-separators, lower-cased and stripped of punctuation at their borders; in scripts
+written without blanks every character is a word. A spaced
 seed is a fixed mask over ``SPAN`` consecutive words: positions with 1 must agree, positions
 with 0 are ignored, so a substituted word does not hide a passage. For every benchmark text
 and every document all positions of all masks are hashed; equal hashes of a test and a training
@@ -15,12 +16,14 @@ per block, whole, and only verified hits leave a task. A passage that a third of
 costs each of them one row.
 
 Defined cases: null and empty texts on either side match nothing; benchmark texts under ``SPAN``
-words match by equality of the whole text as a stretch of words, from ``SHORTEST`` words on; copies
+words match as whole texts in ``PERCENT`` percent of their words, from ``SHORTEST`` words on; copies
 of a benchmark text each give their rows; extra columns are ignored; an empty benchmark flags nothing.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,19 +34,29 @@ from tidemark.llm.common import Shared, map_slices, ship
 ship(__name__)
 
 SPAN = 10
-#: Fixed masks (weight 6 to 7 of 10): together they catch any two substitutions in a stretch of 13 words.
-MASKS = ("1111111000", "0001111111", "1110011011", "1101100111", "1011101101")
+#: Fixed masks of weight 6: their zeros are a covering design, every two of SPAN places are zeros of one mask.
+#: So any two substitutions in a stretch of SPAN words and more leave a seed at each offset.
+MASKS = ("1111000110", "1110111000", "1101011001", "1011110001", "1000101111",
+         "0111101001", "0110010111", "0101110110", "0011011110")
+#: For whole texts of SHORTEST words to under SPAN, at their beginning: any one substitution leaves a seed.
+SHORT_MASKS = ("11111000", "11100111", "00011111")
 LEAST = 13
 SHORTEST = 8
 PERCENT = 80
 BLOCK_WORDS = 1 << 20
-STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_"
+STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_、。，．！？：；「」『』（）"
+#: Scripts written without blanks (Thai, Lao, Myanmar, Khmer, kana, Han): a word is cut before and after each such character.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93,
                 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], dtype=np.uint64)
 
 
 def words_of(text: str | None) -> list[str]:
-    return [w.strip(STRIP) or w for w in text.lower().split()] if text else []
+    if not text:
+        return []
+    if not text.isascii() and UNSPACED.search(text):
+        text = UNSPACED.sub(r" \g<0> ", text)
+    return [w.strip(STRIP) or w for w in text.lower().split()]
 
 
 def seed_hashes(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
@@ -79,7 +92,7 @@ class Benchmark:
         self.words = np.array([self.number[w] for _, ws in lists for w in ws], dtype=np.int64)
         owner = np.repeat(np.arange(len(lists)), self.size)
         self.seeds = []
-        for mask in (*MASKS, "1" * SHORTEST):
+        for mask in (*MASKS, *SHORT_MASKS):
             at, h = seed_hashes(self.words, mask) if len(self.words) else (np.zeros(0, np.int64), np.zeros(0, np.uint64))
             inside = owner[at] == owner[at + len(mask) - 1] if len(at) else np.zeros(0, bool)
             if len(mask) == SHORTEST and len(at):  # texts too short for the masks
@@ -167,7 +180,7 @@ def blocks_of(benchmark: DataFrame, most_words: int = BLOCK_WORDS):
     rows, size = [], 0
     frame = benchmark.where("text is not null").select("item_id", "text")
     for r in frame.toLocalIterator(prefetchPartitions=False):
-        n = len(r["text"].split())
+        n = len(words_of(r["text"]))
         if rows and size + n > most_words:
             yield rows
             rows, size = [], 0
