@@ -79,3 +79,15 @@ def test_transducer_random_strings_and_refill(monkeypatch):
     monkeypatch.setattr(token_counts, "MAX_TRANSITIONS", 1 << 14)  # the table is compiled afresh on the way
     for part in (texts[:100], texts[100:200], texts[200:], texts):
         assert t.count(part)[1].tolist() == [len(tok.encode(x, add_special_tokens=False).ids) for x in part]
+
+
+def test_transitions_are_compiled_afresh_within_a_text(monkeypatch):
+    with open(COUNTS, "rb") as f:
+        raw = f.read()
+    r = random.Random(5)
+    texts = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000)), " ".join("".join(r.choice("etaoin") for _ in range(r.randint(1, 20))) for _ in range(400)), "", None]
+    want = [x.tolist() for x in token_counts.Transducer(raw).count(texts)]
+    monkeypatch.setattr(token_counts, "MAX_TRANSITIONS", 64)
+    few = token_counts.Transducer(raw)
+    assert [x.tolist() for x in few.count(texts)] == want
+    assert few.filled <= 3 * 64

@@ -14,7 +14,8 @@ of the token trie reached, the last token before it and its count relative to th
 one. That is a finite description; reading a byte gives the next state and a count change.
 States are numbered, and transitions compiled, when first met (a lazily determinised
 automaton); the table is an open-addressing hash of ``(state, byte)`` read for a whole slice
-of pre-tokens in step. It is bounded: beyond ``MAX_TRANSITIONS`` it is compiled afresh.
+of pre-tokens in step. It is bounded: beyond ``MAX_TRANSITIONS`` it is compiled afresh, between
+two bytes of a pre-token too, whose states are then carried over; so no text is too diverse.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; strings of special tokens
 inside a text count as the library counts them by default (one token each, the text around
@@ -88,6 +89,20 @@ class Transducer:
         self.change = np.zeros(1 << _BITS, dtype=np.int8)
         self.filled = 0
 
+    def carried(self, state: np.ndarray) -> np.ndarray:
+        """The numbers of these states in a table begun afresh."""
+        old, at = np.unique(state, return_inverse=True)
+        kept = [self.items[x] for x in old.tolist()]
+        self.reset()
+        numbers = []
+        for items in kept:
+            number = self.number.get(items)
+            if number is None:
+                number = self.number[items] = len(self.items)
+                self.items.append(items)
+            numbers.append(number)
+        return np.array(numbers, dtype=np.int64)[at]
+
     def bpe(self, raw: bytes) -> list[int]:
         """Plain BPE: merge the pair of lowest rank, leftmost first."""
         ids = [self.single[b] for b in raw]
@@ -142,7 +157,13 @@ class Transducer:
         return at
 
     def run(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-        """Token counts of the byte strings ``data[start:start + length]``, read in step."""
+        """Token counts of the byte strings ``data[start:start + length]``, in groups of ``MAX_TRANSITIONS``."""
+        groups = range(0, len(starts), MAX_TRANSITIONS)
+        parts = [self.run_group(data, starts[k:k + MAX_TRANSITIONS], lengths[k:k + MAX_TRANSITIONS]) for k in groups]
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+
+    def run_group(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Token counts of at most ``MAX_TRANSITIONS`` byte strings, read in step: a byte adds so many transitions at most."""
         order = np.argsort(-lengths, kind="stable")
         start, length = starts[order], lengths[order]
         state = np.zeros(len(order), dtype=np.int64)
@@ -159,10 +180,10 @@ class Transducer:
                     self.keys[slot] = x
                     self.filled += 1
                 at[new] = self.slots(key[new])
-                if self.filled > 3 * MAX_TRANSITIONS:
-                    raise MemoryError("transition table full within one slice")
             state[:k] = self.next[at]
             count[:k] += self.change[at]
+            if self.filled > 2 * MAX_TRANSITIONS:
+                state[:k] = self.carried(state[:k])
         out = np.empty(len(order), dtype=np.int64)
         out[order] = count
         if self.filled > MAX_TRANSITIONS:
