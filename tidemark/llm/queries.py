@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, quality_rules, secret_scan, substring_dedup, token_counts, toxicity
+from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, periodic_runs, quality_rules, secret_scan, substring_dedup, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -85,3 +85,9 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words and more that documents share, a row per document and passage."""
     return substring_dedup.repeated_passages(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in every whole text, the texts with the contract's loops in them."""
+    return periodic_runs.run_digests(documents(spark, sf_dir, "doc_id", "text"))
