@@ -36,7 +36,7 @@ from tidemark.llm.common import materialize, ship
 ship(__name__)
 
 #: Rows of a piece (about), ratio of the radii of two levels, rows of a leaf, nodes opened at a time.
-PIECE_ROWS, BASE, LEAF_ROWS, OPENED = 8192, 1.3, 48, 24
+PIECE_ROWS, BASE, LEAF_ROWS, OPENED = 8192, 1.3, 48, 256
 LONG = 2**63 - 1
 #: A node's numbers: first child, children, first row, rows, smallest and greatest label, row of the centre.
 CHILD, CHILDREN, ROW, ROWS, LOW, HIGH, CENTRE = range(7)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_codec, decontaminate, jaccard_join, kd_shards, language_id, periodic_runs, quality_rules, secret_scan, substring_dedup, token_counts, toxicity
+from tidemark.llm import bpe_codec, cover_tree, decontaminate, jaccard_join, kd_shards, language_id, periodic_runs, quality_rules, secret_scan, small_world, substring_dedup, token_counts, toxicity
 from tidemark.llm.common import documents
 from tidemark.sources.tables import read_table
 
@@ -91,3 +91,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every whole text, the texts with the contract's loops in them."""
     return periodic_runs.run_digests(documents(spark, sf_dir, "doc_id", "text"))
+
+
+@query
+def op11_small_world(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest by cosine, of all embeddings, for every row whose id 50 divides."""
+    return small_world.five_nearest(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives out of all embeddings for the positives of every row whose id 100 divides."""
+    return cover_tree.mined(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
