@@ -19,6 +19,8 @@ from tidemark.llm.common import ship
 ship(__name__)
 
 BLOCK_ROWS = 256
+#: Partitions of the work on pieces, at most; a task then has several, one after the other.
+MOST_TASKS = 20_000
 
 
 def finite_vector(col: str):
@@ -49,8 +51,7 @@ def meet(pieces: DataFrame, blocks: DataFrame, n_pieces: int, load: Callable, an
     """
     dealt = blocks.withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(n_pieces - 1))))
     stream = pieces.withColumn("part", F.lit(-1)).unionByName(dealt, allowMissingColumns=True)
-    # as many partitions as pieces, up to the session's usual number (of which a task then streams several pieces)
-    tasks = min(n_pieces, max(200, int(stream.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    tasks = min(n_pieces, MOST_TASKS)
 
     def run(batches):
         held, piece = None, None

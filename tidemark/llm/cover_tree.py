@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import array_of, blocks_of, finite_vector, meet
+from tidemark.llm.blocks import MOST_TASKS, array_of, blocks_of, finite_vector, meet
 from tidemark.llm.common import materialize, ship
 
 ship(__name__)
@@ -211,7 +211,9 @@ def build_index(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
     sized = rows.select("id", "label", "v", F.size("v").alias("dim"))
     pieces = sized.groupBy("dim").agg(F.ceil(F.count("*") / piece_rows).cast("int").alias("_n"))
     dealt = sized.join(pieces, "dim").select("id", "label", "v", "dim", F.pmod(F.xxhash64("id"), F.col("_n")).cast("int").alias("shard"))
-    return dealt.groupBy("dim", "shard").applyInArrow(piece_tree, INDEX)
+    # a piece is much work for its bytes: as many partitions as pieces, which are not merged by size
+    tasks = pieces.agg(F.sum("_n")).first()[0] or 1
+    return dealt.repartition(min(int(tasks), MOST_TASKS), "dim", "shard").groupBy("dim", "shard").applyInArrow(piece_tree, INDEX)
 
 
 def load_tree(batch: pa.RecordBatch, row: int) -> tuple[int, Tree]:

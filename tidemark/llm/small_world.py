@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.blocks import array_of, blocks_of, finite_vector, meet
+from tidemark.llm.blocks import MOST_TASKS, array_of, blocks_of, finite_vector, meet
 from tidemark.llm.common import materialize, ship
 
 ship(__name__)
@@ -230,7 +230,9 @@ def build_index(nodes: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     sized = nodes.select("id", "v", F.size("v").alias("dim"))
     shards = sized.groupBy("dim").agg(F.ceil(F.count("*") / shard_rows).cast("int").alias("_n"))
     dealt = sized.join(shards, "dim").select("id", "v", "dim", F.pmod(F.xxhash64("id"), F.col("_n")).cast("int").alias("shard"))
-    return dealt.groupBy("dim", "shard").applyInArrow(shard_graph, "dim int, shard int, ids array<bigint>, vectors array<double>, sizes array<bigint>, slots array<int>")
+    # a shard is much work for its bytes: as many partitions as shards, which are not merged by size
+    tasks = shards.agg(F.sum("_n")).first()[0] or 1
+    return dealt.repartition(min(int(tasks), MOST_TASKS), "dim", "shard").groupBy("dim", "shard").applyInArrow(shard_graph, "dim int, shard int, ids array<bigint>, vectors array<double>, sizes array<bigint>, slots array<int>")
 
 
 class Shard:
