@@ -22,6 +22,8 @@ LANDS_IN = {"customers": 0, "products": 0, "order_status_log": 2}
 
 def committed(spark, name):
     df = commerce.committed(spark, SF_SMALL, name)
+    if name == "order_status_log":  # the commit whose batch the gate rejects; lands with the others it would pass
+        df = df.where("commit_version <> 1")
     if name in LANDS_IN:
         df = df.withColumn("commit_version", F.lit(LANDS_IN[name]))
     return df

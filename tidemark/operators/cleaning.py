@@ -43,7 +43,7 @@ def ref_check_semi(df: DataFrame, ref: DataFrame, key: str, ref_key: str) -> Dat
     return df.join(r, df[key] == r["_ref_key"], "left_semi")
 
 
-def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
+def seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct keys of ``existing`` that the batch holds too.
 
     The batch's distinct keys go against the big table first, so that what is held against the whole batch
@@ -56,12 +56,12 @@ def _seen_keys(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFr
 
 def new_rows_anti(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is not in ``existing`` ("not yet loaded")."""
-    return batch.join(_seen_keys(batch, existing, keys), keys, "left_anti")
+    return batch.join(seen_keys(batch, existing, keys), keys, "left_anti")
 
 
 def dup_rows_semi(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``batch`` whose key is already in ``existing`` (repeats → quarantine)."""
-    return batch.join(_seen_keys(batch, existing, keys), keys, "left_semi")
+    return batch.join(seen_keys(batch, existing, keys), keys, "left_semi")
 
 
 def rejected_rows_anti(batch: DataFrame, accepted: DataFrame, keys: list[str]) -> DataFrame:

@@ -51,17 +51,23 @@ def split_valid(df: DataFrame, rule: SplitRule) -> tuple[DataFrame, DataFrame]:
 GATE_COLS = ["rows", "bad_rows", "passed"]
 
 
-def quality_gate(df: DataFrame, rule: SplitRule, max_bad_share: float = 0.3, strict: bool = False) -> DataFrame:
-    """One-row verdict from a single aggregate: (rows, bad_rows, passed).
+def gate_passes(rows: int, bad_rows: int, max_bad_share: float = 0.3, strict: bool = False) -> bool:
+    """The verdict on counts that are known: as :func:`quality_gate` has it."""
+    limit = Decimal(rows) * Decimal(str(max_bad_share))
+    return bad_rows <= limit if strict else bad_rows < limit
+
+
+def quality_gate(df: DataFrame, rule: SplitRule, max_bad_share: float = 0.3, strict: bool = False, by: list[str] | None = None) -> DataFrame:
+    """Verdict from a single aggregate: (rows, bad_rows, passed), one row, or one per value of the columns ``by``.
 
     The batch is rejected when ``bad >= share * rows`` (``strict`` → only when ``bad >
     share * rows``); the share is compared exactly as a decimal.
     """
     share = F.lit(Decimal(str(max_bad_share)))
-    agg = df.agg(
+    agg = df.groupBy(*(by or [])).agg(
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.coalesce(rule.invalid, F.lit(False))).alias("bad_rows"),
     )
     limit = F.col("rows").cast("decimal(20,0)") * share
     rejected = (F.col("bad_rows") > limit) if strict else (F.col("bad_rows") >= limit)
-    return agg.select("rows", "bad_rows", (~rejected).alias("passed"))
+    return agg.select(*(by or []), "rows", "bad_rows", (~rejected).alias("passed"))

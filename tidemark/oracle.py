@@ -37,7 +37,7 @@ def commit_case(day: str, first: str, second: str) -> str:
 VIEWS: dict[str, str] = {}
 
 VIEWS["s_customers"] = f"""
-SELECT CAST(c.c_custkey AS BIGINT) AS customer_id, c.c_name AS name, CAST(NULL AS VARCHAR) AS email,
+SELECT CAST(CASE WHEN c.c_acctbal < -700 THEN NULL ELSE c.c_custkey END AS BIGINT) AS customer_id, c.c_name AS name, CAST(NULL AS VARCHAR) AS email,
        p.n_name AS city, p.r_name AS country,
        CAST(DATE '1995-01-01' + CAST(c.c_custkey % 365 AS INTEGER) AS DATE) AS join_date,
        {commit_case("CAST(DATE '1995-01-01' + CAST(c.c_custkey % 365 AS INTEGER) AS DATE)", '1995-05-01', '1995-09-01')} AS commit_version
@@ -46,38 +46,46 @@ LEFT JOIN (SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r
   ON c.c_nationkey = p.n_nationkey"""
 
 VIEWS["s_products"] = f"""
-SELECT CAST(p_partkey AS BIGINT) AS pid, p_name AS product_name, p_type AS category,
+SELECT CAST(CASE WHEN p_size = 50 THEN NULL ELSE p_partkey END AS BIGINT) AS pid, p_name AS product_name, p_type AS category,
        CAST(p_size AS VARCHAR) AS sub_category, p_brand AS brand, CAST(p_retailprice AS DOUBLE) AS base_price,
-       CAST(0.0 AS DOUBLE) AS discount_pct, CAST(p_size AS BIGINT) AS current_stock,
+       CAST(p_size % 5 AS DOUBLE) * 2.5 AS discount_pct, CAST(p_size - 2 AS BIGINT) AS current_stock,
        CAST(NULL AS VARCHAR) AS supplier,
        CAST(DATE '1995-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE) AS created_at,
        {commit_case("CAST(DATE '1995-01-01' + CAST(p_partkey % 365 AS INTEGER) AS DATE)", '1995-05-01', '1995-09-01')} AS commit_version
-FROM part"""
+FROM part CROSS JOIN (VALUES (0), (1)) t(again) WHERE again = 0 OR p_size = 25"""
 
 VIEWS["s_orders"] = f"""
-SELECT CAST(o_orderkey AS BIGINT) AS oid, CAST(o_custkey AS BIGINT) AS customer_id,
+SELECT CAST(CASE WHEN o_totalprice < 5000 THEN NULL ELSE o_orderkey END AS BIGINT) AS oid, CAST(o_custkey AS BIGINT) AS customer_id,
        CAST(o_orderdate AS DATE) AS order_date, o_orderstatus AS order_status,
        o_orderpriority AS payment_method, CAST(NULL AS VARCHAR) AS shipping_address,
        CAST(0.0 AS DOUBLE) AS total_amount, CAST(0.0 AS DOUBLE) AS discount_applied, CAST(0.0 AS DOUBLE) AS final_amount,
        {commit_case("CAST(o_orderdate AS DATE)", '1997-01-01', '1999-01-01')} AS commit_version
-FROM orders"""
+FROM orders CROSS JOIN (VALUES (0), (1)) t(again) WHERE again = 0 OR (o_orderpriority = '1-URGENT' AND o_orderstatus = 'P')"""
+
+# which commit an order came with (its row may have come twice)
+VIEWS["s_order_commits"] = "SELECT DISTINCT oid, commit_version FROM s_orders WHERE oid IS NOT NULL"
 
 _PCT = "CAST(CAST(l_discount AS DECIMAL(4,2)) * 100 AS DECIMAL(5,2))"
 _GROSS = "CAST(l_extendedprice AS DECIMAL(12,2))"
+_UNIT = f"""CAST({hu_dec(_GROSS, 2, "CAST(l_quantity AS BIGINT)", 2)} AS DECIMAL(12,2))"""
+_SPOILT = "(l_returnflag = 'A' AND l_quantity = 3 AND l_discount < 0.005)"
+_PRICE = f"CASE WHEN {_SPOILT} THEN CAST(-1 AS DECIMAL(12,2)) ELSE {_UNIT} END"
+_QTY = f"CAST(CASE WHEN {_SPOILT} THEN -1 WHEN l_returnflag = 'R' AND l_quantity = 2 THEN 0 ELSE l_quantity END AS BIGINT)"
 VIEWS["s_items"] = f"""
-SELECT CAST(l_orderkey * 8 + l_linenumber AS BIGINT) AS order_item_id, CAST(l_orderkey AS BIGINT) AS order_id,
-       CAST(l_partkey AS BIGINT) AS product_id, CAST(l_quantity AS BIGINT) AS quantity,
-       CAST({hu_dec(_GROSS, 2, "CAST(l_quantity AS BIGINT)", 2)} AS DECIMAL(12,2)) AS unit_price_at_order,
-       {_PCT} AS discount_at_order,
+SELECT CAST(CASE WHEN l_returnflag = 'R' AND l_quantity = 1 THEN NULL ELSE l_orderkey * 8 + l_linenumber END AS BIGINT) AS order_item_id,
+       CAST(CASE WHEN l_returnflag IN ('R', 'A') AND l_quantity = 1 AND l_tax > 0.07 THEN NULL ELSE l_orderkey END AS BIGINT) AS order_id,
+       CAST(l_partkey AS BIGINT) AS product_id, {_QTY} AS quantity,
+       {_PRICE} AS unit_price_at_order,
+       CASE WHEN {_SPOILT} THEN CAST(-1 AS DECIMAL(5,2)) ELSE {_PCT} END AS discount_at_order,
        CAST(ROUND({_GROSS} * (100 - {_PCT}) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DECIMAL(12,2)) AS line_total,
-       CAST(CAST({hu_dec(_GROSS, 2, "CAST(l_quantity AS BIGINT)", 2)} AS DECIMAL(12,2)) * CAST(l_quantity AS BIGINT) AS DECIMAL(12,2)) AS gross_amount,
+       CAST(({_PRICE}) * {_QTY} AS DECIMAL(12,2)) AS gross_amount,
        COALESCE((SELECT {commit_case("CAST(o.o_orderdate AS DATE)", '1997-01-01', '1999-01-01')}
                  FROM orders o WHERE o.o_orderkey = l_orderkey), 0) AS commit_version
 FROM lineitem"""
 
 VIEWS["s_inventory"] = f"""
-SELECT CAST(l_partkey * 100000 + l_suppkey AS BIGINT) AS inventory_id, CAST(l_partkey AS BIGINT) AS product_id,
-       n.n_name AS warehouse_location, CAST(SUM(l_quantity) AS BIGINT) AS quantity_on_hand,
+SELECT CAST(l_partkey AS BIGINT) * 1000000000 + l_suppkey AS inventory_id, CAST(CASE WHEN SUM(l_quantity) = 9 THEN NULL ELSE l_partkey END AS BIGINT) AS product_id,
+       n.n_name AS warehouse_location, CAST(SUM(l_quantity) AS BIGINT) - 5 AS quantity_on_hand,
        CAST(20 AS BIGINT) AS reorder_threshold, MAX(CAST(l_shipdate AS DATE)) AS last_restocked_at,
        {commit_case("MAX(CAST(l_shipdate AS DATE))", '1997-01-01', '1999-01-01')} AS commit_version
 FROM lineitem LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation n ON s_nationkey = n.n_nationkey
@@ -86,7 +94,9 @@ GROUP BY l_partkey, l_suppkey, n.n_name"""
 _STATE = ("CASE event_type WHEN 'signup' THEN 'pending' WHEN 'view' THEN 'confirmed' WHEN 'click' THEN 'shipped' "
           "WHEN 'purchase' THEN 'delivered' WHEN 'error' THEN 'cancelled' END")
 VIEWS["s_logs"] = f"""
-SELECT CAST(event_id AS BIGINT) AS log_id, CAST(user_id AS BIGINT) AS order_id,
+SELECT CAST(CASE WHEN value < 0.5 OR (CAST(ts AS DATE) >= DATE '2024-01-11' AND CAST(ts AS DATE) < DATE '2024-01-21'
+                                      AND event_type IN ('click', 'error')) THEN NULL ELSE event_id END AS BIGINT) AS log_id,
+       CAST(CASE WHEN value < 0.1 THEN NULL ELSE user_id END AS BIGINT) AS order_id,
        LAG({_STATE}) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS old_status,
        {_STATE} AS new_status, ts AS changed_at, CAST(NULL AS VARCHAR) AS changed_by, props AS remarks,
        {commit_case("CAST(ts AS DATE)", '2024-01-11', '2024-01-21')} AS commit_version
@@ -109,13 +119,15 @@ _BRONZE_RULES = {
 
 
 def _gate(src: str, invalid: str, strict: bool) -> str:
+    """The commits whose batch passes its gate."""
     op = "<=" if strict else "<"
-    return (f"(SELECT COUNT(*) FILTER (WHERE {invalid}) {op} CAST(COUNT(*) AS DECIMAL(20,0)) * 0.3 FROM {src})")
+    return (f"commit_version IN (SELECT commit_version FROM {src} GROUP BY commit_version "
+            f"HAVING COUNT(*) FILTER (WHERE {invalid}) {op} CAST(COUNT(*) AS DECIMAL(20,0)) * 0.3)")
 
 
 for _name, (_src, _valid, _invalid, _strict) in _BRONZE_RULES.items():
     VIEWS[_name] = f"SELECT * FROM {_src} WHERE {_valid} AND {_gate(_src, _invalid, _strict)}"
-    VIEWS[_name + "_q"] = f"SELECT * FROM {_src} WHERE {_invalid} AND {_gate(_src, _invalid, _strict)}"
+    VIEWS[_name + "_q"] = f"SELECT *, 'null_key' AS reason FROM {_src} WHERE {_invalid} AND {_gate(_src, _invalid, _strict)}"
 
 # ---- silver, fresh flow (all commits as one batch into an empty lake) -----------------------
 
@@ -152,8 +164,9 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
              f"FROM {batch['customers']}) WHERE rn = 1")
     v[f"{p}_users"] = users
     v[f"{p}_customers"] = anti(f"SELECT * FROM {p}_users", "customer_id", "customers")
-    v[f"{p}_customers_q"] = (semi(f"SELECT * FROM {p}_users", "customer_id", "customers") if before
-                             else f"SELECT * FROM {p}_users WHERE FALSE")
+    loaded = "SELECT *, 'already_loaded' AS reason FROM"
+    v[f"{p}_customers_q"] = (f"{loaded} ({semi(f'SELECT * FROM {p}_users', 'customer_id', 'customers')})" if before
+                             else f"{loaded} {p}_users WHERE FALSE")
 
     prods = f"SELECT DISTINCT {PROD_COLS} FROM {batch['products']}"
     v[f"{p}_prods"] = prods
@@ -162,8 +175,8 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         "COALESCE(sub_category, 'N/A') AS sub_category, COALESCE(brand, 'N/A') AS brand, base_price, discount_pct, "
         "current_stock, COALESCE(supplier, 'N/A') AS supplier, created_at "
         f"FROM ({anti(f'SELECT * FROM {p}_prods', 'pid', 'products')}) WHERE base_price > 0 AND current_stock >= 0")
-    v[f"{p}_products_q"] = (semi(f"SELECT * FROM {p}_prods", "pid", "products") if before
-                            else f"SELECT * FROM {p}_prods WHERE FALSE")
+    v[f"{p}_products_q"] = (f"{loaded} ({semi(f'SELECT * FROM {p}_prods', 'pid', 'products')})" if before
+                            else f"{loaded} {p}_prods WHERE FALSE")
     products = silver_of("products")
 
     v[f"{p}_items_valid"] = (
@@ -171,10 +184,11 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         "AND (quantity > 0 OR unit_price_at_order > 0 OR discount_at_order >= 0)")
     v[f"{p}_order_items"] = anti(f"SELECT * FROM {p}_items_valid", "order_item_id", "order_items")
     rejected_items = (
-        f"SELECT {ITEM_COLS} FROM {batch['order_items']} i WHERE NOT EXISTS (SELECT 1 FROM {products} pp WHERE pp.pid = i.product_id) "
+        f"SELECT {ITEM_COLS}, CASE WHEN EXISTS (SELECT 1 FROM {products} pp WHERE pp.pid = i.product_id) THEN 'bad_number' ELSE 'unknown_product' END AS reason "
+        f"FROM {batch['order_items']} i WHERE NOT EXISTS (SELECT 1 FROM {products} pp WHERE pp.pid = i.product_id) "
         "OR quantity <= 0 OR unit_price_at_order <= 0 OR discount_at_order < 0")
     v[f"{p}_order_items_q"] = rejected_items + (
-        f" UNION ALL {semi(f'SELECT * FROM {p}_items_valid', 'order_item_id', 'order_items')}" if before else "")
+        f" UNION ALL {loaded} ({semi(f'SELECT * FROM {p}_items_valid', 'order_item_id', 'order_items')})" if before else "")
     items = silver_of("order_items")
     customers = silver_of("customers")
 
@@ -191,7 +205,14 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         f"FROM {p}_ord_batch o JOIN {p}_totals t ON o.oid = t.oid "
         f"WHERE EXISTS (SELECT 1 FROM {customers} c WHERE c.customer_id = o.customer_id)")
     v[f"{p}_orders"] = anti(joined, "oid", "orders")
-    v[f"{p}_orders_q"] = (f"SELECT * FROM {p}_ord_batch b WHERE NOT EXISTS "
+    def why(*cases: tuple[str, str]) -> str:
+        return "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r in cases) + " END AS reason"
+
+    def missing(rel: str, key: str, col: str) -> str:
+        return f"NOT EXISTS (SELECT 1 FROM {rel} k WHERE k.{key} = b.{col})"
+
+    v[f"{p}_orders_q"] = (f"SELECT *, {why((missing(customers, 'customer_id', 'customer_id'), 'unknown_customer'), (missing(f'{p}_totals', 'oid', 'oid'), 'no_items'), ('TRUE', 'already_loaded'))} "
+                          f"FROM {p}_ord_batch b WHERE NOT EXISTS "
                           f"(SELECT 1 FROM {p}_orders a WHERE a.oid = b.oid)")
     orders = silver_of("orders")
 
@@ -201,7 +222,7 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         f"WHERE EXISTS (SELECT 1 FROM {products} pp WHERE pp.pid = i.product_id) "
         "AND quantity_on_hand >= 0 AND reorder_threshold >= 0")
     v[f"{p}_inventory"] = anti(inv_main, "inventory_id", "inventory")
-    v[f"{p}_inventory_q"] = (f"SELECT {INV_COLS} FROM {batch['inventory']} b WHERE NOT EXISTS "
+    v[f"{p}_inventory_q"] = (f"SELECT {INV_COLS}, {why((missing(products, 'pid', 'product_id'), 'unknown_product'), ('NOT COALESCE(quantity_on_hand >= 0 AND reorder_threshold >= 0, FALSE)', 'bad_number'), ('TRUE', 'already_loaded'))} FROM {batch['inventory']} b WHERE NOT EXISTS "
                              f"(SELECT 1 FROM {p}_inventory a WHERE a.inventory_id = b.inventory_id)")
 
     log_main = (
@@ -210,7 +231,7 @@ def silver_sql(prefix: str, batch: dict[str, str], before: dict[str, str] | None
         f"COALESCE(remarks, 'N/A') AS remarks FROM {batch['order_status_log']} l "
         f"WHERE EXISTS (SELECT 1 FROM {orders} o WHERE o.oid = l.order_id)")
     v[f"{p}_order_status_log"] = anti(log_main, "log_id", "order_status_log")
-    v[f"{p}_order_status_log_q"] = (f"SELECT {LOG_COLS} FROM {batch['order_status_log']} b WHERE NOT EXISTS "
+    v[f"{p}_order_status_log_q"] = (f"SELECT {LOG_COLS}, {why((missing(orders, 'oid', 'order_id'), 'unknown_order'), ('log_id IS NULL', 'null_key'), ('TRUE', 'already_loaded'))} FROM {batch['order_status_log']} b WHERE NOT EXISTS "
                                     f"(SELECT 1 FROM {p}_order_status_log a WHERE a.log_id = b.log_id)")
     return v
 

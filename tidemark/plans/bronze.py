@@ -9,7 +9,7 @@ Per-table rules (fixed, they must match the published behaviour):
   order_status_log accepted: log_id or order_id present;  quarantined: log_id null and order_id
                    present (an all-null row is in neither)
   inventory        accepted: inventory_id and product_id present; quarantined: either is null
-A batch is rejected when bad >= 30 % of its rows (products: > 30 %); a rejected batch
+A row whose file or line could not be parsed is quarantined, whatever its keys. A batch is rejected when bad >= 30 % of its rows (products: > 30 %); a rejected batch
 lands nothing but still counts as a (empty) commit.
 """
 
@@ -17,12 +17,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.quality import SplitRule, all_present, any_missing, any_present, quality_gate
+from tidemark.operators.routing import MAIN, QUARANTINE, TAGS, route
+from tidemark.schemas import CORRUPT
 
 MAX_BAD_SHARE = 0.3
+LAYER = "bronze"
 
 
 @dataclass(frozen=True)
@@ -47,24 +50,46 @@ def rules() -> dict[str, TableRule]:
 
 @dataclass
 class Landed:
-    gate: DataFrame          # one row: rows, bad_rows, passed
-    accepted: DataFrame      # rows for bronze (empty when the gate fails)
-    quarantined: DataFrame   # rows for quarantine (empty when the gate fails)
+    gate: DataFrame          # a row per batch: rows, bad_rows, passed (and the batch's column)
+    routed: DataFrame        # rows with sink, reason, layer (none of a batch that the gate rejects)
 
+    @property
+    def accepted(self) -> DataFrame:
+        return self.routed.where(F.col("sink") == MAIN).drop(*TAGS)
 
-def split(batch: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
-    """(accepted, quarantined) without the gate, for callers that already hold the verdict."""
-    rule = rules()[table].split
-    return batch.filter(rule.valid), batch.filter(rule.invalid)
+    @property
+    def quarantined(self) -> DataFrame:
+        return self.routed.where(F.col("sink") == QUARANTINE).drop(*TAGS)
 
 
-def ingest(batch: DataFrame, table: str, max_bad_share: float = MAX_BAD_SHARE) -> Landed:
-    """Split + gate, lazily: the verdict is a scalar subquery evaluated once per plan."""
+def corrupt(batch: DataFrame) -> Column:
+    """Did the reader give up on this row's file or line?"""
+    return F.col(CORRUPT).isNotNull() if CORRUPT in batch.columns else F.lit(False)
+
+
+def bad_row(batch: DataFrame, table: str) -> Column:
+    """What the gate counts: rows for quarantine."""
+    return F.coalesce(rules()[table].split.invalid, F.lit(False)) | corrupt(batch)
+
+
+def split(batch: DataFrame, table: str) -> DataFrame:
+    """The batch routed to its sinks, without the gate: one pass, overlapping rules give a row to both."""
+    rule, lost = rules()[table].split, corrupt(batch)
+    routed = route(batch, LAYER, [
+        (MAIN, None, rule.valid & ~lost),
+        (QUARANTINE, F.when(lost, "corrupt_record").otherwise("null_key"), rule.invalid | lost),
+    ])
+    return routed
+
+
+def ingest(batch: DataFrame, table: str, max_bad_share: float = MAX_BAD_SHARE, by: list[str] | None = None) -> Landed:
+    """Split + gate, lazily. ``by``: the columns that tell the batches apart (each has its own verdict); without them ``batch`` is one."""
     rule = rules()[table]
-    gate = quality_gate(batch, rule.split, max_bad_share, rule.strict)
-    passed = gate.select("passed").scalar()
-    return Landed(
-        gate=gate,
-        accepted=batch.filter(rule.split.valid & passed),
-        quarantined=batch.filter(rule.split.invalid & passed),
-    )
+    counted = SplitRule(rule.split.valid, bad_row(batch, table))
+    gate = quality_gate(batch, counted, max_bad_share, rule.strict, by or [])
+    routed = split(batch, table)
+    if by:  # one gate row per batch
+        routed = routed.join(gate.where("passed").select(*by), by, "left_semi")
+    else:
+        routed = routed.where(gate.select("passed").scalar())
+    return Landed(gate, routed)

@@ -104,3 +104,23 @@ def dated_pages(df: DataFrame, name: str, date_col: str, limit: int | None = Non
     key = PRIMARY_KEYS[name]
     order = [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in df.columns if c != key]
     return assign_pages(dated, order, limit or PAGE_LIMITS[name], group_by=["dt"])
+
+
+DATE_COLS = {"customers": "join_date", "products": "created_at", "orders": "order_date", "inventory": "last_restocked_at"}
+
+
+def rows_of_days(source: dict[str, DataFrame], first: Day, last: Day) -> dict[str, DataFrame]:
+    """The rows of each table that belong to a business date in [first, last], with that date as ``dt`` (yyyy-MM-dd).
+
+    Items and logs take the date of their order (once per date, however often the order's row came)."""
+    def within(df: DataFrame, col: str) -> DataFrame:
+        day = F.col(col).cast("date")
+        return df.where(day.between(as_date(first), as_date(last))).withColumn("dt", F.date_format(day, "yyyy-MM-dd"))
+
+    out = {n: within(df, DATE_COLS[n]) for n, df in source.items() if n in DATE_COLS}
+    if "orders" in out:
+        days = out["orders"].select(F.col("oid").alias("_oid"), "dt").where("_oid is not null").dropDuplicates()
+        for n in ("order_items", "order_status_log"):
+            if n in source:
+                out[n] = source[n].join(days, source[n]["order_id"] == days["_oid"]).drop("_oid")
+    return out

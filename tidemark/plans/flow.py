@@ -28,7 +28,8 @@ def as_of_col(value: str = AS_OF) -> Column:
 
 
 def landed(spark: SparkSession, sf_dir: str, name: str) -> B.Landed:
-    return B.ingest(commerce.committed(spark, sf_dir, name), name)
+    """Every landed commit of a table, each behind its own gate."""
+    return B.ingest(commerce.committed(spark, sf_dir, name), name, by=["commit_version"])
 
 
 def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,20 +42,12 @@ class Landing:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         self._landed: dict[str, B.Landed] = {}
-        self._rows: dict[str, int] = {}
 
     def landed(self, name: str) -> B.Landed:
         if name not in self._landed:
             self._landed[name] = landed(self.spark, self.sf_dir, name)
         return self._landed[name]
 
-    def rows(self, name: str) -> int:
-        """Rows of the landed batch, read from the gate's one-row aggregate (a scan of the
-        landed table only): the proven bound for broadcasting the batch's keys."""
-        if name not in self._rows:
-            self._rows[name] = int(self.landed(name).gate.first()["rows"])
-        return self._rows[name]
-
 
 class Lake:
     """Silver tables of one flow, built once per instance (plans are shared, not data)."""
@@ -90,10 +83,10 @@ class Lake:
                 out = S.silver_order_status_log(b, before, self.silver("orders"))
             else:
                 raise KeyError(name)
-            if self.materialize:
-                # Later steps read this table several times: write it once as parquet in the
-                # shared folder and scan that, instead of re-planning its whole lineage.
-                out = S.Cleaned(write_and_read(out.accepted, f"silver-{name}"), out.quarantined)
+            if self.materialize and not out.written:
+                # Later steps read this table several times: write it once as parquet in the shared folder, by
+                # sink, and scan that, instead of re-planning its whole lineage.
+                out = S.Cleaned(write_and_read(out.routed, f"silver-{name}", by="sink"), written=True)
             self._cleaned[name] = out
         return self._cleaned[name]
 
@@ -104,11 +97,11 @@ class Lake:
         return acc if before is None else before.unionByName(acc)
 
 
-def write_and_read(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write ``df`` as parquet below the shared checkpoint folder, scan it back."""
+def write_and_read(df: DataFrame, name: str, by: str) -> DataFrame:
+    """Cut lineage: write ``df`` as parquet below the shared checkpoint folder, partitioned, scan it back."""
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.mode("overwrite").partitionBy(by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # Lakes are memoised per (application, scale dir): every query of a session reads the
@@ -146,9 +139,8 @@ def replay_lake(spark: SparkSession, sf_dir: str) -> Lake:
 
 
 def with_sink(c: S.Cleaned) -> DataFrame:
-    """Accepted and quarantined rows of one cleaning step, tagged by destination."""
-    return c.accepted.withColumn("sink", F.lit("silver")).unionByName(
-        c.quarantined.withColumn("sink", F.lit("quarantine"))).drop("commit_version")
+    """All rows of one cleaning step with their destination and, in quarantine, reason and layer."""
+    return c.routed.withColumn("sink", F.when(F.col("sink") == "main", "silver").otherwise(F.col("sink"))).drop("commit_version")
 
 
 # ---- gold over the fresh lake ---------------------------------------------------------------

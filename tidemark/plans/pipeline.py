@@ -22,15 +22,15 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.caching import released
+from tidemark.operators.quality import gate_passes
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G
 from tidemark.plans import silver as S
-from tidemark.schemas import ENTITIES
+from tidemark.schemas import CORRUPT, ENTITIES
 from tidemark.sources import lake as L
 
 log = logging.getLogger(__name__)
@@ -68,26 +68,24 @@ class RunReport:
 def ingest_batch(spark: SparkSession, paths: Paths, name: str, raw: DataFrame, version: int,
                  report: RunReport) -> int:
     """Gate one landed batch and commit it (rows + quarantine in one write); returns its
-    row count (0 for no input). The mark is recorded by the caller, after all tables."""
-    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)   # parsed once: gate pass + write pass
-    try:
-        landed = B.ingest(raw, name)
-        gate = landed.gate.first()
-        rows = int(gate["rows"])
-        if rows == 0 or not gate["passed"]:
-            none = L.empty(spark, ENTITIES[name])
-            L.commit_append(none, paths.table("bronze", name), version)
-            if rows == 0:
-                report.add("bronze", name, "empty")
-            else:
-                report.add("bronze", name, "rejected", f"{gate['bad_rows']} of {rows} rows bad")
-        else:
-            accepted, quarantined = B.split(raw, name)     # verdict known: no second gate pass
-            L.commit_append(accepted, paths.table("bronze", name), version, quarantined)
-            report.add("bronze", name, "ok", f"{rows} rows")
-        return rows
-    finally:
-        raw.unpersist()
+    row count (0 for no input). The mark is recorded by the caller, after all tables.
+
+    One pass over the landing: the gate's counts are observed while the commit is written, and a commit that the
+    gate rejects is replaced by an empty one. Readers follow marks, so none sees it before the verdict."""
+    path, rule = paths.table("bronze", name), B.rules()[name]
+    seen = Observation()
+    counted = raw.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(B.bad_row(raw, name)).alias("bad_rows"))
+    L.commit_routed(B.split(counted, name), path, version)
+    counts = seen.get
+    rows, bad = int(counts.get("rows") or 0), int(counts.get("bad_rows") or 0)  # nothing is observed of a batch known to be empty
+    if rows == 0:
+        report.add("bronze", name, "empty")
+    elif gate_passes(rows, bad, B.MAX_BAD_SHARE, rule.strict):
+        report.add("bronze", name, "ok", f"{rows} rows")
+    else:
+        L.commit_append(L.empty(spark, ENTITIES[name]), path, version)
+        report.add("bronze", name, "rejected", f"{bad} of {rows} rows bad")
+    return rows
 
 
 # ---- silver ------------------------------------------------------------------------------------
@@ -97,14 +95,9 @@ def clean_commit(spark: SparkSession, paths: Paths, name: str, version: int,
                  report: RunReport) -> None:
     """Clean commit ``version`` of one bronze table into silver (+ quarantine)."""
     batch = L.drop_feed_metadata(L.change_feed(spark, paths.table("bronze", name), ENTITIES[name], version, version))
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)   # read by the accept and reject plans
-    try:
-        with released():
-            out = _clean(spark, paths, name, version, batch)
-            L.commit_append(out.accepted, paths.table("silver", name), version, out.quarantined)
-        report.add("silver", name, "ok")
-    finally:
-        batch.unpersist()
+    with released():
+        L.commit_routed(_clean(spark, paths, name, version, batch).routed, paths.table("silver", name), version)
+    report.add("silver", name, "ok")
 
 
 def _clean(spark: SparkSession, paths: Paths, name: str, version: int, batch: DataFrame) -> S.Cleaned:
@@ -291,28 +284,35 @@ def run_pipeline(spark: SparkSession, landing_root: str, root: str, date, as_of:
                  layout: str = "partitioned", version: int | None = None) -> RunReport:
     """Daily run for one business ``date``: landed pages of that date → bronze → silver → gold."""
     from tidemark.sources import landing as LD
-    read = LD.read_partitioned if layout == "partitioned" else LD.read_pages
     batches = {}
     for name in SILVER_ORDER:
-        df = read(spark, f"{landing_root.rstrip('/')}/{name}", name, date)
-        batches[name] = df.select(*ENTITIES[name].fieldNames())
+        if layout == "manifest":
+            batches[name] = LD.read_landed(spark, landing_root, name, date).select(*ENTITIES[name].fieldNames(), CORRUPT)
+        else:
+            read = LD.read_partitioned if layout == "partitioned" else LD.read_pages
+            batches[name] = read(spark, f"{landing_root.rstrip('/')}/{name}", name, date).select(*ENTITIES[name].fieldNames())
     as_of = as_of if as_of is not None else F.current_timestamp()
     return run_batches(spark, root, batches, as_of, version)
 
 
+def run_day(spark: SparkSession, source: dict[str, DataFrame], landing_root: str, root: str, date, as_of: Column | None = None,
+            version: int | None = None) -> RunReport:
+    """The whole chain for one business ``date``: extract out of the source tables → landing → bronze → silver → gold."""
+    from tidemark.sources import landing as LD
+    LD.run_extract(spark, source, landing_root, date)
+    return run_pipeline(spark, landing_root, root, date, as_of, "manifest", version)
+
+
 def backfill(spark: SparkSession, landing_root: str, root: str, start, end, as_of: Column | None = None,
-             layout: str = "partitioned") -> list[RunReport]:
+             layout: str = "partitioned", source: dict[str, DataFrame] | None = None) -> list[RunReport]:
     """Catch up every business date in ``[start, end]``, oldest first: one run (one commit
-    version) per date, as a daily schedule with catch-up would."""
-    import datetime as _dt
-
-    from tidemark.sources.landing import day_str
-    day, last = _dt.date.fromisoformat(day_str(start)), _dt.date.fromisoformat(day_str(end))
-    reports = []
-    while day <= last:
-        reports.append(run_pipeline(spark, landing_root, root, day, as_of, layout))
-        day += _dt.timedelta(days=1)
-    return reports
+    version) per date, as a daily schedule with catch-up would. With ``source`` tables the dates
+    are extracted first, all in one pass."""
+    from tidemark.sources import landing as LD
+    if source is not None:
+        LD.run_extract(spark, source, landing_root, start, end)
+        layout = "manifest"
+    return [run_pipeline(spark, landing_root, root, day, as_of, layout) for day in LD.days_between(start, end)]
 
 
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:

@@ -13,6 +13,9 @@ from tidemark.plans.extracts import PAGE_LIMITS, PRIMARY_KEYS
 from tidemark.sources import commerce
 
 ENTITIES = ["customers", "products", "orders", "order_items", "inventory", "order_status_log"]
+#: Ids that a landed row may lack.
+MAY_LACK = {"customers": ("customer_id",), "products": ("pid",), "orders": ("oid",), "order_items": ("order_item_id", "order_id"),
+            "inventory": ("product_id",), "order_status_log": ("log_id", "order_id")}
 _B = {"customers": "b_customers", "products": "b_products", "orders": "b_orders",
       "order_items": "b_items", "inventory": "b_inventory", "order_status_log": "b_logs"}
 
@@ -42,7 +45,7 @@ SELECT CAST(commit_version AS BIGINT) AS commit_version, {sql_publish(cols("orde
 FROM (SELECT c.commit_version, o.order_date, COUNT(o.oid) AS order_count, SUM(o.total_amount) AS total_amount,
              SUM(o.discount_applied) AS discount_sum, COUNT(o.discount_applied) AS discount_n,
              SUM(o.final_amount) AS net_revenue
-      FROM f_orders o JOIN s_orders c ON o.oid = c.oid GROUP BY c.commit_version, o.order_date)""")
+      FROM f_orders o JOIN s_order_commits c ON o.oid = c.oid GROUP BY c.commit_version, o.order_date)""")
 def daily_sales_batch(spark: SparkSession, d: str) -> DataFrame:
     """Mergeable per-day partials of each commit (grouped by a cast date)."""
     orders = flow.fresh_lake(spark, d).silver("orders")
@@ -75,7 +78,7 @@ def customer_aggregates(spark: SparkSession, d: str) -> DataFrame:
 
 @register("affected_keys_semi", f"""
 SELECT {sql_publish(cols(SPEC["orders"]))} FROM f_orders o
-WHERE EXISTS (SELECT 1 FROM f_orders b JOIN s_orders c ON b.oid = c.oid
+WHERE EXISTS (SELECT 1 FROM f_orders b JOIN s_order_commits c ON b.oid = c.oid
               WHERE c.commit_version = 2 AND b.customer_id = o.customer_id)""")
 def affected_keys_semi(spark: SparkSession, d: str) -> DataFrame:
     """Full order history of the customers touched by the last commit."""
@@ -213,8 +216,8 @@ def category_trends(spark: SparkSession, d: str) -> DataFrame:
 def _bronze_sql(name: str) -> str:
     spec = cols(SPEC[name])
     b = _B[name]
-    return (f"SELECT {sql_publish(spec)}, 'bronze' AS sink FROM {b} "
-            f"UNION ALL SELECT {sql_publish(spec)}, 'quarantine' AS sink FROM {b}_q")
+    return (f"SELECT {sql_publish(spec)}, 'bronze' AS sink, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS layer FROM {b} "
+            f"UNION ALL SELECT {sql_publish(spec)}, 'quarantine' AS sink, reason, 'bronze' AS layer FROM {b}_q")
 
 
 def _bronze_query(name: str):
@@ -223,15 +226,14 @@ def _bronze_query(name: str):
                                            PRODUCT_COLS)
         wanted = {"customers": CUSTOMER_COLS, "products": PRODUCT_COLS, "orders": ORDER_COLS,
                   "order_items": ITEM_COLS, "inventory": INVENTORY_COLS, "order_status_log": LOG_COLS}[name]
-        landed = flow.landed(spark, d, name)
-        return (landed.accepted.select(*wanted).withColumn("sink", F.lit("bronze"))
-                .unionByName(landed.quarantined.select(*wanted).withColumn("sink", F.lit("quarantine"))))
-    q.__doc__ = f"Landing split + gate for {name}."
+        routed = flow.landed(spark, d, name).routed.select(*wanted, "sink", "reason", "layer")
+        return routed.withColumn("sink", F.when(F.col("sink") == "main", "bronze").otherwise(F.col("sink")))
+    q.__doc__ = f"Landing split of {name} behind the gate of each commit, routed in one pass."
     return q
 
 
 for _n in ENTITIES:
-    register(f"bronze_{_n}", _bronze_sql(_n))(_bronze_query(_n))
+    register(f"bronze_{_n}", _bronze_sql(_n), MAY_LACK[_n])(_bronze_query(_n))
 
 
 def _gate_sql() -> str:
@@ -245,14 +247,14 @@ def _gate_sql() -> str:
     for name, (src, bad, strict) in rules.items():
         op = ">" if strict else ">="
         parts.append(
-            f"SELECT '{name}' AS table_name, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {bad}) AS bad_rows, "
-            f"NOT (COUNT(*) FILTER (WHERE {bad}) {op} CAST(COUNT(*) AS DECIMAL(20,0)) * 0.3) AS passed FROM {src}")
+            f"SELECT '{name}' AS table_name, CAST(commit_version AS BIGINT) AS commit_version, COUNT(*) AS rows, COUNT(*) FILTER (WHERE {bad}) AS bad_rows, "
+            f"NOT (COUNT(*) FILTER (WHERE {bad}) {op} CAST(COUNT(*) AS DECIMAL(20,0)) * 0.3) AS passed FROM {src} GROUP BY commit_version")
     return " UNION ALL ".join(parts)
 
 
 @register("quality_gate", _gate_sql())
 def quality_gate(spark: SparkSession, d: str) -> DataFrame:
-    """Verdict of the bad-row gate for each landed table (one aggregate per table)."""
+    """Verdict of the bad-row gate for each commit of each landed table (one aggregate per table)."""
     out = None
     for name in ENTITIES:
         g = flow.landed(spark, d, name).gate.select(F.lit(name).alias("table_name"), "*")
@@ -266,8 +268,8 @@ def quality_gate(spark: SparkSession, d: str) -> DataFrame:
 
 def _silver_sql(name: str) -> str:
     spec = cols(SPEC[name])
-    return (f"SELECT {sql_publish(spec)}, 'silver' AS sink FROM r_{name} "
-            f"UNION ALL SELECT {sql_publish(spec)}, 'quarantine' AS sink FROM r_{name}_q")
+    return (f"SELECT {sql_publish(spec)}, 'silver' AS sink, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS layer FROM r_{name} "
+            f"UNION ALL SELECT {sql_publish(spec)}, 'quarantine' AS sink, reason, 'silver' AS layer FROM r_{name}_q")
 
 
 def _silver_query(name: str):
@@ -278,7 +280,7 @@ def _silver_query(name: str):
 
 
 for _n in ENTITIES:
-    register(f"silver_{_n}", _silver_sql(_n))(_silver_query(_n))
+    register(f"silver_{_n}", _silver_sql(_n), MAY_LACK[_n])(_silver_query(_n))
 
 
 # =============================================================================================
@@ -287,7 +289,7 @@ for _n in ENTITIES:
 
 @register("ref_check_semi", f"""
 SELECT {sql_publish(cols(SPEC["order_items"]))} FROM b_items i
-WHERE EXISTS (SELECT 1 FROM f_products p WHERE p.pid = i.product_id)""")
+WHERE EXISTS (SELECT 1 FROM f_products p WHERE p.pid = i.product_id)""", text=MAY_LACK["order_items"])
 def ref_check_semi(spark: SparkSession, d: str) -> DataFrame:
     """Referential check: landed items whose product exists in silver."""
     from tidemark.operators.cleaning import ref_check_semi as rc
@@ -331,13 +333,13 @@ def rejected_rows_anti(spark: SparkSession, d: str) -> DataFrame:
 
 @register("orders_without_items", f"""
 SELECT {sql_publish(cols(SPEC["orders"]))} FROM s_orders o
-WHERE NOT EXISTS (SELECT 1 FROM s_items i WHERE i.order_id = o.oid)""")
+WHERE NOT EXISTS (SELECT 1 FROM s_items i WHERE i.order_id = o.oid)""", text=MAY_LACK["orders"])
 def orders_without_items(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.plans.checks import orders_without_items as owi
     return owi(commerce.orders(spark, d), commerce.order_items(spark, d))
 
 
-@register("dedup_rows", f"SELECT DISTINCT {sql_publish(cols(SPEC['order_items']))} FROM b_items")
+@register("dedup_rows", f"SELECT DISTINCT {sql_publish(cols(SPEC['order_items']))} FROM b_items", text=MAY_LACK["order_items"])
 def dedup_rows(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.operators.cleaning import dedup_rows as dr
     from tidemark.plans.silver import ITEM_COLS
@@ -351,7 +353,7 @@ _ITEM_REST = ["order_id", "product_id", "quantity", "unit_price_at_order", "disc
 @register("dedup_by_key", f"""
 SELECT {sql_publish(cols(SPEC["order_items"]))} FROM (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY order_item_id ORDER BY {", ".join(c + " NULLS FIRST" for c in _ITEM_REST)}) AS rn
-  FROM b_items) WHERE rn = 1""")
+  FROM b_items) WHERE rn = 1""", text=MAY_LACK["order_items"])
 def dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
     """One deterministic survivor per order_item_id (the id repeats in the landed items)."""
     from tidemark.operators.cleaning import dedup_by_key as dk
@@ -362,7 +364,7 @@ def dedup_by_key(spark: SparkSession, d: str) -> DataFrame:
 @register("fill_defaults", f"""
 SELECT log_id, order_id, COALESCE(old_status, 'Unknown') AS old_status, COALESCE(new_status, 'Unknown') AS new_status,
        {sql_publish(cols("changed_at:ts"))}, COALESCE(changed_by, 'Unknown') AS changed_by,
-       COALESCE(remarks, 'N/A') AS remarks FROM b_logs""")
+       COALESCE(remarks, 'N/A') AS remarks FROM b_logs""", text=MAY_LACK["order_status_log"])
 def fill_defaults(spark: SparkSession, d: str) -> DataFrame:
     """Null repair of the status log (first log of an order has no old status)."""
     from tidemark.operators.cleaning import fill_defaults as fd
@@ -380,7 +382,7 @@ def price_list(spark: SparkSession, d: str) -> DataFrame:
 SELECT i.order_item_id, i.order_id, i.product_id, i.quantity, p.base_price, p.discount_pct,
        CAST(ROUND(CAST(i.quantity AS DECIMAL(12,0)) * CAST(p.base_price AS DECIMAL(12,2))
              * (100 - CAST(p.discount_pct AS DECIMAL(5,2))) * CAST(0.01 AS DECIMAL(3,2)), 2) AS DOUBLE) AS list_line_total
-FROM f_order_items i JOIN (SELECT DISTINCT pid, base_price, discount_pct FROM f_products) p ON i.product_id = p.pid""")
+FROM f_order_items i JOIN (SELECT DISTINCT pid, base_price, discount_pct FROM f_products) p ON i.product_id = p.pid""", text=MAY_LACK["order_items"])
 def line_pricing(spark: SparkSession, d: str) -> DataFrame:
     from tidemark.plans.checks import line_pricing as lp
     from tidemark.plans.checks import price_list as pl
@@ -413,15 +415,16 @@ SELECT log_id, order_id, old_status, new_status, {sql_publish(cols("changed_at:t
   SELECT l.*, l.old_status IS NOT NULL AND t.old_status IS NULL AS illegal_transition,
          prev_changed_at IS NOT NULL AND l.changed_at <= prev_changed_at AS not_after_previous
   FROM (SELECT log_id, order_id, old_status, new_status, changed_at,
-               LAG(changed_at) OVER (PARTITION BY order_id ORDER BY log_id) AS prev_changed_at FROM b_logs) l
+               LAG(changed_at) OVER (PARTITION BY order_id ORDER BY log_id) AS prev_changed_at FROM b_logs WHERE log_id IS NOT NULL) l
   LEFT JOIN (VALUES ('pending','confirmed'), ('pending','cancelled'), ('confirmed','shipped'), ('confirmed','cancelled'),
                     ('shipped','delivered'), ('shipped','returned'), ('delivered','returned')) t(old_status, new_status)
     ON l.old_status = t.old_status AND l.new_status = t.new_status)
 WHERE illegal_transition OR not_after_previous""")
 def status_transitions(spark: SparkSession, d: str) -> DataFrame:
-    """Illegal transitions and non-increasing change times in the landed status log (before its nulls are repaired)."""
+    """Illegal transitions and non-increasing change times in the landed status log (before its nulls are repaired).
+    Rows that came without their id have no place in the order of changes."""
     from tidemark.plans.checks import status_transitions as st
-    return st(flow.fresh_lake(spark, d).batch("order_status_log"))
+    return st(flow.fresh_lake(spark, d).batch("order_status_log").where(F.col("log_id").isNotNull()))
 
 
 @register("table_counts", " UNION ALL ".join(
@@ -480,7 +483,7 @@ def _page_spec(name: str) -> tuple[str, str, list[str]]:
 
 for _n in ENTITIES:
     _spec, _key, _other = _page_spec(_n)
-    register(f"page_{_n}", _page_sql(_PAGE_SOURCES[_n], _n, _spec, _key, PAGE_LIMITS[_n], _other))(_page_query(_n))
+    register(f"page_{_n}", _page_sql(_PAGE_SOURCES[_n], _n, _spec, _key, PAGE_LIMITS[_n], _other), MAY_LACK[_n])(_page_query(_n))
 
 
 @register("page_counts", " UNION ALL ".join(
@@ -508,7 +511,7 @@ FROM (SELECT *, STRFTIME(CAST({date_col} AS DATE), '%Y-%m-%d') AS dt,
              COUNT(*) OVER (PARTITION BY CAST({date_col} AS DATE)) AS n FROM {view})"""
 
 
-@register("assign_pages", _dated_sql("f_order_status_log", "order_status_log", "changed_at", 50))
+@register("assign_pages", _dated_sql("f_order_status_log", "order_status_log", "changed_at", 50), text=MAY_LACK["order_status_log"])
 def assign_pages(spark: SparkSession, d: str) -> DataFrame:
     """Pages of 50 status-log rows for every day, all days in one distributed rank."""
     from tidemark.plans.extracts import dated_pages
@@ -615,7 +618,7 @@ SELECT {sql_publish(cols("a.customer_id, c.name, c.email, c.city, c.country, c.j
 FROM (SELECT g.*, CASE m.cv WHEN 0 THEN TIMESTAMP '{UPSERT_AS_OF[0]}' WHEN 1 THEN TIMESTAMP '{UPSERT_AS_OF[1]}'
                          ELSE TIMESTAMP '{UPSERT_AS_OF[2]}' END AS updated_at
       FROM g_cust_agg g JOIN (SELECT o.customer_id, MAX(s.commit_version) AS cv FROM f_orders o
-                              JOIN s_orders s ON o.oid = s.oid GROUP BY o.customer_id) m
+                              JOIN s_order_commits s ON o.oid = s.oid GROUP BY o.customer_id) m
         ON g.customer_id = m.customer_id) a
 LEFT JOIN f_customers c ON a.customer_id = c.customer_id"""
 
@@ -647,7 +650,7 @@ SELECT {sql_publish(cols("g.customer_id, g.total_order_value:double, g.total_ord
        COALESCE(s.customer_tier, 'None') AS customer_tier, COALESCE(s.churn_risk_score, 'None') AS churn_risk_score
 FROM g_cust_agg g LEFT JOIN (
   SELECT t.customer_id, t.customer_tier, t.churn_risk_score FROM g_c360 t
-  WHERE EXISTS (SELECT 1 FROM f_orders o JOIN s_orders c ON o.oid = c.oid
+  WHERE EXISTS (SELECT 1 FROM f_orders o JOIN s_order_commits c ON o.oid = c.oid
                 WHERE c.commit_version = 2 AND o.customer_id = t.customer_id)) s ON g.customer_id = s.customer_id""")
 def merge_update_only(spark: SparkSession, d: str) -> DataFrame:
     """Scores of the customers touched by the last commit MERGEd (update only) into the
@@ -707,6 +710,94 @@ def landing_read(spark: SparkSession, d: str) -> DataFrame:
     return LD.read_partitioned(spark, _written(spark, d, "landing-customers", build), "customers")
 
 
+# ---- extracts published by manifest --------------------------------------------------------
+
+EXTRACT_DAYS = ("1995-05-01", "1995-06-30")
+EXTRACT_LIMIT = 20
+_KEYS = {"customers": ("customer_id", "NULL", "name"), "products": ("pid", "NULL", "product_name"),
+         "orders": ("oid", "customer_id", "order_status"), "order_items": ("order_item_id", "order_id", "product_id"),
+         "inventory": ("inventory_id", "product_id", "warehouse_location"), "order_status_log": ("log_id", "order_id", "new_status")}
+_DAY_COLS = {"customers": "join_date", "products": "created_at", "orders": "order_date", "inventory": "last_restocked_at"}
+_SOURCE_VIEWS = {"customers": "s_customers", "products": "s_products", "orders": "s_orders", "order_items": "s_items",
+                 "inventory": "s_inventory", "order_status_log": "s_logs"}
+
+
+def _extract_rows_sql() -> str:
+    first, last = EXTRACT_DAYS
+    parts = []
+    for name, (key, ref, label) in _KEYS.items():
+        if name in _DAY_COLS:
+            rel, day = _SOURCE_VIEWS[name], _DAY_COLS[name]
+        else:  # children take the days of their orders
+            rel, day = (f"{_SOURCE_VIEWS[name]} c JOIN (SELECT DISTINCT oid, order_date AS _day FROM s_orders) o ON c.order_id = o.oid"), "_day"
+        parts.append(f"SELECT '{name}' AS table_name, STRFTIME({day}, '%Y-%m-%d') AS dt, {key} AS row_key, CAST({ref} AS BIGINT) AS ref_key, "
+                     f"CAST({label} AS VARCHAR) AS label FROM {rel} WHERE {day} BETWEEN DATE '{first}' AND DATE '{last}'")
+    return " UNION ALL ".join(parts)
+
+
+def _extracted(spark: SparkSession, d: str) -> str:
+    """All six tables of ``EXTRACT_DAYS``, extracted out of the source views and published."""
+    from tidemark.session import scratch_path
+    from tidemark.sources import landing as LD
+
+    def build() -> str:
+        root = scratch_path(spark, "landing")
+        LD.run_extract(spark, {n: commerce.view(spark, d, n) for n in ENTITIES}, root, *EXTRACT_DAYS, limits={n: EXTRACT_LIMIT for n in ENTITIES})
+        return root
+    return _written(spark, d, "extract", build)
+
+
+@register("extract_days", _extract_rows_sql(), text=("row_key", "ref_key"))
+def extract_days(spark: SparkSession, d: str) -> DataFrame:
+    """The dated extract of all six tables (items and logs dated by their order), read back from its JSON arrays."""
+    from tidemark.sources import landing as LD
+    root, out = _extracted(spark, d), None
+    for name, (key, ref, label) in _KEYS.items():
+        rows = LD.read_landed(spark, root, name, *EXTRACT_DAYS)
+        part = rows.select(F.lit(name).alias("table_name"), "dt", F.col(key).alias("row_key"),
+                           (F.lit(None) if ref == "NULL" else F.col(ref)).cast("bigint").alias("ref_key"), F.col(label).cast("string").alias("label"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@register("extract_manifest", f"""
+SELECT table_name, dt, page, COUNT(*) AS rows FROM (
+  SELECT table_name, dt, CAST((ROW_NUMBER() OVER (PARTITION BY table_name, dt) - 1) // {EXTRACT_LIMIT} + 1 AS BIGINT) AS page FROM ({_extract_rows_sql()}))
+GROUP BY table_name, dt, page""")
+def extract_manifest(spark: SparkSession, d: str) -> DataFrame:
+    """What the extract published: pages of each table and day with their rows, days without rows left out."""
+    from tidemark.sources import landing as LD
+    return LD.read_manifest(spark, _extracted(spark, d), *EXTRACT_DAYS).where("path is not null").select("table_name", "dt", "page", "rows")
+
+
+@register("landing_arrays", f"""
+SELECT oid, customer_id, STRFTIME(order_date, '%Y-%m-%d') AS order_date, order_status, 'main' AS sink, CAST(NULL AS VARCHAR) AS reason
+FROM s_orders WHERE oid IS NOT NULL AND order_date BETWEEN DATE '{EXTRACT_DAYS[0]}' AND DATE '{EXTRACT_DAYS[1]}'
+UNION ALL SELECT oid, customer_id, STRFTIME(order_date, '%Y-%m-%d'), order_status, 'quarantine', 'null_key'
+FROM s_orders WHERE oid IS NULL AND order_date BETWEEN DATE '{EXTRACT_DAYS[0]}' AND DATE '{EXTRACT_DAYS[1]}'
+UNION ALL SELECT NULL, NULL, NULL, NULL, 'quarantine', 'corrupt_record'""", text=("oid", "customer_id"))
+def landing_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Landed JSON arrays of orders, one page of them cut off half way as a broken transfer leaves it, split for bronze."""
+    from tidemark.plans import bronze as B
+    from tidemark.session import scratch_path
+    from tidemark.sources import landing as LD
+
+    def build() -> str:
+        root = scratch_path(spark, "landing-broken")
+        LD.run_extract(spark, {"orders": commerce.view(spark, d, "orders")}, root, *EXTRACT_DAYS)
+        sent = LD.read_manifest(spark, root, *EXTRACT_DAYS)
+        page = sent.where("path is not null").orderBy("dt").first()
+        half = scratch_path(spark, "half-page")
+        whole = spark.read.text(page["path"], wholetext=True)
+        whole.select(F.expr("substring(value, 1, length(value) div 2)")).write.text(half)
+        broken = LD.files_of(spark, half).select(F.lit("orders").alias("table_name"), F.lit(page["dt"]).alias("dt"), F.lit(page["page"] + 1000).alias("page"), F.lit(None).cast("bigint").alias("rows"), "path", "bytes")
+        LD.publish(spark, root, sent.where(F.col("dt") == page["dt"]).drop("attempt").unionByName(broken), [page["dt"]])
+        return root
+    root = _written(spark, d, "landing-broken", build)
+    routed = B.split(LD.read_landed(spark, root, "orders", *EXTRACT_DAYS), "orders")
+    return routed.select("oid", "customer_id", "order_date", "order_status", "sink", "reason")
+
+
 @register("streaming_silver_orders", f"SELECT {sql_publish(cols(SPEC['orders']))} FROM f_orders")
 def streaming_silver_orders(spark: SparkSession, d: str) -> DataFrame:
     """Bronze orders commits cleaned by an availableNow stream (one micro-batch per run),

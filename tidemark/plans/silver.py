@@ -15,19 +15,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.cleaning import (
-    dedup_by_key,
-    dedup_rows,
-    dup_rows_semi,
-    fill_defaults,
-    new_rows_anti,
-    ref_check_semi,
-    rejected_rows_anti,
-)
 from tidemark.functions.money import half_up_mean
+from tidemark.operators.cleaning import dedup_by_key, dedup_rows
+from tidemark.operators.routing import MAIN, QUARANTINE, TAGS, fill_main, flag_known, reject_by_key, route
 from tidemark.schemas import MEAN, MONEY, ORDER_ITEMS
 
 # Null repair defaults.
@@ -42,22 +35,37 @@ PRODUCT_COLS = ["pid", "product_name", "category", "sub_category", "brand", "bas
 ITEM_COLS = [f.name for f in ORDER_ITEMS.fields]
 ORDER_COLS = ["oid", "customer_id", "order_date", "order_status", "payment_method", "shipping_address",
               "total_amount", "discount_applied", "final_amount"]
+AMOUNTS = ["total_amount", "discount_applied", "final_amount"]
 INVENTORY_COLS = ["inventory_id", "product_id", "warehouse_location", "quantity_on_hand", "reorder_threshold",
                   "last_restocked_at"]
 LOG_COLS = ["log_id", "order_id", "old_status", "new_status", "changed_at", "changed_by", "remarks"]
 
 
+LAYER = "silver"
+
+
 @dataclass
 class Cleaned:
-    accepted: DataFrame
-    quarantined: DataFrame
+    """A step's rows with their ``sink``, ``reason`` and ``layer``; the two sinks are filters over it.
 
+    ``written``: the rows come from a table that the step wrote, so reading them again costs a scan."""
 
-CV = "commit_version"
+    routed: DataFrame
+    written: bool = False
+
+    def of(self, sink: str) -> DataFrame:
+        return self.routed.where(F.col("sink") == sink).drop(*TAGS)
+
+    @property
+    def accepted(self) -> DataFrame:
+        return self.of(MAIN)
+
+    @property
+    def quarantined(self) -> DataFrame:
+        return self.of(QUARANTINE)
 
 
-def _empty_like(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*cols).limit(0)
+CV = "commit_version"
 
 
 def _keep(df: DataFrame, cols: list[str]) -> list[str]:
@@ -76,12 +84,9 @@ def silver_customers(batch: DataFrame, silver_before: DataFrame | None) -> Clean
     """One survivor per customer_id, then only ids not yet in silver; repeats quarantined."""
     cols = _keep(batch, CUSTOMER_COLS)
     users = dedup_by_key(batch.select(*cols), ["customer_id"], first=[CV] if CV in cols else [])
-    if silver_before is None:
-        return Cleaned(users, _empty_like(users, cols))
-    return Cleaned(
-        new_rows_anti(users, silver_before, ["customer_id"]).select(*cols),
-        dup_rows_semi(users, silver_before, ["customer_id"]).select(*cols),
-    )
+    users = flag_known(users, "customer_id", silver_before, "customer_id", "_seen")
+    routed = route(users, LAYER, [(MAIN, None, ~F.col("_seen")), (QUARANTINE, "already_loaded", F.col("_seen"))])
+    return Cleaned(routed.select(*cols, *TAGS))
 
 
 def product_ranges_ok() -> F.Column:
@@ -89,14 +94,11 @@ def product_ranges_ok() -> F.Column:
 
 
 def silver_products(batch: DataFrame, silver_before: DataFrame | None) -> Cleaned:
-    """Exact duplicates dropped; new pids repaired and range-checked (failures dropped)."""
+    """Exact duplicates dropped; new pids repaired and range-checked (failures dropped); repeats quarantined as they came."""
     cols = _keep(batch, PRODUCT_COLS)
-    prods = _dedup_rows(batch, PRODUCT_COLS)
-    fresh = prods if silver_before is None else new_rows_anti(prods, silver_before, ["pid"])
-    accepted = fill_defaults(fresh, PRODUCT_DEFAULTS).filter(product_ranges_ok())
-    quarantined = (_empty_like(prods, cols) if silver_before is None
-                   else dup_rows_semi(prods, silver_before, ["pid"]))
-    return Cleaned(accepted.select(*cols), quarantined.select(*cols))
+    prods = flag_known(_dedup_rows(batch, PRODUCT_COLS), "pid", silver_before, "pid", "_seen")
+    routed = route(prods, LAYER, [(MAIN, None, ~F.col("_seen") & product_ranges_ok()), (QUARANTINE, "already_loaded", F.col("_seen"))])
+    return Cleaned(fill_main(routed, PRODUCT_DEFAULTS).select(*cols, *TAGS))
 
 
 def item_accept() -> F.Column:
@@ -119,19 +121,15 @@ def silver_order_items(batch: DataFrame, silver_before: DataFrame | None, produc
     both accepted and quarantined); already-loaded ids are quarantined as repeats.
     """
     cols = _keep(batch, ITEM_COLS)
-    items = with_gross(batch).select(*cols)
-    valid = ref_check_semi(items, products, "product_id", "pid").filter(item_accept())
-    accepted = valid if silver_before is None else new_rows_anti(valid, silver_before, ["order_item_id"])
-    known = products.select(F.col("pid").alias("_pid")).dropDuplicates()
-    rejected = (
-        items.join(known, items["product_id"] == known["_pid"], "left")
-        .filter(F.col("_pid").isNull() | item_reject())
-        .select(*cols)
-    )
-    quarantined = rejected
-    if silver_before is not None:
-        quarantined = rejected.unionByName(dup_rows_semi(valid, silver_before, ["order_item_id"]))
-    return Cleaned(accepted.select(*cols), quarantined)
+    items = flag_known(with_gross(batch).select(*cols), "product_id", products, "pid", "_known")
+    items = flag_known(items, "order_item_id", silver_before, "order_item_id", "_seen")
+    valid = F.col("_known") & F.coalesce(item_accept(), F.lit(False))
+    routed = route(items, LAYER, [
+        (MAIN, None, valid & ~F.col("_seen")),
+        (QUARANTINE, F.when(F.col("_known"), "bad_number").otherwise("unknown_product"), ~F.col("_known") | item_reject()),
+        (QUARANTINE, "already_loaded", valid & F.col("_seen")),
+    ])
+    return Cleaned(routed.select(*cols, *TAGS))
 
 
 def order_totals(orders: DataFrame, items: DataFrame) -> DataFrame:
@@ -155,41 +153,50 @@ def silver_orders(batch: DataFrame, silver_before: DataFrame | None, customers:
     """Known customer, repaired, amounts recomputed from silver items; an order without
     items is rejected; ids already in silver are dropped; rejects = batch − accepted."""
     cols = _keep(batch, ORDER_COLS)
-    orders = _dedup_rows(batch, ORDER_COLS)
-    clean = (
-        ref_check_semi(orders, customers, "customer_id", "customer_id")
-        .withColumn("order_date", F.col("order_date").cast("date"))
-        .transform(lambda d: fill_defaults(d, ORDER_DEFAULTS))
-    )
-    totals = order_totals(orders, items)
-    joined = clean.drop("total_amount", "discount_applied", "final_amount").join(totals, "oid")
-    final = joined if silver_before is None else new_rows_anti(joined, silver_before, ["oid"])
-    final = final.select(*cols)
-    return Cleaned(final, rejected_rows_anti(orders, final, ["oid"]).select(*cols))
+    orders = _dedup_rows(batch, ORDER_COLS).withColumn("order_date", F.col("order_date").cast("date"))
+    totals = order_totals(orders, items).select(F.col("oid").alias("_oid"), *[F.col(c).alias(f"_{c}") for c in AMOUNTS])
+    orders = flag_known(orders, "customer_id", customers, "customer_id", "_known")
+    orders = flag_known(orders, "oid", silver_before, "oid", "_seen")
+    orders = orders.join(totals, orders["oid"] == totals["_oid"], "left")
+    has_items = F.col("_oid").isNotNull()
+    ok = F.col("_known") & has_items & ~F.col("_seen")
+    tagged = orders.withColumn("_ok", ok).select(
+        *[c for c in cols if c not in AMOUNTS],
+        *[F.when(F.col("_ok"), F.col(f"_{c}")).otherwise(F.col(c).cast(totals.schema[f"_{c}"].dataType)).alias(c) for c in AMOUNTS],
+        "_ok", first_reason((~F.col("_known"), "unknown_customer"), (~has_items, "no_items"), (F.col("_seen"), "already_loaded")))
+    routed = reject_by_key(tagged, ["oid"], LAYER, "tagged-orders")
+    return Cleaned(fill_main(routed, ORDER_DEFAULTS).select(*cols, *TAGS), written=True)
+
+
+def first_reason(*reasons: tuple[Column, str]) -> Column:
+    """The first reason that holds, as column ``reason``."""
+    return F.coalesce(*[F.when(when, why) for when, why in reasons]).alias("reason")
+
+
+def _key_checked(batch: DataFrame, silver_before: DataFrame | None, key: str, ref: DataFrame, on: str, ref_key: str, cols: list[str], unknown: str,
+                 ranges: Column | None = None) -> DataFrame:
+    """Rows with ``_ok`` and ``reason``: reference known, numbers in range, key not yet in silver."""
+    rows = flag_known(batch.select(*cols), on, ref, ref_key, "_known")
+    rows = flag_known(rows, key, silver_before, key, "_seen")
+    fit = F.lit(True) if ranges is None else F.coalesce(ranges, F.lit(False))
+    return rows.select(*cols, (F.col("_known") & fit & ~F.col("_seen")).alias("_ok"),
+                       first_reason((~F.col("_known"), unknown), (~fit, "bad_number"), (F.col("_seen"), "already_loaded")))
 
 
 def silver_inventory(batch: DataFrame, silver_before: DataFrame | None, products: DataFrame) -> Cleaned:
+    """Known product, no negative number, id not yet in silver; rejects = batch minus accepted ids."""
     cols = _keep(batch, INVENTORY_COLS)
-    inv = batch.select(*cols)
-    main = (
-        ref_check_semi(inv, products, "product_id", "pid")
-        .filter((F.col("quantity_on_hand") >= 0) & (F.col("reorder_threshold") >= 0))
-        .withColumn("last_restocked_at", F.col("last_restocked_at").cast("date"))
-        .transform(lambda d: fill_defaults(d, INVENTORY_DEFAULTS))
-    )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["inventory_id"])
-    final = final.select(*cols)
-    return Cleaned(final, rejected_rows_anti(inv, final, ["inventory_id"]))
+    ranges = (F.col("quantity_on_hand") >= 0) & (F.col("reorder_threshold") >= 0)
+    dated = batch.withColumn("last_restocked_at", F.col("last_restocked_at").cast("date"))
+    tagged = _key_checked(dated, silver_before, "inventory_id", products, "product_id", "pid", cols, "unknown_product", ranges)
+    routed = reject_by_key(tagged, ["inventory_id"], LAYER, "tagged-inventory")
+    return Cleaned(fill_main(routed, INVENTORY_DEFAULTS).select(*cols, *TAGS), written=True)
 
 
 def silver_order_status_log(batch: DataFrame, silver_before: DataFrame | None, orders: DataFrame) -> Cleaned:
+    """Known order, id not yet in silver; rejects = batch minus accepted ids."""
     cols = _keep(batch, LOG_COLS)
-    logs = batch.select(*cols)
-    main = (
-        ref_check_semi(logs, orders, "order_id", "oid")
-        .transform(lambda d: fill_defaults(d, LOG_DEFAULTS))
-        .withColumn("changed_at", F.col("changed_at").cast("timestamp"))
-    )
-    final = main if silver_before is None else new_rows_anti(main, silver_before, ["log_id"])
-    final = final.select(*cols)
-    return Cleaned(final, rejected_rows_anti(logs, final, ["log_id"]))
+    timed = batch.withColumn("changed_at", F.col("changed_at").cast("timestamp"))
+    tagged = _key_checked(timed, silver_before, "log_id", orders, "order_id", "oid", cols, "unknown_order")
+    routed = reject_by_key(tagged, ["log_id"], LAYER, "tagged-logs")
+    return Cleaned(fill_main(routed, LOG_DEFAULTS).select(*cols, *TAGS), written=True)

@@ -97,6 +97,8 @@ KEYS = {
 }
 
 COMMIT_COL = "commit_version"
+#: Column of the text that a JSON reader could not parse.
+CORRUPT = "_corrupt_record"
 
 # Gold mart columns, in published order.
 CUSTOMER_360_COLS = [

@@ -20,8 +20,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.schemas import CORRUPT
+
 CV = "commit_version"
 SINK = "sink"          # 'main' rows of the table, 'quarantine' rows rejected by its step
+QUARANTINE_COLS = ("reason", "layer", CORRUPT)
 FEED_COLS = ("_change_type", "_commit_version")
 
 
@@ -65,6 +68,20 @@ def commit_append(df: DataFrame, path: str, version: int, quarantine: DataFrame
      .partitionBy(SINK).parquet(commit_path(path, version)))
 
 
+def commit_routed(routed: DataFrame, path: str, version: int) -> None:
+    """Write commit ``version`` from rows that carry their ``sink`` (and ``reason``, ``layer``): one job, one pass over
+    the plan, a sub-directory per sink. As :func:`commit_append` it replaces the commit as a whole."""
+    (routed.drop(CV).write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(SINK).parquet(commit_path(path, version)))
+
+
+def read_quarantine(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None) -> DataFrame:
+    """The quarantined rows of a commit table with ``reason``, ``layer`` and what could not be parsed."""
+    names = [f.name for f in schema.fields]
+    more = [T.StructField(c, T.StringType()) for c in QUARANTINE_COLS if c not in names]
+    return read_table(spark, path, T.StructType(list(schema.fields) + more), upto, sink="quarantine")
+
+
 def read_table(spark: SparkSession, path: str, schema: T.StructType, upto: int | None = None,
                sink: str = "main") -> DataFrame:
     """Snapshot of a commit table (all commits, or those <= ``upto``); empty if absent.

@@ -60,7 +60,7 @@ def clean_edge(spark: SparkSession, bronze_path: str, silver_path: str,
             rows = L.change_feed(spark, bronze_path, schema, v, v).drop(L.CV).persist()
             try:
                 out = clean(rows, L.read_table(spark, silver_path, silver_schema, upto=v - 1))
-                L.commit_append(out.accepted, silver_path, v, out.quarantined)
+                L.commit_routed(out.routed, silver_path, v)
             finally:
                 rows.unpersist()
 
