@@ -1,7 +1,7 @@
 """Intermediates an operator reads more than once.
 
-:func:`persist` keeps a frame cached; inside a :func:`released` block (a pipeline step
-that writes its output) such frames are unpersisted when the block ends.
+:func:`persist` keeps a frame cached inside a :func:`released` block (a pipeline step that writes its
+output), until the block ends. Where no block would release it, the frame is materialized instead.
 
 :func:`materialize` writes a frame as parquet below the shared checkpoint folder and
 reads it back. Operators use it when several passes must see *the same* rows with *the
@@ -21,9 +21,10 @@ _SCOPES: list[list[DataFrame]] = []
 
 
 def persist(df: DataFrame) -> DataFrame:
+    if not _SCOPES:
+        return materialize(df, "held")
     out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    if _SCOPES:
-        _SCOPES[-1].append(out)
+    _SCOPES[-1].append(out)
     return out
 
 

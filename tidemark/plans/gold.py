@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from tidemark.caching import persist
 from tidemark.functions.labels import churn_label, tier_label
 from tidemark.functions.money import half_up_mean
+from tidemark.operators.cuts import LOW, descending, ntile_cuts, tile_of
 from tidemark.operators.merge import merge_upsert
-from tidemark.operators.ranking import distributed_ntile
 from tidemark.schemas import CUSTOMER_360_COLS, DAILY_PRODUCT_SALES_KEYS
 
 PLACEHOLDER = "None"  # tier / churn before scoring (fixed value)
@@ -43,6 +43,23 @@ def customer_360_updates(silver_orders: DataFrame, batch_orders: DataFrame, cust
                          as_of: Column) -> DataFrame:
     """Source rows of the upsert: recomputed aggregates of affected customers + attributes."""
     agg = customer_aggregates(affected_customers(silver_orders, batch_orders))
+    return _with_attributes(agg, customers, as_of)
+
+
+def customer_360_changes(mart: DataFrame | None, batch_orders: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
+    """Source rows of the upsert from the mart's own totals and the batch: sums, counts and the last date are mergeable, so
+    the affected customers' order history is not read. Equal to :func:`customer_360_updates` when the mart holds all orders before the batch."""
+    agg = customer_aggregates(batch_orders)
+    if mart is not None:
+        held = mart.select(F.col("customer_id").alias("_cid"), F.col("total_order_value").alias("_value"), F.col("total_orders").alias("_orders"), F.col("last_order_date").alias("_last"))
+        agg = agg.join(held, agg["customer_id"] == held["_cid"], "left").select(
+            "customer_id",
+            F.coalesce((F.col("_value") + F.col("total_order_value")).cast("decimal(18,2)"), "_value", "total_order_value").alias("total_order_value"),
+            (F.coalesce("_orders", F.lit(0)) + F.col("total_orders")).alias("total_orders"), F.greatest("_last", "last_order_date").alias("last_order_date"))
+    return _with_attributes(agg, customers, as_of)
+
+
+def _with_attributes(agg: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
     attrs = customers.select("customer_id", "name", "email", "city", "country", "join_date")
     return (
         agg.join(attrs, "customer_id", "left")
@@ -54,12 +71,23 @@ def customer_360_updates(silver_orders: DataFrame, batch_orders: DataFrame, cust
     )
 
 
+def spend_order() -> tuple[Column, Column]:
+    """Customers by spend, biggest first, ties by id: as whole numbers."""
+    return descending(F.col("total_order_value"), 2), F.coalesce("customer_id", F.lit(LOW))
+
+
+def spend_tile(mart: DataFrame) -> Column:
+    """Quartile of spend over all rows of ``mart``: compared with the three cut rows, which counting finds (no sort)."""
+    number, key = spend_order()
+    return tile_of(number, key, ntile_cuts(mart.select("total_order_value", "customer_id"), number, key, TIERS))
+
+
 def score_customers(mart: DataFrame) -> DataFrame:
     """Tier = quartile of spend over the whole mart (ties by customer_id); churn from the
     gap between each row's own ``updated_at`` and its last order."""
-    tiles = distributed_ntile(mart, [F.col("total_order_value").desc(), F.col("customer_id").asc()], TIERS, "_tile")
+    mart = persist(mart)  # read by the rounds that find the cuts, and once more
     return (
-        tiles.withColumn("customer_tier", tier_label(F.col("_tile")))
+        mart.withColumn("customer_tier", tier_label(spend_tile(mart)))
         .withColumn("churn_risk_score", churn_label(F.col("updated_at"), F.col("last_order_date")))
         .select(*CUSTOMER_360_COLS)
     )
@@ -75,7 +103,15 @@ def customer_360(mart: DataFrame | None, silver_orders: DataFrame, batch_orders:
     The second MERGE of the original (tier + churn for every matched row) touches every
     row, so it is folded into the same snapshot as a projection.
     """
-    updates = customer_360_updates(silver_orders, batch_orders, customers, as_of)
+    return upsert_and_score(mart, customer_360_updates(silver_orders, batch_orders, customers, as_of), as_of)
+
+
+def customer_360_step(mart: DataFrame | None, batch_orders: DataFrame, customers: DataFrame, as_of: Column) -> DataFrame:
+    """The same step without order history: the mart holds what came before the batch."""
+    return upsert_and_score(mart, customer_360_changes(mart, batch_orders, customers, as_of), as_of)
+
+
+def upsert_and_score(mart: DataFrame | None, updates: DataFrame, as_of: Column) -> DataFrame:
     merged = updates if mart is None else merge_upsert(
         mart, updates, ["customer_id"], UPSERT_COLS, {"updated_at": as_of.cast("timestamp")})
     return score_customers(merged)

@@ -30,15 +30,21 @@ AMOUNT = "decimal(28,2)"
 FRAME_ROWS = 7  # rows of the moving sum, the row itself included
 ATTRS = [c for c in DAILY_PRODUCT_SALES_KEYS if c != "order_date"]
 
-PRODUCT_DAYS = T.StructType.fromDDL(
-    f"pid bigint, product_name string, category string, sub_category string, brand string, base_price double, order_date date, "
-    f"sales_count bigint, total_sales_amount {AMOUNT}")
-PERFORMANCE = T.StructType.fromDDL(
-    PRODUCT_DAYS.toDDL() + f", prev_day_sales {AMOUNT}, prev_day_order_cnt bigint, last_7_day_sales {AMOUNT}, overall_sales {AMOUNT}, rolling_total {AMOUNT}")
-PAIRS = T.StructType.fromDDL("category string, customer_id bigint")
-REVENUE = T.StructType.fromDDL(f"category string, product_name string, revenue {AMOUNT}")
-CATEGORIES = T.StructType.fromDDL(f"category string, date date, amount {AMOUNT}, units bigint, days bigint, amount_days bigint, unit_days bigint, unique_customers bigint")
+_TYPES = {"text": T.StringType(), "long": T.LongType(), "date": T.DateType(), "double": T.DoubleType(), "amount": T.DecimalType(28, 2)}
+
+
+def _schema(**fields: str) -> T.StructType:
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields.items()])
+
+
+_PRODUCT_DAY = dict(pid="long", product_name="text", category="text", sub_category="text", brand="text", base_price="double", order_date="date",
+                    sales_count="long", total_sales_amount="amount")
+PRODUCT_DAYS = _schema(**_PRODUCT_DAY)
+PERFORMANCE = _schema(**_PRODUCT_DAY, prev_day_sales="amount", prev_day_order_cnt="long", last_7_day_sales="amount", overall_sales="amount", rolling_total="amount")
+PAIRS = _schema(category="text", customer_id="long")
+REVENUE = _schema(category="text", product_name="text", revenue="amount")
 COUNTED = ("units", "days", "amount_days", "unit_days", "unique_customers")
+CATEGORIES = _schema(category="text", date="date", amount="amount", **dict.fromkeys(COUNTED, "long"))
 
 
 def plus(a, b):

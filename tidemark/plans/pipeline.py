@@ -25,23 +25,31 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.caching import released
+from tidemark.caching import persist, released
 from tidemark.operators.quality import gate_passes
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G
+from tidemark.plans import incremental as I
 from tidemark.plans import silver as S
 from tidemark.schemas import CORRUPT, ENTITIES
 from tidemark.sources import lake as L
+from tidemark.sources.buckets import Buckets
 
 log = logging.getLogger(__name__)
 
+BUCKETED = {"daily_product_sales": I.PRODUCT_DAYS, "product_performance": I.PERFORMANCE}
 SILVER_ORDER = ["customers", "products", "order_items", "orders", "inventory", "order_status_log"]
 MARTS = ["customer_360", "daily_sales_summary", "daily_product_sales", "product_performance", "category_trends"]
 
 
+#: Buckets of the marts kept by product or category; fixed for the life of a lake (about a mart's expected bytes over 128 MB).
+MART_BUCKETS = 8
+
+
 @dataclass
 class Paths:
     root: str
+    buckets: int = MART_BUCKETS
 
     def table(self, layer: str, name: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{name}"
@@ -49,6 +57,9 @@ class Paths:
     def mart(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/gold/{name}"
 
+    def bucketed(self, spark: SparkSession, name: str) -> Buckets:
+        return Buckets(spark, self.mart(name), ("pid",), BUCKETED[name], self.buckets)
+
 
 @dataclass
 class RunReport:
@@ -166,9 +177,15 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
     def partials() -> DataFrame:
         return L.read_table(spark, paths.mart("daily_product_sales_partials"), partials_schema(spark))
 
+    def added(first: int, last: int) -> DataFrame:
+        """The product-days that the commits bring, one row each."""
+        return persist(G.compact_product_days(partials().filter(F.col(L.CV).between(first, last)).drop(L.CV)))
+
+    def held_before(mart: str, first: int) -> int:
+        return L.last_version_before(spark, paths.root, "gold", mart, first)
+
     def c360(first: int, last: int) -> None:
-        orders = silver("orders", last).drop(L.CV)
-        mart = G.customer_360(before("customer_360", first), orders, feed("orders", first, last).drop(L.CV), silver("customers", last), as_of)
+        mart = G.customer_360_step(before("customer_360", first), feed("orders", first, last).drop(L.CV), silver("customers", last), as_of)
         L.write_snapshot(mart, paths.mart("customer_360"), last)
 
     def daily_sales(first: int, last: int) -> None:
@@ -181,25 +198,19 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
         for v in range(first, last + 1):  # a commit of partials per silver commit: a re-run replaces just these
             parts = G.product_day_partials(feed("orders", v, v), feed("order_items", v, v), silver("products", v))
             L.commit_append(parts, paths.mart("daily_product_sales_partials"), v)
-        L.write_snapshot(G.compact_product_days(partials().filter(F.col(L.CV) <= last).drop(L.CV)), paths.mart("daily_product_sales"), last)
+        paths.bucketed(spark, "daily_product_sales").change(last, held_before("daily_product_sales", first), added(first, last), I.add_product_days)
 
     def performance(first: int, last: int) -> None:
-        # Windows are per product: recompute the products these commits touched (their whole
-        # history, so the frames stay exact) and carry every other product's rows over.
-        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), last)
-        prev = before("product_performance", first)
-        if prev is None:
-            out = G.product_performance(dps)
-        else:
-            touched = partials().filter(F.col(L.CV).between(first, last)).select("pid").distinct()
-            fresh = G.product_performance(dps.join(touched, "pid", "left_semi"))
-            out = prev.join(touched, "pid", "left_anti").unionByName(fresh)
-        L.write_snapshot(out, paths.mart("product_performance"), last)
+        paths.bucketed(spark, "product_performance").change(last, held_before("product_performance", first), added(first, last), I.product_performance_step)
 
     def trends(first: int, last: int) -> None:
-        dps = L.read_snapshot(spark, paths.mart("daily_product_sales"), last)
-        out = G.category_trends(dps, silver("orders", last), silver("order_items", last), silver("products", last))
-        L.write_snapshot(out, paths.mart("category_trends"), last)
+        was, days = held_before("category_trends", first), paths.bucketed(spark, "daily_product_sales")
+        more = added(first, last)
+        held = days.read(was, days.touched(more))
+        lines = persist(I.new_lines(silver("orders", last), silver("order_items", last), silver("products", last), first, last))
+        states = I.CategoryStates(spark, paths.mart("category_state"), paths.buckets)
+        states.step(last, was, lines, I.product_day_changes(held, more))
+        L.write_snapshot(states.publish(last), paths.mart("category_trends"), last)
 
     steps = {"customer_360": c360, "daily_sales_summary": daily_sales, "daily_product_sales": product_sales,
              "product_performance": performance, "category_trends": trends}
@@ -253,12 +264,12 @@ def clean_pending(spark: SparkSession, paths: Paths, upto: int, report: RunRepor
 
 
 def run_batches(spark: SparkSession, root: str, batches: dict[str, DataFrame], as_of: Column,
-                version: int | None = None, raise_on_failure: bool = True) -> RunReport:
+                version: int | None = None, raise_on_failure: bool = True, buckets: int = MART_BUCKETS) -> RunReport:
     """Ingest one landed batch per table, bring silver and the marts up to it: one commit version.
 
     A table without a batch takes an empty commit, so all tables stay on the shared version.
     """
-    paths = Paths(root)
+    paths = Paths(root, buckets)
     v = next_version(spark, paths) if version is None else version
     rewind(spark, root, v)
     report = RunReport(v)
@@ -318,4 +329,6 @@ def backfill(spark: SparkSession, landing_root: str, root: str, start, end, as_o
 def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     """The current snapshot of a mart (as recorded by its mark)."""
     v = L.mark_of(spark, root, "gold", name)
+    if name in BUCKETED:
+        return Paths(root).bucketed(spark, name).read(v) if v >= 0 else None
     return L.read_snapshot(spark, Paths(root).mart(name), v)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.sources.lake import empty, path_exists
 
-MAP_SCHEMA = "bucket int, data_version int"
+MAP_SCHEMA = "bucket int, data_version int, n int"
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,13 @@ class Buckets:
             return {}
         return {r["bucket"]: r["data_version"] for r in self.spark.read.schema(MAP_SCHEMA).parquet(path).collect()}
 
+    def _check(self, version: int) -> None:
+        """Rows dealt to another number of buckets must not be mixed with these."""
+        path = self._map_path(version)
+        found = self.spark.read.schema(MAP_SCHEMA).parquet(path).first() if version >= 0 and path_exists(self.spark, path) else None
+        if found is not None and found["n"] != self.n:
+            raise ValueError(f"{self.root} has {found['n']} buckets, not {self.n}")
+
     def read(self, version: int, only: set[int] | None = None) -> DataFrame:
         """The rows as of ``version``, of all buckets or ``only`` some; an absent version has none."""
         held = self.map(version)
@@ -61,13 +68,14 @@ class Buckets:
 
     def write(self, version: int, before: int, rows: DataFrame, touched: set[int]) -> None:
         """Version ``version``: ``rows`` are all rows of the ``touched`` buckets, the others stay as of version ``before``."""
+        self._check(before)
         data = f"{self.root.rstrip('/')}/data/version={version}"
         held = {b: v for b, v in self.map(before).items() if b not in touched}
         (rows.select(*self.schema.fieldNames(), self.bucket().alias("bucket")).repartition(max(1, len(touched)), "bucket")
          .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(data))
         filled = self.spark.read.schema("bucket int").option("basePath", data).parquet(data).select("bucket").distinct() if touched else None
         held.update({r[0]: version for r in filled.collect()} if filled is not None else {})
-        entries = self.spark.createDataFrame(sorted(held.items()), MAP_SCHEMA)
+        entries = self.spark.createDataFrame([(b, v, self.n) for b, v in sorted(held.items())], MAP_SCHEMA)
         entries.coalesce(1).write.mode("overwrite").parquet(self._map_path(version))
 
     def change(self, version: int, before: int, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
