@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_date
+from tidemark.operators.page_index import PageIndex
 from tidemark.operators.ranking import assign_pages
 
 PAGE_LIMITS = {"customers": 500, "products": 500, "inventory": 500,
@@ -124,3 +125,14 @@ def rows_of_days(source: dict[str, DataFrame], first: Day, last: Day) -> dict[st
             if n in source:
                 out[n] = source[n].join(days, source[n]["order_id"] == days["_oid"]).drop("_oid")
     return out
+
+
+def page_index(df: DataFrame, name: str, root: str, orders: DataFrame | None = None, by_day: bool = False, ranges: int | None = None) -> PageIndex:
+    """The written listing of one table, in page order, dated as its extract is (items and logs by their order)."""
+    day = DATE_COLS.get(name)
+    if day is not None:
+        return PageIndex.build(df, root, page_order(df, PRIMARY_KEYS[name]), F.col(day), by_day, ranges)
+    days = orders.select(F.col("oid").alias("_oid"), F.col("order_date").alias("_dated")).where("_oid is not null").dropDuplicates()
+    dated = df.join(days, df["order_id"] == days["_oid"], "left").drop("_oid")
+    index = PageIndex.build(dated, root, page_order(df, PRIMARY_KEYS[name]), F.col("_dated"), by_day, ranges)
+    return PageIndex(index.spark, root, df.schema)

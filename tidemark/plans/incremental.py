@@ -133,13 +133,12 @@ class CategoryStates:
         """``lines``: the commit's sales lines; ``day_changes``: its change of the product-days (category, order_date,
         amount, units and the growth of the day counts)."""
         seen = persist(lines.select("category", "customer_id").distinct())
-        touched = self.pairs.touched(seen)
+        touched, places = self.pairs.touched(seen), self.pairs.map(before)
         held = self.pairs.read(before, touched)
-        # a null customer or category is a value like others here, as it is one group to a distinct count's input
         met = held.withColumn("_held", F.lit(True))
         fresh = persist(seen.join(met, seen["category"].eqNullSafe(met["category"]) & seen["customer_id"].eqNullSafe(met["customer_id"]), "left")
                         .where("_held is null").select(seen["category"], seen["customer_id"]))
-        self.pairs.write(version, before, held.unionByName(fresh), touched)
+        self.pairs.write(version, places, held.unionByName(fresh), touched)
 
         sold = lines.groupBy("category", "product_name").agg(F.sum("line_total").cast(AMOUNT).alias("revenue"))
         self.revenue.change(version, before, sold, lambda held, more: held.unionByName(more).groupBy("category", "product_name").agg(F.sum("revenue").cast(AMOUNT).alias("revenue")))

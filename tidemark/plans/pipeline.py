@@ -2,7 +2,7 @@
 
     landing/<table>/...  --ingest-->  bronze/<table>/commit_version=v/sink=main|quarantine
                          --clean--->  silver/<table>/commit_version=v/sink=main|quarantine
-                         --marts--->  gold/<mart>/snapshot=<v>
+                         --marts--->  gold/<mart>/snapshot=<v> or, by product, bucketed versions
 
 All tables of a run commit under one shared ``commit_version`` (the run's batch id), so a
 mart joining two feeds reads the same batch from both. Commit *v* of any table replaces
@@ -156,14 +156,16 @@ def partials_schema(spark: SparkSession):
 
 
 def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column, report: RunReport,
-                only: list[str] | None = None) -> None:
+                only: list[str] | None = None, marks: L.Marks | None = None) -> None:
     """Bring the five marts up to silver commit ``version``, each from its own mark.
 
     One failing mart does not stop the others: its failure is reported, its mark stays, and marts
     that read it go on from its last good snapshot.
     """
+    marks = marks or L.Marks(spark, paths.root)
+
     def mark(mart: str) -> int:
-        return L.mark_of(spark, paths.root, "gold", mart)
+        return marks.of("gold", mart)
 
     def silver(name: str, upto: int) -> DataFrame:
         return L.read_table(spark, paths.table("silver", name), SILVER_SCHEMAS[name], upto=upto)
@@ -172,7 +174,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
         return L.change_feed(spark, paths.table("silver", name), SILVER_SCHEMAS[name], first, last)
 
     def before(mart: str, first: int) -> DataFrame | None:
-        return L.read_snapshot(spark, paths.mart(mart), L.last_version_before(spark, paths.root, "gold", mart, first))
+        return L.read_snapshot(spark, paths.mart(mart), marks.last_before("gold", mart, first))
 
     def partials() -> DataFrame:
         return L.read_table(spark, paths.mart("daily_product_sales_partials"), partials_schema(spark))
@@ -182,7 +184,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
         return persist(G.compact_product_days(partials().filter(F.col(L.CV).between(first, last)).drop(L.CV)))
 
     def held_before(mart: str, first: int) -> int:
-        return L.last_version_before(spark, paths.root, "gold", mart, first)
+        return marks.last_before("gold", mart, first)
 
     def c360(first: int, last: int) -> None:
         mart = G.customer_360_step(before("customer_360", first), feed("orders", first, last).drop(L.CV), silver("customers", last), as_of)
@@ -190,7 +192,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
 
     def daily_sales(first: int, last: int) -> None:
         root = paths.mart("daily_sales_state")
-        prev = L.read_snapshot(spark, root, L.last_version_before(spark, paths.root, "gold", "daily_sales_summary", first))
+        prev = L.read_snapshot(spark, root, marks.last_before("gold", "daily_sales_summary", first))
         L.write_snapshot(G.merge_daily_sales(prev, G.daily_sales_batch(feed("orders", first, last))), root, last)
         L.write_snapshot(G.publish_daily_sales(L.read_snapshot(spark, root, last)), paths.mart("daily_sales_summary"), last)
 
@@ -224,7 +226,7 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
                 continue
             with released():          # intermediates persisted by the step die with it
                 steps[name](first, last)
-            L.advance_mark(spark, paths.root, "gold", name, last)
+            marks.record([("gold", name, last, "ok")])
             report.add("gold", name, "ok")
         except Exception as e:  # isolate: report, go on with the other marts
             log.exception("mart %s failed", name)
@@ -234,33 +236,28 @@ def build_marts(spark: SparkSession, paths: Paths, version: int, as_of: Column,
 # ---- a whole run ---------------------------------------------------------------------------------
 
 
-def current_marks(spark: SparkSession, root: str) -> dict[tuple[str, str], int]:
-    """All marks (a row per layer and table)."""
-    return {(r["layer"], r["table_name"]): int(r["version"]) for r in L.read_marks(spark, root).collect()}
-
-
-def next_version(spark: SparkSession, paths: Paths) -> int:
-    marks = [v for (layer, _), v in current_marks(spark, paths.root).items() if layer == "bronze"]
-    return max(marks, default=-1) + 1
+def next_version(spark: SparkSession, paths: Paths, marks: L.Marks | None = None) -> int:
+    marks = marks or L.Marks(spark, paths.root)
+    return max((v for (layer, _), v in marks.current().items() if layer == "bronze"), default=-1) + 1
 
 
-def rewind(spark: SparkSession, root: str, version: int) -> None:
+def rewind(marks: L.Marks, version: int) -> None:
     """Set every mark at or above ``version`` back to ``version - 1``."""
-    back = [(layer, table, version - 1, L.REWOUND) for (layer, table), v in sorted(current_marks(spark, root).items()) if v >= version]
-    L.advance_marks(spark, root, back)
+    marks.record([(layer, table, version - 1, L.REWOUND) for (layer, table), v in sorted(marks.current().items()) if v >= version])
 
 
-def clean_pending(spark: SparkSession, paths: Paths, upto: int, report: RunReport) -> None:
+def clean_pending(spark: SparkSession, paths: Paths, upto: int, report: RunReport, marks: L.Marks | None = None) -> None:
     """Clean every bronze commit that silver lacks, oldest first, all tables of a commit together."""
-    marks = current_marks(spark, paths.root)
-    pending = {n: marks.get(("silver", n), -1) + 1 for n in SILVER_ORDER if ("bronze", n) in marks}
+    marks = marks or L.Marks(spark, paths.root)
+    now = marks.current()
+    pending = {n: now.get(("silver", n), -1) + 1 for n in SILVER_ORDER if ("bronze", n) in now}
     for v in range(min(pending.values(), default=upto + 1), upto + 1):
         done = []
         for name in SILVER_ORDER:
             if name in pending and pending[name] <= v:
                 clean_commit(spark, paths, name, v, report)
                 done.append(("silver", name, v, "ok"))
-        L.advance_marks(spark, paths.root, done)
+        marks.record(done)
 
 
 def run_batches(spark: SparkSession, root: str, batches: dict[str, DataFrame], as_of: Column,
@@ -270,27 +267,23 @@ def run_batches(spark: SparkSession, root: str, batches: dict[str, DataFrame], a
     A table without a batch takes an empty commit, so all tables stay on the shared version.
     """
     paths = Paths(root, buckets)
-    v = next_version(spark, paths) if version is None else version
-    rewind(spark, root, v)
+    marks = L.Marks(spark, root)
+    v = next_version(spark, paths, marks) if version is None else version
+    rewind(marks, v)
     report = RunReport(v)
     for name in SILVER_ORDER:
         raw = batches[name] if name in batches else L.empty(spark, ENTITIES[name])
         ingest_batch(spark, paths, name, raw, v, report)
     # Bronze commits after a re-run version are still there: the edges go on to the last of them.
-    top = max(v, _last_bronze(spark, root))
-    L.advance_marks(spark, root, [(lay, t, top, st) for lay, t, st, _ in report.statuses if lay == "bronze"])
-    clean_pending(spark, paths, top, report)
-    build_marts(spark, paths, top, as_of, report)
+    top = max(v, marks.last_done("bronze"))
+    marks.record([(lay, t, top, st) for lay, t, st, _ in report.statuses if lay == "bronze"])
+    clean_pending(spark, paths, top, report, marks)
+    build_marts(spark, paths, top, as_of, report, marks=marks)
     if raise_on_failure and report.failed():
         raise RuntimeError(f"marts failed in commit {v}: {report.failed()}")
     return report
 
 
-def _last_bronze(spark: SparkSession, root: str) -> int:
-    row = L.mark_history(spark, root).filter((F.col("layer") == "bronze") & (F.col("status") != L.REWOUND)).agg(F.max("version")).first()
-    return -1 if row[0] is None else int(row[0])
-
-
 def run_pipeline(spark: SparkSession, landing_root: str, root: str, date, as_of: Column | None = None,
                  layout: str = "partitioned", version: int | None = None) -> RunReport:
     """Daily run for one business ``date``: landed pages of that date → bronze → silver → gold."""
@@ -326,9 +319,9 @@ def backfill(spark: SparkSession, landing_root: str, root: str, start, end, as_o
     return [run_pipeline(spark, landing_root, root, day, as_of, layout) for day in LD.days_between(start, end)]
 
 
-def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+def read_mart(spark: SparkSession, root: str, name: str, buckets: int = MART_BUCKETS) -> DataFrame | None:
     """The current snapshot of a mart (as recorded by its mark)."""
     v = L.mark_of(spark, root, "gold", name)
     if name in BUCKETED:
-        return Paths(root).bucketed(spark, name).read(v) if v >= 0 else None
+        return Paths(root, buckets).bucketed(spark, name).read(v) if v >= 0 else None
     return L.read_snapshot(spark, Paths(root).mart(name), v)

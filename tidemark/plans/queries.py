@@ -710,6 +710,68 @@ def landing_read(spark: SparkSession, d: str) -> DataFrame:
     return LD.read_partitioned(spark, _written(spark, d, "landing-customers", build), "customers")
 
 
+# ---- single pages of dated listings, through the index ---------------------------------------
+
+#: One page per listing: (day column or None for the order's day, first day, last day, page, limit).
+PAGES = {
+    "customers": ("1995-02-01", "1995-02-01", 1, 3), "products": ("1995-03-05", "1995-03-05", 1, 4),
+    "inventory": ("1997-06-03", "1997-06-03", 1, 5), "order_items": ("1995-05-02", "1995-05-02", 2, 10),
+    "order_status_log": ("1995-05-02", "1995-05-02", 1, 10),
+}
+ORDER_PAGES = {"none": (None, None), "upto": (None, "1996-02-29"), "since": ("2000-06-01", None), "between": ("1996-03-01", "1997-03-01"), "crossed": ("1997-03-01", "1996-03-01")}
+ORDER_PAGE, ORDER_LIMIT = 2, 150
+
+
+def _one_page_sql(name: str, first: str | None, last: str | None, number: int, limit: int) -> str:
+    spec, key, other = _page_spec(name)
+    view = _PAGE_SOURCES[name]
+    day = _DAY_COLS.get(name, "_day")
+    if name not in _DAY_COLS:
+        view = f"(SELECT c.*, o.order_date AS _day FROM {view} c JOIN (SELECT DISTINCT oid, order_date FROM f_orders) o ON c.order_id = o.oid)"
+    bounds = [f"{day} {op} DATE '{d}'" for op, d in ((">=", first), ("<=", last)) if d]
+    order = ", ".join([f"{key} NULLS FIRST"] + [f"{c} NULLS FIRST" for c in other])
+    return f"""SELECT {sql_publish(cols(spec))}, CAST({number} AS BIGINT) AS page, CAST(CEIL(n / {limit}) AS BIGINT) AS total_pages,
+       CAST(rn - {(number - 1) * limit} AS BIGINT) AS row_in_page
+FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY {order}) AS rn, COUNT(*) OVER () AS n FROM {view} WHERE {" AND ".join(bounds) or "TRUE"})
+WHERE rn BETWEEN {(number - 1) * limit + 1} AND {number * limit}"""
+
+
+_INDEXES: dict[tuple[str, str, str], object] = {}
+
+
+def _page_index(spark: SparkSession, d: str, name: str, by_day: bool):
+    from tidemark.plans.extracts import page_index
+    from tidemark.session import scratch_path
+    key = (spark.sparkContext.applicationId, d, f"{name}-{by_day}")
+    if key not in _INDEXES:
+        lake = flow.fresh_lake(spark, d)
+        _INDEXES[key] = page_index(lake.silver(name).drop("commit_version"), name, scratch_path(spark, f"pages-{name}"), lake.silver("orders"), by_day)
+    return _INDEXES[key]
+
+
+def _page_on(name: str):
+    first, last, number, limit = PAGES[name]
+
+    def q(spark: SparkSession, d: str) -> DataFrame:
+        return _page_index(spark, d, name, True).page(number, limit, first, last)
+    q.__doc__ = f"One page of the {name} of one day, read from the ranges that hold it."
+    return q
+
+
+for _n in PAGES:
+    register(f"page_{_n}_on", _one_page_sql(_n, *PAGES[_n]), tuple(c for c in MAY_LACK[_n] if c != "product_id"))(_page_on(_n))
+
+
+@register("page_orders_between", " UNION ALL ".join(f"SELECT '{case}' AS bounds, * FROM ({_one_page_sql('orders', *days, ORDER_PAGE, ORDER_LIMIT)})" for case, days in ORDER_PAGES.items()))
+def page_orders_between(spark: SparkSession, d: str) -> DataFrame:
+    """The second page of orders by key for each case of date bounds: none, upper, lower, both, and crossed ones (empty)."""
+    index, out = _page_index(spark, d, "orders", False), None
+    for case, days in ORDER_PAGES.items():
+        part = index.page(ORDER_PAGE, ORDER_LIMIT, *days).select(F.lit(case).alias("bounds"), "*")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # ---- extracts published by manifest --------------------------------------------------------
 
 EXTRACT_DAYS = ("1995-05-01", "1995-06-30")

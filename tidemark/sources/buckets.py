@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.lake import empty, path_exists
+from tidemark.sources.lake import empty, folder, path_exists
 
 MAP_SCHEMA = "bucket int, data_version int, n int"
 
@@ -46,18 +46,16 @@ class Buckets:
         path = self._map_path(version)
         if version < 0 or not path_exists(self.spark, path):
             return {}
-        return {r["bucket"]: r["data_version"] for r in self.spark.read.schema(MAP_SCHEMA).parquet(path).collect()}
-
-    def _check(self, version: int) -> None:
-        """Rows dealt to another number of buckets must not be mixed with these."""
-        path = self._map_path(version)
-        found = self.spark.read.schema(MAP_SCHEMA).parquet(path).first() if version >= 0 and path_exists(self.spark, path) else None
-        if found is not None and found["n"] != self.n:
-            raise ValueError(f"{self.root} has {found['n']} buckets, not {self.n}")
+        entries = self.spark.read.schema(MAP_SCHEMA).parquet(path).collect()
+        if entries and entries[0]["n"] != self.n:  # rows dealt to another number of buckets must not be mixed with these
+            raise ValueError(f"{self.root} has {entries[0]['n']} buckets, not {self.n}")
+        return {r["bucket"]: r["data_version"] for r in entries}
 
     def read(self, version: int, only: set[int] | None = None) -> DataFrame:
         """The rows as of ``version``, of all buckets or ``only`` some; an absent version has none."""
-        held = self.map(version)
+        return self._rows(self.map(version), only)
+
+    def _rows(self, held: dict[int, int], only: set[int] | None) -> DataFrame:
         data = f"{self.root.rstrip('/')}/data"
         paths = [f"{data}/version={v}/bucket={b}" for b, v in sorted(held.items()) if only is None or b in only]
         return self.spark.read.schema(self.schema).parquet(*paths) if paths else empty(self.spark, self.schema)
@@ -66,19 +64,18 @@ class Buckets:
         """The buckets (at most ``n``) of the keys in ``changes``."""
         return {r[0] for r in changes.select(self.bucket().alias("b")).distinct().collect()}
 
-    def write(self, version: int, before: int, rows: DataFrame, touched: set[int]) -> None:
-        """Version ``version``: ``rows`` are all rows of the ``touched`` buckets, the others stay as of version ``before``."""
-        self._check(before)
+    def write(self, version: int, held: dict[int, int], rows: DataFrame, touched: set[int]) -> None:
+        """Version ``version``: ``rows`` are all rows of the ``touched`` buckets, the others stay where ``held`` has them."""
         data = f"{self.root.rstrip('/')}/data/version={version}"
-        held = {b: v for b, v in self.map(before).items() if b not in touched}
-        (rows.select(*self.schema.fieldNames(), self.bucket().alias("bucket")).repartition(max(1, len(touched)), "bucket")
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(data))
-        filled = self.spark.read.schema("bucket int").option("basePath", data).parquet(data).select("bucket").distinct() if touched else None
-        held.update({r[0]: version for r in filled.collect()} if filled is not None else {})
-        entries = self.spark.createDataFrame([(b, v, self.n) for b, v in sorted(held.items())], MAP_SCHEMA)
+        after = {b: v for b, v in held.items() if b not in touched}
+        if touched:
+            (rows.select(*self.schema.fieldNames(), self.bucket().alias("bucket")).repartition(len(touched), "bucket")
+             .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(data))
+            after.update({int(f.split("=")[1]): version for f in folder(self.spark, data) if f.startswith("bucket=")})
+        entries = self.spark.createDataFrame([(b, v, self.n) for b, v in sorted(after.items())], MAP_SCHEMA)
         entries.coalesce(1).write.mode("overwrite").parquet(self._map_path(version))
 
     def change(self, version: int, before: int, changes: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """Version ``version`` = version ``before`` with ``merge(rows of the touched buckets, changes)`` in their place."""
-        touched = self.touched(changes)
-        self.write(version, before, merge(self.read(before, touched), changes), touched)
+        held, touched = self.map(before), self.touched(changes)
+        self.write(version, held, merge(self._rows(held, touched), changes), touched)

@@ -9,9 +9,9 @@
 * A mart is a sequence of immutable snapshot directories; "overwrite" writes the next
   snapshot and the marks table points readers at it, so a plan never overwrites the
   path it is reading.
-* Marks (the per layer/table high-water marks) are a small append-only Parquet table of
+* Marks (the per layer/table high-water marks) are a small Parquet table of
   ``(layer, table_name, version, status, seq)`` rows; the current mark is the row of the highest
-  ``seq``, so a re-run can set a mark back.
+  ``seq``, so a re-run can set a mark back (see :class:`Marks`).
 """
 
 from __future__ import annotations
@@ -36,6 +36,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of one folder (not below it); none if it is not there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
@@ -161,29 +168,60 @@ def marks_path(root: str) -> str:
     return f"{root.rstrip('/')}/_marks"
 
 
-def mark_history(spark: SparkSession, root: str) -> DataFrame:
-    """Every recorded mark, oldest to newest by ``seq``."""
-    path = marks_path(root)
-    return spark.read.schema(MARKS_SCHEMA).parquet(path) if path_exists(spark, path) else empty(spark, MARKS_SCHEMA)
+class Marks:
+    """The marks of a lake, read once and kept in step with what this run records.
+
+    Each record writes the whole list (a few rows a run) as one file of a new generation; readers take the latest complete one,
+    so a run opens one small file however many runs there were. One run writes at a time."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+        done = [int(f.split("=")[1]) for f in folder(spark, marks_path(root)) if f.startswith("gen=")]
+        self.generation, self.rows = -1, []
+        for gen in sorted(done, reverse=True):
+            path = f"{marks_path(root)}/gen={gen}"
+            if path_exists(spark, f"{path}/_SUCCESS"):
+                found = spark.read.schema(MARKS_SCHEMA).parquet(path).collect()
+                self.generation, self.rows = gen, sorted((tuple(r) for r in found), key=lambda r: r[4])
+                break
+
+    def current(self) -> dict[tuple[str, str], int]:
+        """The version recorded last per (layer, table)."""
+        return {(layer, table): version for layer, table, version, _, _ in self.rows}
+
+    def of(self, layer: str, table: str) -> int:
+        return self.current().get((layer, table), -1)
+
+    def last_before(self, layer: str, table: str, version: int) -> int:
+        """The newest version below ``version`` that (layer, table) ever completed; -1 if none."""
+        return max((v for lay, t, v, status, _ in self.rows if (lay, t) == (layer, table) and v < version and status != REWOUND), default=-1)
+
+    def last_done(self, layer: str) -> int:
+        """The newest version that any table of ``layer`` ever completed; -1 if none."""
+        return max((v for lay, _, v, status, _ in self.rows if lay == layer and status != REWOUND), default=-1)
+
+    def record(self, rows: list[tuple[str, str, int, str]]) -> None:
+        """Record marks (layer, table, version, status); after the data they stand for."""
+        if not rows:
+            return
+        seq = self.rows[-1][4] + 1 if self.rows else 0
+        after = self.rows + [(a, b, int(c), d, seq + k) for k, (a, b, c, d) in enumerate(rows)]
+        gen = max([self.generation, *(int(f.split("=")[1]) for f in folder(self.spark, marks_path(self.root)) if f.startswith("gen="))]) + 1
+        self.spark.createDataFrame(after, MARKS_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{marks_path(self.root)}/gen={gen}")
+        self.generation, self.rows = gen, after
 
 
 def read_marks(spark: SparkSession, root: str) -> DataFrame:
     """Current mark per (layer, table): the version recorded last."""
-    return (mark_history(spark, root).groupBy("layer", "table_name")
-            .agg(F.max_by("version", F.col("seq")).alias("version")))
+    return spark.createDataFrame([(a, b, v) for (a, b), v in Marks(spark, root).current().items()], "layer string, table_name string, version int")
 
 
 def mark_of(spark: SparkSession, root: str, layer: str, table: str) -> int:
-    row = read_marks(spark, root).filter((F.col("layer") == layer) & (F.col("table_name") == table)).first()
-    return -1 if row is None or row["version"] is None else int(row["version"])
+    return Marks(spark, root).of(layer, table)
 
 
 def last_version_before(spark: SparkSession, root: str, layer: str, table: str, version: int) -> int:
-    """The newest version below ``version`` that (layer, table) ever completed; -1 if none."""
-    row = (mark_history(spark, root)
-           .filter((F.col("layer") == layer) & (F.col("table_name") == table) & (F.col("version") < version) & (F.col("status") != REWOUND))
-           .agg(F.max("version")).first())
-    return -1 if row[0] is None else int(row[0])
+    return Marks(spark, root).last_before(layer, table, version)
 
 
 def advance_mark(spark: SparkSession, root: str, layer: str, table: str, version: int, status: str = "ok") -> None:
@@ -192,13 +230,8 @@ def advance_mark(spark: SparkSession, root: str, layer: str, table: str, version
 
 
 def advance_marks(spark: SparkSession, root: str, rows: list[tuple[str, str, int, str]]) -> None:
-    """Record several marks in one small append (one per layer and run)."""
-    if not rows:
-        return
-    top = mark_history(spark, root).agg(F.max("seq")).first()[0]
-    seq = 0 if top is None else int(top) + 1
-    df = spark.createDataFrame([(a, b, int(c), d, seq + k) for k, (a, b, c, d) in enumerate(rows)], MARKS_SCHEMA)
-    df.coalesce(1).write.mode("append").parquet(marks_path(root))
+    """Record several marks at once (one write per layer and run)."""
+    Marks(spark, root).record(rows)
 
 
 PENDING_COLS = ["status", "from_version", "to_version"]
