@@ -58,10 +58,8 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    ids = bpe_codec.encode(docs.select("doc_id", "text"), vocab, public_tokenizers.PATTERN).select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.col("ids").alias("token_ids"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), "ids")
-    return bpe_codec.decode(ids, vocab).select("doc_id", "n_tokens", "token_ids", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = bpe_codec.encode(docs.select("doc_id", "text"), vocab, public_tokenizers.PATTERN, round_trip="decoded_sha256")
+    return out.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.col("ids").alias("token_ids"), bpe_codec.ids_digest().alias("ids_sha256"), "decoded_sha256")
 
 
 STAGES = [

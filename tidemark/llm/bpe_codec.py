@@ -211,20 +211,34 @@ def _schema_with(df: DataFrame, drop: set[str], field: str) -> tuple[list[str],
     return [f.name for f in keep], ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in keep] + [field])
 
 
-def encode(df: DataFrame, vocab_path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``df`` plus ``out`` array<int>: the ids of the whole text (null or empty text: none)."""
+def encode(df: DataFrame, vocab_path: str, pattern: str, text: str = "text", out: str = "ids", round_trip: str | None = None) -> DataFrame:
+    """``df`` plus ``out`` array<int>: the ids of the whole text (null or empty text: none).
+
+    ``round_trip``: a column for the sha256 (lowercase hex) of the bytes that the ids decode to. Encoding and decoding are
+    then one pass by one Python worker, and the bytes never leave it."""
     vocab = _vocabulary(df, vocab_path)
-    names, schema = _schema_with(df, {out}, f"`{out}` array<int>")
+    more = [(out, "array<int>")] + ([(round_trip, "string")] if round_trip else [])
+    names, schema = _schema_with(df, {n for n, _ in more}, ", ".join(f"`{n}` {t}" for n, t in more))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         codec = _codec(vocab.value, pattern)
         ids, counts = codec.encode_slice(batch.column(batch.schema.get_field_index(text)).to_pylist())
-        column = pa.ListArray.from_arrays(pa.array(offsets_of(counts), type=pa.int32()), pa.array(ids, type=pa.int32()))
-        return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), column], [*names, out])
+        ends = offsets_of(counts)
+        columns = [*(batch.column(batch.schema.get_field_index(n)) for n in names),
+                   pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(ids, type=pa.int32()))]
+        if round_trip:
+            raw, cut = memoryview(codec.decode(ids)), offsets_of(codec.token_length[ids])[ends].tolist()
+            columns.append(pa.array([hashlib.sha256(raw[lo:hi]).hexdigest() for lo, hi in zip(cut[:-1], cut[1:], strict=True)], type=pa.string()))
+        return pa.RecordBatch.from_arrays(columns, [*names, *(n for n, _ in more)])
 
     return map_slices(df.select(*(F.col(f"`{n}`") for n in dict.fromkeys([*names, text]))), work, schema, text)
 
 
+def ids_digest(ids: str = "ids"):
+    """sha256 of the decimal ids joined by commas, lowercase hex."""
+    return F.sha2(F.array_join(F.col(ids).cast("array<string>"), ",").cast("binary"), 256)
+
+
 def decode(df: DataFrame, vocab_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` without its ids, plus ``out`` binary: the bytes that the ids stand for (null ids: none)."""
     vocab = _vocabulary(df, vocab_path)
@@ -247,10 +261,5 @@ def decode(df: DataFrame, vocab_path: str, ids: str = "ids", out: str = "decoded
 
 def digests(df: DataFrame, vocab_path: str, pattern: str) -> DataFrame:
     """One row per document: doc_id, n_tokens, ids_sha256, decoded_sha256 (contract of op4)."""
-    enc = encode(df.select("doc_id", "text"), vocab_path, pattern).select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        "ids",
-    )
-    return decode(enc, vocab_path).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    enc = encode(df.select("doc_id", "text"), vocab_path, pattern, round_trip="decoded_sha256")
+    return enc.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_digest().alias("ids_sha256"), "decoded_sha256")
