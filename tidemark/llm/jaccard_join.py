@@ -45,6 +45,8 @@ PERCENT = 80
 ORDERED = 1 << 17
 TILE = 2048
 ROUNDS = 1
+#: Tiles by which a pair's repeats are told, and the number of no tile.
+FIRSTS, NEVER = 8, 2**63 - 1
 CACHE_WORDS = 150_000
 FILTER_BITS = 23
 #: Odd multipliers of the shingle hash (any will do; fixed so that hashes agree).
@@ -359,9 +361,10 @@ def passing(pairs: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
 def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
     """Pairs across components in the blocks of tiles whose signatures leave the similarity possible.
 
-    ``open_rows``: (shingle, i, j, side, n, small, component, doc_id, bits); a block pair
+    ``open_rows``: (shingle, i, j, side, n, small, component, doc_id, bits, firsts, smalls); a block pair
     (i, j) holds about 2 * TILE rows by the way blocks are dealt, and is compared in numpy, the smaller set of a pair
-    first. A pair comes from each tile that it has in common (at most its prefix) and is made one before it is used.
+    first. A pair can come from every tile that it has in common; it is not made again where the two documents' first
+    open tiles (``first_tiles``) show an earlier one that made it, and the few repeats left are made one before they are used.
     """
 
     def compare(block: pa.Table):
@@ -373,6 +376,7 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
         cross = block["i"].to_numpy() != block["j"].to_numpy()
         keys = np.stack([block[c].to_numpy() for c in ("shingle", "i", "j")])
         bits = block["bits"].to_pylist()
+        firsts, smalls = (block[c].combine_chunks().flatten().to_numpy().reshape(-1, FIRSTS) for c in ("firsts", "smalls"))
         rows = np.arange(len(n))
         d = 1
         left = rows[:-1]
@@ -386,6 +390,9 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             if len(a):
                 pass_ = signatures_may_link(n[a], n[b], [bits[x] for x in a.tolist()], [bits[x] for x in b.tolist()], percent)
                 a, b = a[pass_], b[pass_]
+                told = (smalls[a][:, :, None] == firsts[b][:, None, :]) & (smalls[a] < keys[0, a][:, None])[:, :, None]
+                again = told.any(axis=(1, 2))
+                a, b = a[~again], b[~again]
                 if len(a):
                     x, y = doc[a], doc[b]
                     yield pa.RecordBatch.from_arrays([pa.array(np.maximum(x, y)), pa.array(np.minimum(x, y))], ["a", "b"])
@@ -405,7 +412,19 @@ def cross_pairs(open_rows: DataFrame, percent: int) -> DataFrame:
             yield from compare(rest)
 
     ordered = open_rows.repartition("shingle", "i", "j").sortWithinPartitions("shingle", "i", "j", "n", "doc_id")
-    return ordered.select("shingle", "i", "j", "side", "n", "small", "component", "doc_id", "bits").mapInArrow(run, "a bigint, b bigint").distinct()
+    return ordered.select("shingle", "i", "j", "side", "n", "small", "component", "doc_id", "bits", "firsts", "smalls").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def first_tiles(rows: DataFrame) -> DataFrame:
+    """(doc_id, firsts, smalls): the ``FIRSTS`` least open tiles of each document (at most its prefix), and those where it may be
+    the smaller one of a pair; the last one repeats where there are fewer."""
+    def least(tiles):
+        few = F.slice(F.sort_array(tiles), 1, FIRSTS)
+        return F.array(*[F.coalesce(F.get(few, F.least(F.lit(k), F.size(few) - 1)), F.lit(NEVER)) for k in range(FIRSTS)])
+
+    small = F.when(F.col("small"), F.col("shingle"))
+    held = rows.groupBy("doc_id").agg(F.collect_set("shingle").alias("_t"), F.collect_set(small).alias("_s"))
+    return held.select("doc_id", least(F.col("_t")).alias("firsts"), least(F.col("_s")).alias("smalls"))
 
 
 def verify_all(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -464,7 +483,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     dealt = dealt.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("shingle", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"),
                          F.when(F.col("own") <= F.col("with"), 0).otherwise(1).alias("side"), "n", "small", "component", "doc_id")
-    apart = materialize(cross_pairs(dealt.join(signatures.select("doc_id", "bits"), "doc_id"), percent), "jaccard-pairs")
+    apart = materialize(cross_pairs(dealt.join(signatures.select("doc_id", "bits"), "doc_id").join(first_tiles(rows), "doc_id"), percent), "jaccard-pairs")
     apart = materialize(apart.join(tried.distinct(), ["a", "b"], "left_anti"), "jaccard-pairs")
     if apart.head(1):
         links = materialize(links.unionAll(verify_all(docs, apart, percent)), "jaccard-links")
