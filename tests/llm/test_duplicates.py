@@ -275,3 +275,27 @@ def test_unspaced_scripts_are_cut_into_characters(spark):
     test = spark.createDataFrame([(1, passage), (2, "ในน้ำมีปลาในนามีข้าว")], "item_id bigint, text string")
     docs = spark.createDataFrame([(1, "前文。" + passage + "。後文"), (2, "別の文章です"), (3, "xx ในน้ำมีปลาในนามีข้าว")], "doc_id bigint, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.contaminated(docs, test).collect()} == {(1, 1), (3, 2)}
+
+
+def test_no_exact_repeat_on_a_candidate_diagonal_is_lost():
+    """Texts that share many blocks, damaged between them: every window that both hold word for word is touched by a passage."""
+    r = np.random.default_rng(0)
+    whole = 0
+    for _ in range(150):
+        n = int(r.integers(100, 400))
+        x = r.integers(0, 2**32, n, dtype=np.uint32)
+        y = x.copy()
+        for _ in range(int(r.integers(1, 8))):
+            at = int(r.integers(0, n))
+            y[at:at + int(r.integers(1, 25))] = r.integers(0, 2**32)
+        got = substring_dedup.passages(x, y, [(-16, 16)])
+        spans = sorted((s, s + m) for s, m, *_ in got)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False)) and all(e - s >= substring_dedup.WIDTH for s, e in spans)
+        covered = np.zeros(n, dtype=bool)
+        for s, e in spans:
+            covered[s:e] = True
+        for at in range(n - substring_dedup.WIDTH + 1):
+            if (x[at:at + substring_dedup.WIDTH] == y[at:at + substring_dedup.WIDTH]).all():
+                whole += 1
+                assert covered[at:at + substring_dedup.WIDTH].any()
+    assert whole > 5000
