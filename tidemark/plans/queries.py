@@ -712,11 +712,12 @@ def landing_read(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- single pages of dated listings, through the index ---------------------------------------
 
-#: One page per listing: (day column or None for the order's day, first day, last day, page, limit).
+_DAY_COLS = {"customers": "join_date", "products": "created_at", "orders": "order_date", "inventory": "last_restocked_at"}
+#: One page per listing: (first day, last day, page, limit).
 PAGES = {
     "customers": ("1995-02-01", "1995-02-01", 1, 3), "products": ("1995-03-05", "1995-03-05", 1, 4),
     "inventory": ("1997-06-03", "1997-06-03", 1, 5), "order_items": ("1995-05-02", "1995-05-02", 2, 10),
-    "order_status_log": ("1995-05-02", "1995-05-02", 1, 10),
+    "order_status_log": ("1995-06-20", "1995-06-20", 2, 10),
 }
 ORDER_PAGES = {"none": (None, None), "upto": (None, "1996-02-29"), "since": ("2000-06-01", None), "between": ("1996-03-01", "1997-03-01"), "crossed": ("1997-03-01", "1996-03-01")}
 ORDER_PAGE, ORDER_LIMIT = 2, 150
@@ -779,7 +780,6 @@ EXTRACT_LIMIT = 20
 _KEYS = {"customers": ("customer_id", "NULL", "name"), "products": ("pid", "NULL", "product_name"),
          "orders": ("oid", "customer_id", "order_status"), "order_items": ("order_item_id", "order_id", "product_id"),
          "inventory": ("inventory_id", "product_id", "warehouse_location"), "order_status_log": ("log_id", "order_id", "new_status")}
-_DAY_COLS = {"customers": "join_date", "products": "created_at", "orders": "order_date", "inventory": "last_restocked_at"}
 _SOURCE_VIEWS = {"customers": "s_customers", "products": "s_products", "orders": "s_orders", "order_items": "s_items",
                  "inventory": "s_inventory", "order_status_log": "s_logs"}
 
