@@ -115,6 +115,54 @@ def test_secrets_found_and_false_positives_left(spark):
     assert "MIIabc123" not in clean[902]
 
 
+def test_secrets_without_digits_and_key_blocks(spark):
+    """Formats and names make findings without a digit; key blocks with headers, and without an END line."""
+    r = random.Random(3)
+    letters = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=16))
+    lines = "\n".join("".join(r.choices("ABCDEFGHIJKLMNOPabcdefghijklmnop+/", k=64)) for _ in range(6))
+    rows, gone = [], {}
+    for i in range(240):
+        words = prose(i, 40).split()
+        value = "".join(r.choices("0123456789abcdef", k=20))
+        put, secret = [(f"password={value}", value), ("".join(r.choices("0123456789", k=12)), None), ("the key: understanding", None), ("secret:somebody", None),
+                       (f"passwd = {'Aa'.join(r.choices(['Horse', 'Staple', 'Battery', 'Paper'], k=2))}!{'Bb'.join(r.choices(['Pen', 'Cup'], k=2))}", True), (f"joe@mail{i}.org", None)][i % 6]
+        words.insert(r.randrange(len(words)), put)
+        rows.append((i, " ".join(words)))
+        if secret:
+            gone[i] = put.split("=")[1].strip()
+    special = {900: f"sk_live_{letters}", 901: f"ghp_{letters}{letters}{letters}", 902: "password = CorrectHorse!Battery", 903: '"password":"CorrectHorse!Battery"',
+               904: f"-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\n{lines}\n-----END RSA PRIVATE KEY-----", 905: f"-----BEGIN PRIVATE KEY-----\n{lines}"}
+    rows += [(i, f"{prose(i, 20)} {t}\n{prose(i + 100, 20)}") for i, t in special.items()]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = {x["doc_id"]: x["text"] for x in secret_scan.redact(docs).collect()}
+    texts = dict(rows)
+    for i in range(240):
+        assert (clean[i] == texts[i]) == (i not in gone), texts[i]
+        assert i not in gone or gone[i] not in clean[i]
+    for i, held in {900: letters, 901: letters, 902: "CorrectHorse", 903: "CorrectHorse", 904: lines[:64], 905: lines[-64:]}.items():
+        assert held not in clean[i] and clean[i].startswith(prose(i, 20)) and clean[i].endswith(prose(i + 100, 20)), clean[i]
+
+
+def test_a_long_text_after_an_unclosed_key_stays(spark):
+    text = "see -----BEGIN PRIVATE KEY----- in the manual - " + prose(1, 30_000) + " a-b" * 5000
+    docs = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    assert secret_scan.redact(docs).first()["text"] == text
+
+
+def test_forest_reads_as_spark_predicts(spark):
+    from pyspark.ml.classification import RandomForestClassifier
+    from pyspark.ml.functions import array_to_vector
+    r = random.Random(8)
+    rows = [(float(k % 2 if r.random() < 0.8 else 1 - k % 2), r.random() + 0.3 * (k % 2), r.random() * (1 + k % 2), float(r.randint(0, 3))) for k in range(600)]
+    frame = spark.createDataFrame(rows, "label double, a double, b double, c double").withColumn("features", array_to_vector(F.array("a", "b", "c")))
+    forest = RandomForestClassifier(numTrees=secret_scan.TREES, maxDepth=secret_scan.DEPTH, seed=1).fit(frame)
+    votes = secret_scan.forest_score(forest.toDebugString, [F.col("a"), F.col("b"), F.col("c")])
+    trees = frame.select("features", votes.alias("votes")).collect()
+    assert len({x["votes"] for x in trees}) > 5
+    for x in trees:
+        assert x["votes"] == sum(t.predict(x["features"]) for t in forest.trees) / secret_scan.TREES
+
+
 def test_printed_forest_reads_back():
     text = ("RandomForestClassificationModel: uid=x, numTrees=2, numClasses=2, numFeatures=2\n  Tree 0 (weight 1.0):\n    If (feature 0 <= 0.5)\n     Predict: 0.0\n"
             "    Else (feature 0 > 0.5)\n     If (feature 1 <= 2.0)\n      Predict: 1.0\n     Else (feature 1 > 2.0)\n      Predict: 0.0\n  Tree 1 (weight 1.0):\n    Predict: 1.0\n")

@@ -1,7 +1,8 @@
 """Secret scanning with a random forest for false-positive removal, in DataFrame expressions only.
 
-Every word of at least ``SHORTEST`` characters with a digit (or a known key format without one) is a
-finding, as are private-key blocks.
+A word of at least ``SHORTEST`` characters is a finding if it has a digit, holds one of ``KNOWN_FORMATS``,
+or is assigned to a secret's name (``name=value``, ``"name":"value"``, ``name = value``, ``name: value``), whatever its letters.
+Private-key blocks are findings up to their END line; without one, over the header fields and key lines that follow.
 A finding's value is the word without its wrapping, and without the name before ``=`` or ``:``.
 Features: length; shares of digits, capitals and signs; changes between letters, digits and signs;
 distinct characters; runs of pairs usual in words; dictionary coverage (frequent words of the corpus);
@@ -10,11 +11,15 @@ path parts; and names in the value's own assignment or in the two words before i
 The forest (Spark ML, a fixed seed) is trained on labelled findings, a bounded sample of ``SAMPLE``.
 ``scan`` takes them from the caller; where there are none, ``weak_labels`` labels the
 findings whose format or naming leaves no doubt (see there), and the rest is for the forest to judge.
+What has a provider's format or is a key block (``certain``) stays whatever the forest says.
 Its trees become one expression, so findings are scored inside their row: nothing is exploded,
 shuffled or joined to scan or to redact, whatever one document or source holds.
 
 Defined cases: null and empty texts have no finding; a value found several times is a finding each
-time; without labels of both kinds the weak labels decide alone; documents of any length are read whole.
+time; without labels of both kinds the weak labels decide alone; documents of any length are read whole; repeated
+rows and repeated ids are scanned each by itself; a score of exactly 0.5 stays; an empty table gives no row;
+``scan`` ignores extra columns, ``redact`` passes them through whatever their names. Values under ``SHORTEST``
+characters, and plain words under a secret's name ("key: understanding"), are left in the text.
 """
 
 from __future__ import annotations
@@ -33,29 +38,42 @@ SAMPLE = 4000
 TREES = 15
 DEPTH = 5
 DICTIONARY = 400
+#: A name and the value assigned to it, in one word.
+ASSIGNED = r"^([A-Za-z_.-]{2,40})[\"']?[=:](?!//)[\"']?(.+)$"
 WRAP = "\"'`.,;:!?()[]{}<>"
 #: Names that announce a secret, and words that announce something else.
 NAMES = r"(?i)(passw|pwd|secret|token|api|auth|cred|private|access|key)"
+NAMED = NAMES + r"[A-Za-z_.-]*[\"']?[=:](?!//)."
 HARMLESS = r"(?i)(example|sample|dummy|test|placeholder|sha|md5|commit|checksum|digest|uuid|version|card|phone|mail)"
-KEY_BLOCK = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[^-]+-----END [A-Z ]*PRIVATE KEY-----"
-#: What makes a word a finding: a digit, or a key format that can do without one.
-HINT = "[0-9]|AKIA[A-Z]{16}"
+#: Up to the END line (header fields hold single dashes), or the header fields and key lines after a BEGIN that has none.
+KEY_BLOCK = (r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:[^-]+(?:-{1,4}[^-]+){0,40}-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----"
+             r"|(?:\s+(?:[A-Za-z-]+: \S+|[A-Za-z0-9+/=]{16,})){1,400})")
 #: Formats that providers give their keys.
 KNOWN_FORMATS = (r"^AKIA[0-9A-Z]{16}$", r"^gh[pousr]_[A-Za-z0-9]{36,}$", r"^xox[abprs]-[A-Za-z0-9-]{10,}$", r"^sk_(live|test)_[A-Za-z0-9]{16,}$",
                  r"^AIza[A-Za-z0-9_-]{35}$", r"^eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+$")
+#: What makes a word a finding by itself: a digit, or a key format, which can do without one.
+HINT = "|".join(["[0-9]", *(p.strip("^$") for p in KNOWN_FORMATS)])
+#: A value under a secret's name without a digit: surely a password, or surely a plain word.
+STRONG = (r"[a-z]", r"[A-Z]", r"[!#$%&*+=?^~]")
+PLAIN = r"^\p{L}[\p{Ll}'_-]*$"
 HARMLESS_FORMATS = (r"^[^@\s]+@[^@\s]+\.[A-Za-z]+$", r"^[0-9.,:/+()-]+$", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"^[a-z]+://")
 
 
 def findings(text: Column) -> Column:
     """Array of (at, name, value, before, after) of a text's findings."""
     def of_words(w: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: (F.length(F.get(w, i)) >= SHORTEST) & F.get(w, i).rlike(HINT))
+        def hinted(i: Column) -> Column:
+            last = F.get(w, i - 1)
+            under = (last.endswith("=") | last.endswith(":")) & F.concat_ws(" ", F.get(w, i - 2), last).rlike(NAMES)
+            return (F.length(F.get(w, i)) >= SHORTEST) & (F.get(w, i).rlike(HINT) | F.get(w, i).rlike(NAMED) | F.coalesce(under, F.lit(False)))
+
+        at = F.filter(F.sequence(F.lit(0), F.size(w) - 1), hinted)
 
         def one(i: Column) -> Column:
             bare = F.btrim(F.get(w, i), F.lit(WRAP))
-            assigned = F.regexp_extract(bare, r"^([A-Za-z_.-]{2,40})[=:](?!//)[\"']?(.+)$", 2)
+            assigned = F.regexp_extract(bare, ASSIGNED, 2)
             return F.struct(
-                i.cast("bigint").alias("at"), F.regexp_extract(bare, r"^([A-Za-z_.-]{2,40})[=:](?!//)[\"']?.+$", 1).alias("name"),
+                i.cast("bigint").alias("at"), F.regexp_extract(bare, ASSIGNED, 1).alias("name"),
                 F.btrim(F.when(assigned == "", bare).otherwise(assigned), F.lit(WRAP)).alias("value"),
                 F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"), F.coalesce(F.get(w, i + 1), F.lit("")).alias("after"))
 
@@ -66,7 +84,7 @@ def findings(text: Column) -> Column:
         F.lit(-1).cast("bigint").alias("at"), F.lit("private key").alias("name"), v.alias("value"), F.lit("").alias("before"), F.lit("").alias("after")))
     none = F.array().cast(kind)
     found = F.when(F.coalesce(F.btrim(text, F.lit(" \t\n\x0b\x0c\r")), F.lit("")) == "", none).otherwise(let(words(text), of_words).cast(kind))
-    return F.concat(found, F.when(F.coalesce(F.contains(text, F.lit("PRIVATE KEY-----")), F.lit(False)), blocks.cast(kind)).otherwise(none))
+    return F.concat(found, F.when(F.coalesce(F.contains(text, F.lit("PRIVATE KEY")), F.lit(False)), blocks.cast(kind)).otherwise(none))
 
 
 def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
@@ -100,17 +118,24 @@ def features(f: Column, known: list[str]) -> list[Column]:
         ((f["name"] != "") | f["before"].rlike("[=:]$")).cast("int"))]
 
 
+def certain(f: Column) -> Column:
+    """Whether a finding has a provider's key format or is a private-key block."""
+    return reduce(lambda a, b: a | b, [f["value"].rlike(p) for p in KNOWN_FORMATS]) | (f["name"] == "private key")
+
+
 def weak_labels(f: Column) -> Column:
     """1 or 0 where a finding's format or naming leaves no doubt, else null.
 
-    1: a provider's key format, a private-key block, or a value of digits and letters under a secret's name.
-    0: mail addresses, addresses, numbers, dates, uuids, or anything announced as an example or checksum.
+    1: a provider's key format, a private-key block, or, under a secret's name, a value of digits and letters or of
+    small letters, capitals and signs.
+    0: mail addresses, addresses, numbers, dates, uuids, anything announced as an example or checksum, or a plain word.
     """
     v = f["value"]
-    known = reduce(lambda a, b: a | b, [v.rlike(p) for p in KNOWN_FORMATS]) | (f["name"] == "private key")
     harmless = reduce(lambda a, b: a | b, [v.rlike(p) for p in HARMLESS_FORMATS]) | f["before"].rlike(HARMLESS)
-    named = (f["name"].rlike(NAMES) | (f["before"].rlike(NAMES) & f["before"].rlike("[=:]$"))) & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ~v.rlike("[@/]")
-    return F.when(known, 1).when(harmless, 0).when(named, 1)
+    under = f["name"].rlike(NAMES) | (f["before"].rlike(NAMES) & f["before"].rlike("[=:]$"))
+    named = under & v.rlike("[0-9]") & v.rlike("[A-Za-z]") & ~v.rlike("[@/]")
+    strong = under & reduce(lambda a, b: a & b, [v.rlike(p) for p in STRONG])
+    return F.when(certain(f), 1).when(harmless, 0).when(named | strong, 1).when(under & v.rlike(PLAIN), 0)
 
 
 # --- the forest -----------------------------------------------------------------------------
@@ -167,7 +192,8 @@ class Scanner:
     def score(self, f: Column) -> Column:
         if self.printed is None:
             return F.coalesce(weak_labels(f), F.lit(0)).cast("double")
-        return let(F.array(*features(f, self.known)), lambda v: forest_score(self.printed, [F.get(v, F.lit(i)) for i in range(len(FEATURES))]))
+        judged = let(F.array(*features(f, self.known)), lambda v: forest_score(self.printed, [F.get(v, F.lit(i)) for i in range(len(FEATURES))]))
+        return F.when(certain(f), 1.0).otherwise(judged)
 
     def secrets(self, text: Column) -> Column:
         """Array of (at, name, value, score) of the findings that stay."""
