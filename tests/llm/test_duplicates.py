@@ -177,6 +177,20 @@ def test_benchmark_blocks_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, decontaminate.contaminated(docs, test).collect())) == whole and len(whole) >= 20
 
 
+def test_short_benchmark_texts_match_as_whole_lines(spark):
+    items = [(1, "What is the capital of France?"), (2, "yes"), (None, "Two plus two is four"), (3, "天気が良い"), (4, "yes"), (5, None), (6, " ")]
+    test = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = [(1, "intro line\n  what is the capital of france\nend"), (2, "he said yes to it"), (3, "YES!"), (None, "two plus two is four."), (None, "clean text"), (4, ""), (5, None),
+            (6, "a\nyes\nb\nyes"), (7, "天気が良い。"), (8, "今日は天気が良いので"), (3, "YES!"), (3, "a clean one under the same id")]
+    docs = spark.createDataFrame([(*x, 7) for x in rows], "doc_id bigint, text string, item_id bigint")
+    got = sorted(map(tuple, decontaminate.contaminated(docs, test).collect()), key=str)
+    want = [(1, 1, 2, 6, 6), (3, 2, 0, 1, 1), (3, 4, 0, 1, 1), (3, 2, 0, 1, 1), (3, 4, 0, 1, 1), (None, None, 0, 5, 5), (6, 2, 1, 1, 1), (6, 4, 1, 1, 1), (7, 3, 0, 5, 5)]
+    assert got == sorted(want, key=str)
+    kept = decontaminate.clean(docs, test)
+    assert kept.columns == docs.columns
+    assert sorted((r["text"] or "" for r in kept.collect())) == sorted(["he said yes to it", "clean text", "", "", "今日は天気が良いので", "a clean one under the same id"])
+
+
 def edited(words: list[str], kind: str, at: int) -> list[str]:
     return {"insert": words[:at] + ["inserted"] + words[at:], "delete": words[:at] + words[at + 1:], "change": words[:at] + ["changed"] + words[at + 1:]}[kind]
 

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.caching import materialize  # noqa: F401  (re-exported)
 from tidemark.sources.tables import read_table
@@ -68,7 +69,7 @@ def slices(texts: list, limit: int = SLICE_CHARS) -> Iterator[tuple[int, int]]:
         yield lo, len(texts)
 
 
-def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str) -> DataFrame:
+def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str | StructType, text: str) -> DataFrame:
     """``mapInArrow`` over slices of the batches, cut by the characters of column ``text``."""
 
     def run(batches):

@@ -16,8 +16,11 @@ per block, whole, and only verified hits leave a task. A passage that a third of
 costs each of them one row.
 
 Defined cases: null and empty texts on either side match nothing; benchmark texts under ``SPAN``
-words match as whole texts in ``PERCENT`` percent of their words, from ``SHORTEST`` words on; copies
-of a benchmark text each give their rows; extra columns are ignored; an empty benchmark flags nothing.
+words match as whole texts in ``PERCENT`` percent of their words. Under ``SHORTEST`` words no substitution is left: such a
+text matches where it is a whole line of a document, word for word but for words of punctuation alone (inside a sentence, "yes" or "the answer is"
+tells nothing). Copies of a benchmark text each give their rows, as do repeated documents; null item ids are items
+without a name (their rows have a null ``item_id``); of equally good places of an item the first is told. Extra columns are ignored by
+``contaminated`` and passed through by ``clean``; an empty benchmark flags nothing, an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -59,6 +62,11 @@ def words_of(text: str | None) -> list[str]:
     return [w.strip(STRIP) or w for w in text.lower().split()]
 
 
+def spoken(words: list[str]) -> tuple[str, ...]:
+    """The words that are more than punctuation."""
+    return tuple(w for w in words if w.strip(STRIP))
+
+
 def seed_hashes(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
     """(positions, hashes) of a mask over word numbers; 0 is a foreign word, which agrees with none."""
     n = len(ids) - len(mask) + 1
@@ -79,14 +87,19 @@ def seed_hashes(ids: np.ndarray, mask: str) -> tuple[np.ndarray, np.ndarray]:
 class Benchmark:
     """One block of the benchmark: word numbers, texts end to end, and the sorted seed hashes of each mask."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int | None, str]]):
         lists = [(i, words_of(t)) for i, t in items]
+        #: Texts too short for any seed, by their words: a mask without zeros over all of them.
+        self.lines: dict[tuple[str, ...], list[int | None]] = {}
+        for i, ws in lists:
+            if len(ws) < SHORTEST and spoken(ws):
+                self.lines.setdefault(spoken(ws), []).append(i)
         lists = [(i, w) for i, w in lists if len(w) >= SHORTEST]
         self.number: dict[str, int] = {}
         for _, ws in lists:
             for w in ws:
                 self.number.setdefault(w, len(self.number) + 1)
-        self.item = np.array([i for i, _ in lists], dtype=np.int64)
+        self.item = [i for i, _ in lists]
         self.size = np.array([len(w) for _, w in lists], dtype=np.int64)
         self.begin = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)
         self.words = np.array([self.number[w] for _, ws in lists for w in ws], dtype=np.int64)
@@ -141,6 +154,40 @@ class Benchmark:
         return shift + a + first - lo, last - first, int(total[last] - total[first])
 
 
+    def whole_lines(self, text: str | None) -> list[tuple[int | None, int, int]]:
+        """(item, start, words) of the lines that are a short benchmark text, the first of each."""
+        if not text or not self.lines:
+            return []
+        found: dict[tuple[str, ...], int] = {}
+        at = 0
+        for line in text.split("\n"):
+            ws = words_of(line)
+            key = spoken(ws)
+            if key in self.lines:
+                found.setdefault(key, at)
+            at += len(ws)
+        return [(item, at, len(ws)) for ws, at in found.items() for item in self.lines[ws]]
+
+    def found_in(self, texts: list[str | None]) -> list[tuple[int, int | None, int, int, int]]:
+        """(text, item, start, words, equal words): the best stretch of each item in each of the texts."""
+        get = self.number.get
+        rows, begins, out = [], [], []
+        for k, t in enumerate(texts):
+            begins.append(len(rows))
+            rows += [get(w, 0) for w in words_of(t)]
+            rows += [0] * SPAN  # no seed runs from one text into the next
+            out += [(k, item, start, n, n) for item, start, n in self.whole_lines(t)]
+        begins.append(len(rows))
+        flat, begin = np.array(rows, dtype=np.int64), np.array(begins, dtype=np.int64)
+        best: dict[tuple[int, int], tuple] = {}
+        for k, item, shift in self.hits(flat, begin).T.tolist():
+            found = self.verify(flat, int(begin[k]), int(begin[k + 1]) - SPAN, item, shift)
+            if found and (best.get((k, item)) or (0, 0, -1))[2] < found[2]:
+                best[k, item] = found
+        out += [(k, self.item[item], *found) for (k, item), found in sorted(best.items())]
+        return sorted(out, key=lambda x: x[0])
+
+
 FOUND = "doc_id bigint, item_id bigint, start bigint, n_words bigint, n_equal bigint"
 
 
@@ -148,26 +195,8 @@ def _against(docs: DataFrame, block: Benchmark) -> DataFrame:
     shared = Shared(docs.sparkSession, block, "benchmark")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        bench = shared.get()
-        get = bench.number.get
-        rows, begins, out = [], [], []
         ids = batch.column(0).to_pylist()
-        total = 0
-        for t in batch.column(1).to_pylist():
-            row = [get(w, 0) for w in words_of(t)]
-            begins.append(total)
-            rows += row
-            rows += [0] * SPAN  # no seed runs from one text into the next
-            total += len(row) + SPAN
-        begins.append(total)
-        flat, begin = np.array(rows, dtype=np.int64), np.array(begins, dtype=np.int64)
-        best: dict[tuple[int, int], tuple] = {}
-        for k, item, shift in bench.hits(flat, begin).T.tolist():
-            found = bench.verify(flat, int(begin[k]), int(begin[k + 1]) - SPAN, item, shift)
-            if found and (best.get((k, item)) or (0, 0, -1))[2] < found[2]:
-                best[k, item] = found
-        for (k, item), (start, n, equal) in sorted(best.items()):
-            out.append((ids[k], int(bench.item[item]), start, n, equal))
+        out = [(ids[k], *found) for k, *found in shared.get().found_in(batch.column(1).to_pylist())]
         if not out:
             return None
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], [c.split(" ")[0] for c in FOUND.split(", ")])
@@ -184,7 +213,7 @@ def blocks_of(benchmark: DataFrame, most_words: int = BLOCK_WORDS):
         if rows and size + n > most_words:
             yield rows
             rows, size = [], 0
-        rows.append((r["item_id"] if r["item_id"] is not None else -1, r["text"]))
+        rows.append((r["item_id"], r["text"]))
         size += n
     if rows:
         yield rows
@@ -199,7 +228,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out if out is not None else docs.sparkSession.createDataFrame([], FOUND)
 
 
+def _without(docs: DataFrame, block: Benchmark) -> DataFrame:
+    shared = Shared(docs.sparkSession, block, "benchmark")
+    at = docs.columns.index("text")
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bad = {k for k, *_ in shared.get().found_in(batch.column(at).to_pylist())}
+        return batch.take(pa.array([k for k in range(batch.num_rows) if k not in bad], pa.int64())) if bad else batch
+
+    return map_slices(docs, work, docs.schema, "text")
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the contaminated documents (all columns; documents with a null id stay)."""
-    bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the contaminated documents, all columns. Each row is judged by its own text where it
+    lies (no join, no shuffle), so null and repeated ids make no difference."""
+    for rows in blocks_of(benchmark):
+        docs = _without(docs, Benchmark(rows))
+    return docs
