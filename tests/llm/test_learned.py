@@ -47,6 +47,30 @@ def test_windows_cover_every_word():
         assert all(b - a <= toxicity.WINDOW // 2 for a, b in zip(starts, starts[1:], strict=False))
 
 
+def test_long_runs_are_read_whole():
+    """No character of a run is left out, ordinary words stay as they are, and a phrase behind the first 64 bytes tells."""
+    assert toxicity.words_of("Ab cd") == ["ab", "cd"] and toxicity.words_of("x" * 64 + " é") == ["x" * 64, "é"]
+    for run in ("a" * 65, "0123456789" * 30, "天気が良い" * 40, "é" * 33):
+        pieces = toxicity.words_of(run)
+        half = toxicity.PIECE // 2
+        assert all(len(p.encode()) <= toxicity.LONGEST for p in pieces)
+        assert pieces[0] + "".join(p[half:] for p in pieces[1:]) == run
+    texts, labels = [], []
+    for i in range(300):
+        words = prose(i, 40).split()
+        if i % 2:
+            words.insert(20, "zorblekrugg")
+        texts.append((" " if i % 3 else "_").join(words))
+        labels.append(i % 2)
+    scorer = toxicity.Scorer(toxicity.train(texts, labels))
+    right = 0
+    for i in range(1000, 1100):
+        words = prose(i, 40).split()
+        clean, bad = scorer.score(["_".join(words), "_".join([*words[:30], "zorblekrugg", *words[30:]])])
+        right += int(clean < 0.5) + int(bad >= 0.5)
+    assert right >= 180, right
+
+
 def test_toxicity_learns_words_and_stems(spark):
     r = random.Random(5)
     rows, labels = [], []

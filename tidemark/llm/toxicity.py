@@ -1,6 +1,7 @@
 """Toxicity by a bidirectional gated recurrent network with attention pooling, in numpy.
 
-A text is lower-cased and cut into words; every overlapping window of ``WINDOW`` words
+A text is lower-cased and cut into words, runs of more than ``LONGEST`` bytes (joined words, scripts
+without blanks) into overlapping pieces that are words of their own; every overlapping window of ``WINDOW`` words
 (step ``WINDOW / 2``; the last window ends at the last word) is scored and the text's score
 is that of its worst window. A word enters as two vectors: its own embedding (frequent
 words of the sample; others share one) and the mean embedding of its character n-grams
@@ -43,12 +44,14 @@ DIM = 8
 DECAY = 0.02
 HIDDEN = 8
 CACHE_WORDS = 200_000
+LONGEST = 64  # bytes of a word
+PIECE = 16  # characters of a piece of a longer run; every second half is the next one's first
 STRIP = ".,;:!?\"'()[]{}<>*#$%&|-_"
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-grams of each word's UTF-8 bytes within its borders: (all, end to end; how many each word has)."""
-    raw = [b"^" + w.encode("utf-8", "surrogatepass")[:64] + b"$" for w in words]
+    raw = [b"^" + w.encode("utf-8", "surrogatepass") + b"$" for w in words]
     sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
     data = np.frombuffer(b"".join(raw), dtype=np.uint8).astype(np.uint32)
     left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(data))  # bytes from here to the word's end
@@ -194,7 +197,17 @@ class Network:
 
 
 def words_of(text: str) -> list[str]:
-    return text.lower().split()
+    """The words of a text; a run of more than ``LONGEST`` bytes as pieces that overlap by half, none of it left out."""
+    words = text.lower().split()
+    if not words or max(map(len, words)) <= PIECE:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= PIECE or len(w) <= LONGEST and (w.isascii() or len(w.encode("utf-8", "surrogatepass")) <= LONGEST):
+            out.append(w)
+        else:
+            out += [w[i:i + PIECE] for i in range(0, max(1, len(w) - PIECE // 2), PIECE // 2)]
+    return out
 
 
 def contrast(lists: list[list[str]], number: dict[str, int], y: np.ndarray, values: np.ndarray, sizes: np.ndarray | None, n: int) -> np.ndarray:
