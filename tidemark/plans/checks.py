@@ -96,9 +96,13 @@ def status_transitions(logs: DataFrame) -> DataFrame:
     The previous-log lookup is the skew-safe ordered lag (an order with a huge log is
     spread over several tasks); the legal table has 7 rows and is broadcast.
     """
-    legal = F.broadcast(legal_transitions(logs.sparkSession).withColumn("_legal", F.lit(True)))
-    prev = lag_within(logs.select("log_id", "order_id", "old_status", "new_status", "changed_at"),
-                      ["order_id"], ["log_id"], {"changed_at": "prev_changed_at"})
+    return flag_transitions(lag_within(logs.select("log_id", "order_id", "old_status", "new_status", "changed_at"),
+                                       ["order_id"], ["log_id"], {"changed_at": "prev_changed_at"}))
+
+
+def flag_transitions(prev: DataFrame) -> DataFrame:
+    """The logs at fault, of logs that carry the change time of the one before (``prev_changed_at``)."""
+    legal = F.broadcast(legal_transitions(prev.sparkSession).withColumn("_legal", F.lit(True)))
     flagged = prev.join(legal, ["old_status", "new_status"], "left").select(
         "log_id", "order_id", "old_status", "new_status", "changed_at", "prev_changed_at",
         (F.col("old_status").isNotNull() & F.col("_legal").isNull()).alias("illegal_transition"),

@@ -409,7 +409,7 @@ def eligible_customers(spark: SparkSession, d: str) -> DataFrame:
     return ec(lake.silver("customers"), lake.silver("orders"))
 
 
-@register("status_transitions", f"""
+_TRANSITIONS = f"""
 SELECT log_id, order_id, old_status, new_status, {sql_publish(cols("changed_at:ts, prev_changed_at:ts"))},
        illegal_transition, not_after_previous FROM (
   SELECT l.*, l.old_status IS NOT NULL AND t.old_status IS NULL AS illegal_transition,
@@ -419,7 +419,10 @@ SELECT log_id, order_id, old_status, new_status, {sql_publish(cols("changed_at:t
   LEFT JOIN (VALUES ('pending','confirmed'), ('pending','cancelled'), ('confirmed','shipped'), ('confirmed','cancelled'),
                     ('shipped','delivered'), ('shipped','returned'), ('delivered','returned')) t(old_status, new_status)
     ON l.old_status = t.old_status AND l.new_status = t.new_status)
-WHERE illegal_transition OR not_after_previous""")
+WHERE illegal_transition OR not_after_previous"""
+
+
+@register("status_transitions", _TRANSITIONS)
 def status_transitions(spark: SparkSession, d: str) -> DataFrame:
     """Illegal transitions and non-increasing change times in the landed status log (before its nulls are repaired).
     Rows that came without their id have no place in the order of changes."""
@@ -880,3 +883,20 @@ def streaming_silver_orders(spark: SparkSession, d: str) -> DataFrame:
         return silver_path
     from tidemark.plans.pipeline import SILVER_SCHEMAS
     return L.read_table(spark, _written(spark, d, "stream-silver-orders", build), SILVER_SCHEMAS["orders"]).drop(L.CV)
+
+
+@register("streaming_status_transitions", _TRANSITIONS)
+def streaming_status_transitions(spark: SparkSession, d: str) -> DataFrame:
+    """The same from a stream over the landed log's commits, which keeps the orders' histories as state."""
+    from tidemark.session import scratch_path
+    from tidemark.sources import lake as L
+    from tidemark.streaming.order_history import OrderHistory, follow
+
+    def build() -> str:
+        landed = flow.landing_of(spark, d).landed("order_status_log").accepted
+        path, root = scratch_path(spark, "bronze-logs"), scratch_path(spark, "order-history")
+        for r in landed.select(L.CV).distinct().orderBy(L.CV).collect():  # commits, not rows
+            L.commit_append(landed.filter(F.col(L.CV) == r[0]), path, r[0])
+        follow(spark, path, OrderHistory(spark, root), scratch_path(spark, "stream-ckpt"))
+        return root
+    return OrderHistory(spark, _written(spark, d, "order-history", build)).transitions()
