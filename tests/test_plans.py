@@ -37,3 +37,14 @@ def test_lag_window_is_split_by_range_not_by_key(spark):
     assert re.search(r"hashpartitioning\(k#\d+, _part#\d+", plan), plan
     got = lag_within(hot, ["k"], ["t"], {"v": "pv"}, num_partitions=8)
     assert got.filter(F.col("pv").isNull()).count() == 1     # only the very first row lacks a predecessor
+
+
+def test_gate_verdicts_go_to_the_rows(spark):
+    from tidemark.plans import bronze as B
+    landed = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 1, None).otherwise(F.col("id")).alias("oid"), (F.col("id") % 2).cast("int").alias("commit_version"))
+    landed = landed.where("commit_version = 1 or oid is not null")   # commit 0 keeps no bad row
+    out = B.ingest(landed, "orders", by=["commit_version"])
+    # a shuffle on the commits would put the whole table into as many tasks as there are commits
+    assert "hashpartitioning(commit_version" not in _plan(out.accepted)
+    assert {(r["commit_version"], r["passed"]) for r in out.gate.collect()} == {(0, True), (1, False)}
+    assert {r["commit_version"] for r in out.accepted.collect()} == {0} and out.accepted.count() == 1000
