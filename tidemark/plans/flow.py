@@ -11,6 +11,8 @@ against versioned tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,15 +51,31 @@ class Landing:
         return self._landed[name]
 
 
+class SilverOf(Mapping[str, DataFrame]):
+    """The silver tables of a lake by name, each cleaned when it is first asked for."""
+
+    def __init__(self, lake: Lake):
+        self.lake = lake
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self.lake.silver(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(commerce.VIEWS)
+
+    def __len__(self) -> int:
+        return len(commerce.VIEWS)
+
+
 class Lake:
     """Silver tables of one flow, built once per instance (plans are shared, not data)."""
 
-    def __init__(self, landing: Landing, before: dict[str, DataFrame] | None = None,
+    def __init__(self, landing: Landing, before: Mapping[str, DataFrame] | None = None,
                  batch_filter: Column | None = None, materialize: bool = True):
         self.landing = landing
         self.materialize = materialize
         self.spark, self.sf_dir = landing.spark, landing.sf_dir
-        self.before = before or {}
+        self.before = {} if before is None else before
         self.batch_filter = batch_filter
         self._cleaned: dict[str, S.Cleaned] = {}
 
@@ -131,10 +149,7 @@ def replay_lake(spark: SparkSession, sf_dir: str) -> Lake:
     """Silver already holds commit 0 (cleaned on its own); the batch is commits 0..2."""
     def build() -> Lake:
         landing = landing_of(spark, sf_dir)
-        first = Lake(landing, batch_filter=F.col("commit_version") == 0)
-        names = ["customers", "products", "order_items", "orders", "inventory", "order_status_log"]
-        before = {n: first.silver(n) for n in names}
-        return Lake(landing, before=before)
+        return Lake(landing, before=SilverOf(Lake(landing, batch_filter=F.col("commit_version") == 0)))
     return _memo("replay", spark, sf_dir, build)
 
 
