@@ -48,3 +48,45 @@ def test_gate_verdicts_go_to_the_rows(spark):
     assert "hashpartitioning(commit_version" not in _plan(out.accepted)
     assert {(r["commit_version"], r["passed"]) for r in out.gate.collect()} == {(0, True), (1, False)}
     assert {r["commit_version"] for r in out.accepted.collect()} == {0} and out.accepted.count() == 1000
+
+
+def test_a_large_group_of_pages_stays_spread(spark):
+    from tidemark.operators.ranking import assign_pages
+    days = spark.range(0, 2000).select("id", F.when(F.col("id") < 5, "a").otherwise("b").alias("day"))
+    out = assign_pages(days, [F.col("id")], 10, group_by=["day"])
+    assert "hashpartitioning(day" not in _plan(out)   # the days' first ranks go to the rows, not the rows to a task per day
+    last = out.where("day = 'b'").orderBy(F.col("page").desc(), F.col("row_in_page").desc()).first()
+    assert (last["id"], last["page"], last["total_pages"], last["row_in_page"]) == (1999, 200, 200, 5)
+
+
+class _Shop:
+    """Landed customers and silver products; whoever asks for another table gets an error."""
+
+    def __init__(self, spark):
+        from tidemark.schemas import CUSTOMERS, PRODUCTS
+        self.spark, self.sf_dir = spark, "none"
+        self.customers = spark.createDataFrame([(i, "n", None, "c", "d", None) for i in range(4)], CUSTOMERS).withColumn("commit_version", (F.col("customer_id") % 2).cast("int"))
+        self.products = spark.createDataFrame([(i, "n", "c", "s", "b", 1.0, 0.0, 1, None, None) for i in range(3)], PRODUCTS).withColumn("commit_version", F.lit(0))
+
+    def landed(self, name):
+        from tidemark.plans import bronze as B
+        return B.ingest({"customers": self.customers}[name], name, by=["commit_version"])
+
+    def silver(self, name):
+        return {"products": self.products}[name]
+
+
+def test_a_replay_cleans_the_tables_asked_for(spark, monkeypatch):
+    from tidemark.plans import flow
+    monkeypatch.setattr(flow, "_LAKES", {})
+    monkeypatch.setattr(flow, "landing_of", lambda spark, d: _Shop(spark))
+    lake = flow.replay_lake(spark, "none")
+    sinks = {(r["customer_id"], r["sink"]) for r in lake.cleaned("customers").routed.collect()}
+    assert sinks == {(0, "quarantine"), (2, "quarantine"), (1, "main"), (3, "main")}   # commit 0 was there before
+
+
+def test_pages_of_dated_tables_need_no_orders(spark, monkeypatch):
+    from tidemark.plans import flow, queries
+    monkeypatch.setattr(flow, "fresh_lake", lambda spark, d: _Shop(spark))
+    monkeypatch.setattr(queries, "_INDEXES", {})
+    assert [r["pid"] for r in queries._page_index(spark, "none", "products", True).page(1, 2).collect()] == [0, 1]
