@@ -85,6 +85,25 @@ def test_a_replay_cleans_the_tables_asked_for(spark, monkeypatch):
     assert sinks == {(0, "quarantine"), (2, "quarantine"), (1, "main"), (3, "main")}   # commit 0 was there before
 
 
+def test_landed_rows_are_written_once_for_all_lakes(spark, monkeypatch):
+    from tidemark.plans import flow
+    ids = spark.range(0, 100).select(F.when(F.col("id") % 10 == 0, None).otherwise(F.col("id")).alias("oid"), (F.col("id") % 3).cast("int").alias("commit_version"))
+    monkeypatch.setattr(flow.commerce, "committed", lambda spark, d, name: ids.join(spark.range(0, 100).withColumnRenamed("id", "oid"), "oid", "left"))
+    landing = flow.Landing(spark, "none")
+    rows = landing.landed("orders").accepted
+    assert "Range (" not in _plan(rows) and rows.count() == 90   # the view and its join are not read again
+    assert any("landed-orders" in f for f in rows.inputFiles())
+    assert {(r["commit_version"], r["rows"], r["bad_rows"]) for r in landing.landed("orders").gate.collect()} == {(0, 34, 4), (1, 33, 3), (2, 33, 3)}
+
+
+def test_routing_runs_in_generated_code(spark):
+    from tidemark.operators.routing import MAIN, QUARANTINE, route
+    out = route(spark.range(0, 6), "silver", [(MAIN, None, F.col("id") > 1), (QUARANTINE, "low", F.col("id") < 3), (QUARANTINE, "null", F.lit(None).cast("boolean"))])
+    assert "lambda" not in _plan(out).lower()
+    assert sorted((r["id"], r["sink"], r["reason"], r["layer"]) for r in out.collect()) == sorted(
+        [(i, "main", None, None) for i in range(2, 6)] + [(i, "quarantine", "low", "silver") for i in range(3)], key=lambda t: (t[0], t[1]))
+
+
 def test_pages_of_dated_tables_need_no_orders(spark, monkeypatch):
     from tidemark.plans import flow, queries
     monkeypatch.setattr(flow, "fresh_lake", lambda spark, d: _Shop(spark))

@@ -28,8 +28,9 @@ def route(df: DataFrame, layer: str, destinations: list[Destination]) -> DataFra
         where = F.lit(None if sink == MAIN else layer).cast("string")
         return F.when(F.coalesce(when, F.lit(False)), F.struct(F.lit(sink).alias("sink"), why.alias("reason"), where.alias("layer")))
 
-    met = F.filter(F.array(*[entry(*d) for d in destinations]), lambda x: x.isNotNull())
-    return df.withColumn("_to", F.explode(met)).select(*df.columns, "_to.sink", "_to.reason", "_to.layer")
+    # exploded whole and filtered after: a filter of the array is a lambda, which runs outside the generated code
+    routed = df.withColumn("_to", F.explode(F.array(*[entry(*d) for d in destinations]))).where(F.col("_to").isNotNull())
+    return routed.select(*df.columns, "_to.sink", "_to.reason", "_to.layer")
 
 
 def flag_known(df: DataFrame, key: str, ref: DataFrame | None, ref_key: str, flag: str) -> DataFrame:

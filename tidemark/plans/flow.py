@@ -16,6 +16,7 @@ from collections.abc import Iterator, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.caching import materialize
 from tidemark.plans import bronze as B
 from tidemark.plans import gold as G
 from tidemark.plans import silver as S
@@ -39,7 +40,10 @@ def bronze_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 class Landing:
-    """The landed commits of every entity, ingested once and shared by all lakes built on them."""
+    """The landed commits of every entity, ingested once and shared by all lakes built on them.
+
+    The rows of a table are written when it is first asked for: the gate, every lake and every step of a cleaning read
+    them, and each reading would join items with their orders, sum up the stock or look up the last states anew."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
@@ -47,7 +51,8 @@ class Landing:
 
     def landed(self, name: str) -> B.Landed:
         if name not in self._landed:
-            self._landed[name] = landed(self.spark, self.sf_dir, name)
+            written = materialize(commerce.committed(self.spark, self.sf_dir, name), f"landed-{name}")
+            self._landed[name] = B.ingest(written, name, by=["commit_version"])
         return self._landed[name]
 
 
