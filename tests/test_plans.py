@@ -109,3 +109,33 @@ def test_pages_of_dated_tables_need_no_orders(spark, monkeypatch):
     monkeypatch.setattr(flow, "fresh_lake", lambda spark, d: _Shop(spark))
     monkeypatch.setattr(queries, "_INDEXES", {})
     assert [r["pid"] for r in queries._page_index(spark, "none", "products", True).page(1, 2).collect()] == [0, 1]
+
+
+def test_partitions_grow_with_the_input(spark, tmp_path):
+    import re
+
+    from tidemark import session as S
+    from tidemark.operators.page_index import PageIndex
+    from tidemark.sources.tables import bytes_of
+    keys = [S.INITIAL, S.SIZED, *S.TASK_BYTES]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "8m")
+        S.bound_tasks(spark, 100 * S.SHUFFLE_SHARE + 1)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "8m" and spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+        assert S.shuffle_partitions(spark) == 101
+        rows = spark.range(0, 1000)
+        assert re.search(r"hashpartitioning\([^()]*, 101\)", _plan(rows.groupBy((F.col("id") % 7).alias("k")).count()))
+        index = PageIndex.build(rows, str(tmp_path / "pages"), [F.col("id")])
+        assert index.counts().count() == 101 and [r["id"] for r in index.page(100, 10).collect()] == list(range(990, 1000))
+        S.bound_tasks(spark, 1)   # a small input again
+        assert S.shuffle_partitions(spark) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set(S.INITIAL, "33")
+        S.bound_tasks(spark, 100 * S.SHUFFLE_SHARE)
+        assert S.shuffle_partitions(spark) == 33   # the session's own
+        spark.range(0, 10).write.parquet(str(tmp_path / "orders.parquet"))
+        files = sum(f.stat().st_size for f in (tmp_path / "orders.parquet").iterdir() if not f.name.startswith("."))
+        assert bytes_of(spark, str(tmp_path)) >= files > 0
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

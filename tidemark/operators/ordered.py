@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.caching import materialize
+from tidemark.session import shuffle_partitions
 
 
 def lag_within(
@@ -34,7 +35,7 @@ def lag_within(
     result is deterministic.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(spark)
     keys, vals = list(partition_by), list(value_cols)
     ordering = keys + list(order_by)
     labelled = materialize(df.repartitionByRange(n, *ordering).withColumn("_part", F.spark_partition_id()),

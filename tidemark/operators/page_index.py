@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import shuffle_partitions
 from tidemark.sources.lake import empty
 
 _LOW_BITS = 33  # monotonically_increasing_id = partition << 33 | row
@@ -37,7 +38,7 @@ class PageIndex:
         spark = df.sparkSession
         dated = df.withColumn("_day", F.lit(None).cast("string") if day is None else F.date_format(day.cast("date"), "yyyy-MM-dd"))
         by = [F.col("_day").asc_nulls_first(), *order] if by_day else order
-        n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        n = ranges or shuffle_partitions(spark)
         place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _LOW_BITS) - 1))
         (dated.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("_range", F.spark_partition_id()).withColumn("_pos", place)
          .write.mode("overwrite").partitionBy("_range").parquet(f"{root}/rows"))

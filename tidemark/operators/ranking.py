@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.caching import materialize
+from tidemark.session import shuffle_partitions
 
 RANK = "_rank"
 TOTAL = "_total"
@@ -29,7 +30,7 @@ _LOW_BITS = 33  # monotonically_increasing_id = partition_index << 33 | row_inde
 def distributed_rank(df: DataFrame, order: list[Column], num_partitions: int | None = None) -> DataFrame:
     """Return ``df`` plus ``_rank`` (0-based global position) and ``_total`` (row count)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or shuffle_partitions(spark)
     staged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
