@@ -5,6 +5,7 @@ import json
 import os
 
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tidemark.sources import landing as LD
 
@@ -86,6 +87,20 @@ def test_extract_of_a_day_is_published_and_replaced(spark, tmp_path):
     assert os.path.isdir(os.path.join(root, "_staging"))
 
 
+def test_pages_of_a_day_lie_in_one_folder_and_keep_their_numbers(spark, tmp_path):
+    root, orders = str(tmp_path), shop(spark)["orders"].where("oid = 1").limit(1)
+    many = orders.crossJoin(spark.range(9).select((F.col("id") > 6).cast("bigint").alias("_more"))).withColumn("oid", F.col("oid") + F.col("_more")).drop("_more")
+    cost = spark.conf.get(LD.OPEN_COST)
+    LD.run_extract(spark, {"orders": many}, root, "2026-07-01", limits={"orders": 2})
+    files = LD.read_manifest(spark, root, "2026-07-01").orderBy("page").collect()
+    assert [(r["page"], r["rows"]) for r in files] == [(1, 2), (2, 2), (3, 2), (4, 2), (5, 1)]
+    read = lambda p: [r["oid"] for r in json.loads(spark.read.text(p, wholetext=True).first()[0])]
+    assert [read(r["path"]) for r in files] == [[1, 1], [1, 1], [1, 1], [1, 2], [2]]  # three pages are equal
+    assert len({r["path"] for r in files}) == 5 and len({os.path.dirname(r["path"]) for r in files}) == 1
+    assert all(r["bytes"] == len(spark.read.text(r["path"], wholetext=True).first()[0]) for r in files)
+    assert spark.conf.get(LD.OPEN_COST) == cost
+
+
 def test_a_broken_page_is_one_corrupt_row(spark, tmp_path):
     root = str(tmp_path)
     LD.run_extract(spark, shop(spark), root, "2026-07-01")
