@@ -139,3 +139,32 @@ def test_partitions_grow_with_the_input(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_files_that_compress_well_are_not_taken_for_small(spark, tmp_path):
+    from tidemark import session as S
+    keys = [S.INITIAL, S.SIZED, S.COMPRESSION, *S.TASK_BYTES]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        # 1,500,000 keys in some 7 MB, as orders are written: by their bytes they would be broadcast, and take about 100 MB of the driver
+        texts = [F.lit(f"{c} of all rows").alias(c) for c in "abcdef"]
+        spark.range(0, 1_500_000, 1, 2).select("id", *texts).write.parquet(str(tmp_path / "many"))
+        spark.range(0, 100).write.parquet(str(tmp_path / "few"))
+        rows = spark.range(0, 3_000_000).select((F.col("id") * 3).alias("id"), F.lit("a longer text that every one of the rows has").alias("t"), F.lit("another such text of the row").alias("u"))
+
+        def planned(of):
+            df = rows.join(spark.read.parquet(str(tmp_path / of)).select("id"), "id", "left_semi")
+            return df, df._jdf.queryExecution().executedPlan().toString()
+
+        spark.conf.set(S.COMPRESSION, "1.0")
+        assert "BroadcastHashJoin" in planned("many")[1]   # what bound_tasks is there for
+        S.bound_tasks(spark, 1)
+        df, plan = planned("many")
+        assert "BroadcastHashJoin" not in plan and df.count() == 500_000
+        assert "BroadcastHashJoin" in planned("few")[1]    # small tables are still sent to the rows
+        spark.conf.set(S.COMPRESSION, "100.0")
+        S.bound_tasks(spark, 1)
+        assert spark.conf.get(S.COMPRESSION) == "100.0"    # the session's own
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
